@@ -1,0 +1,77 @@
+"""Logistic regression and multilayer perceptron, trained by Spark ML."""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import (
+    LogisticRegression,
+    LogisticRegressionModel,
+    MultilayerPerceptronClassificationModel,
+    MultilayerPerceptronClassifier,
+)
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.sql import DataFrame
+
+# Solver settings of the two learners.
+LR_MAX_ITER = 50
+LR_TOLERANCE = 1e-6
+MLP_HIDDEN = [5, 2]
+MLP_SEED = 42
+MLP_ROWS_PER_STEP = 200
+MLP_MAX_STEPS = 20
+GRID_MAX_ITER = [10, 50]
+
+
+def lr_fit(frame: DataFrame, n: int) -> LogisticRegressionModel:
+    """L2-penalised fit on this batch alone.
+
+    ``regParam = 1/n`` makes the objective that of a unit penalty against the
+    summed loss. The optimum does not depend on a starting point.
+    """
+    learner = LogisticRegression(
+        maxIter=LR_MAX_ITER,
+        tol=LR_TOLERANCE,
+        regParam=1.0 / n,
+        elasticNetParam=0.0,
+        standardization=False,
+        family="binomial",
+    )
+    return learner.fit(frame.select("features", "label"))
+
+
+def mlp_update(
+    frame: DataFrame, n: int, width: int, previous: MultilayerPerceptronClassificationModel | None
+) -> MultilayerPerceptronClassificationModel:
+    """Gradient steps on the batch, going on from the previous weights.
+
+    One step per 200 rows as a pass in small portions would take, but no more
+    than 20, since each step here uses every row of the batch.
+    """
+    learner = MultilayerPerceptronClassifier(
+        layers=[width, *MLP_HIDDEN, 2],
+        solver="gd",
+        maxIter=min(MLP_MAX_STEPS, -(-n // MLP_ROWS_PER_STEP)),
+        seed=MLP_SEED,
+    )
+    if previous is not None:
+        learner = learner.setInitialWeights(previous.weights)
+    return learner.fit(frame.select("features", "label"))
+
+
+def ml_predict(frame: DataFrame, model, column: str) -> DataFrame:
+    """Add the model's class as ``column``; score columns are not kept."""
+    model.setPredictionCol(column)
+    model.setRawPredictionCol("")
+    model.setProbabilityCol("")
+    return model.transform(frame)
+
+
+def lr_grid_search(frame: DataFrame, folds: int = 5, seed: int = 0) -> CrossValidatorModel:
+    """Choose the iteration limit by cross-validated r2 of the predicted class."""
+    learner = LogisticRegression(family="binomial")
+    grid = ParamGridBuilder().addGrid(learner.maxIter, GRID_MAX_ITER).build()
+    judge = RegressionEvaluator(metricName="r2")
+    search = CrossValidator(
+        estimator=learner, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=seed
+    )
+    return search.fit(frame.select("features", "label"))
