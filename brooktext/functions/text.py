@@ -20,8 +20,9 @@ def split_first(text: Column, separator: str) -> tuple[Column, Column]:
     return F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
 
 
-def first_field(line: Column, separator: str = ";") -> Column:
-    return F.get(F.split(line, separator, 2), F.lit(0))
+def field_at(line: Column, position: int = 0, separator: str = ";") -> Column:
+    """The field at ``position`` of a delimited line, NULL if there is none."""
+    return F.get(F.split(line, separator, position + 2), F.lit(position))
 
 
 def row_concat(*fields: Column | str) -> Column:

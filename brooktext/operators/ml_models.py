@@ -72,6 +72,11 @@ def lr_grid_search(frame: DataFrame, folds: int = 5, seed: int = 0) -> CrossVali
     grid = ParamGridBuilder().addGrid(learner.maxIter, GRID_MAX_ITER).build()
     judge = RegressionEvaluator(metricName="r2")
     search = CrossValidator(
-        estimator=learner, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=seed
+        estimator=learner,
+        estimatorParamMaps=grid,
+        evaluator=judge,
+        numFolds=folds,
+        seed=seed,
+        parallelism=len(GRID_MAX_ITER),
     )
     return search.fit(frame.select("features", "label"))

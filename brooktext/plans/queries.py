@@ -22,13 +22,13 @@ from brooktext.functions.features import (
 )
 from brooktext.functions.labels import extend_labels, index_batches, label_frequency, stable_index
 from brooktext.functions.linear import with_prediction
-from brooktext.functions.text import first_field, prefix_drop, row_concat, split_first, tokenize
+from brooktext.functions.text import field_at, prefix_drop, row_concat, split_first, tokenize
 from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes
 from brooktext.operators.sums import State, fetch_sums, slot_sums
 from brooktext.sources import arrivals, feed, tables, wire
 from brooktext.sources.workspace import materialize, new_folder
 from brooktext.streaming import keyed_counts
-from brooktext.streaming.frames import mark_rejects
+from brooktext.streaming.frames import mark_rejects, right_sized
 from brooktext.streaming.learners import (
     MODELS,
     ModelSet,
@@ -200,7 +200,7 @@ def first_field_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = tables.read_table(spark, sf_dir, "events").select(
         F.concat_ws(";", "event_type", "event_id", "props").alias("line")
     )
-    return keyed_counts.count_by_key(lines.select(first_field(F.col("line")).alias("key")))
+    return keyed_counts.count_by_key(lines.select(field_at(F.col("line")).alias("key")))
 
 
 @query
@@ -362,7 +362,8 @@ def feature_table(spark: SparkSession, sf_dir: str, width: int = TRAIN_WIDTH) ->
     rows = tables.records(spark, sf_dir).withColumn("label", stable_index(mapping))
     stored = materialize(hash_features(rows.drop("sentiment"), width), "features")
     sizes = stored.agg(F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1"))
-    return with_sparse(stored, width), tuple(sizes.first())
+    n0, n1 = sizes.first()
+    return with_sparse(right_sized(stored, n0 + n1), width), (n0, n1)
 
 
 def _fit(rows: DataFrame, coefficients, width: int = TRAIN_WIDTH) -> State:
@@ -553,10 +554,10 @@ def train_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K-means over the stream, width 1,000: sizes of the clusters per version."""
     trainer = train_stream(spark, sf_dir, width=WIDE_WIDTH, models=("KMEANS",))
-    states = trainer.store.state_table().where(F.col("slot") == WIDE_WIDTH)
-    return states.groupBy("batch_id").agg(
-        F.sum(F.when(F.col("name") == "s0", F.col("value"))).cast("bigint").alias("size0"),
-        F.sum(F.when(F.col("name") == "s1", F.col("value"))).cast("bigint").alias("size1"),
+    size = F.get("vector", F.lit(WIDE_WIDTH)).cast("bigint")
+    return trainer.store.state_table().groupBy("batch_id").agg(
+        F.sum(F.when(F.col("name") == "s0", size)).alias("size0"),
+        F.sum(F.when(F.col("name") == "s1", size)).alias("size1"),
     )
 
 

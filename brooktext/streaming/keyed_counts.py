@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooktext.functions.text import first_field
+from brooktext.functions.text import field_at
 from brooktext.streaming.lifecycle import BatchRun
 
 
-def keyed_lines(lines: DataFrame, separator: str = ";") -> DataFrame:
-    """``key`` of each line, its first field."""
-    return lines.select(first_field(F.col("value"), separator).alias("key"))
+def keyed_lines(lines: DataFrame, position: int = 0, separator: str = ";") -> DataFrame:
+    """``key`` of each line: its first field, or the one at ``position``."""
+    return lines.select(field_at(F.col("value"), position, separator).alias("key"))
 
 
 def count_by_key(rows: DataFrame, *by: str) -> DataFrame:

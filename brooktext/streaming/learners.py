@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooktext.functions.linear import decide, sparse_dot
@@ -27,6 +30,18 @@ class ModelSet:
         return [name for name in MODELS if name in self.states or name in self.ml]
 
 
+def together(spark: SparkSession, *tasks: Callable) -> list:
+    """Run independent Spark actions at the same time; results in order.
+
+    The learners of a batch submit many short jobs over the same cached rows;
+    side by side they fill the gaps in each other's stages.
+    """
+    in_session = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        futures = [pool.submit(in_session(task)) for task in tasks]
+        return [future.result() for future in futures]
+
+
 def update_linear(
     rows: DataFrame, prior: dict[str, State], models: tuple[str, ...], width: int, loss: str
 ) -> dict[str, State]:
@@ -66,15 +81,14 @@ def update_models(
     is skipped and its previous model stays.
     """
     n = sum(class_sizes)
-    updated = ModelSet(update_linear(rows, prior.states, models, width, loss), dict(prior.ml))
-    fitted = list(updated.states)
+    tasks = {"linear": lambda: update_linear(rows, prior.states, models, width, loss)}
     if "LR" in models and min(class_sizes) > 0:
-        updated.ml["LR"] = ml_models.lr_fit(rows, n)
-        fitted.append("LR")
+        tasks["LR"] = lambda: ml_models.lr_fit(rows, n)
     if "MLP" in models:
-        updated.ml["MLP"] = ml_models.mlp_update(rows, n, width, prior.ml.get("MLP"))
-        fitted.append("MLP")
-    return updated, fitted
+        tasks["MLP"] = lambda: ml_models.mlp_update(rows, n, width, prior.ml.get("MLP"))
+    results = dict(zip(tasks, together(rows.sparkSession, *tasks.values()), strict=True))
+    states = results.pop("linear")
+    return ModelSet(states, {**prior.ml, **results}), [*states, *results]
 
 
 def linear_weights(states: dict[str, State]) -> dict:

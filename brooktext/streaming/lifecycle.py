@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable
 
@@ -9,6 +10,12 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+logger = logging.getLogger(__name__)
+
+# Rows shown by a preview, and the batch limit of a long run.
+PREVIEW_ROWS = 5
+LONG_RUN_BATCHES = 319
+
 BatchHandler = Callable[[DataFrame, int], bool]
 
 
@@ -46,6 +53,7 @@ class BatchRun:
     def _on_batch(self, batch: DataFrame, batch_id: int) -> None:
         if self._full():
             raise BatchLimitReached(f"{self.max_batches} batches done")
+        logger.info("batch %d at %s", batch_id, time.strftime("%Y-%m-%d %H:%M:%S"))
         if self.handler(batch, batch_id):
             self.batches += 1
 
@@ -69,3 +77,9 @@ class BatchRun:
 
     def awaitTermination(self) -> None:
         self.wait()
+
+
+def start_preview(stream: DataFrame, checkpoint: str, rows: int = PREVIEW_ROWS, trigger: dict | None = None):
+    """Show the first rows of every micro-batch on the console."""
+    writer = stream.writeStream.format("console").option("numRows", rows).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()

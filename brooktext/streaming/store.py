@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from brooktext.operators.sums import State
 from brooktext.sources.workspace import child_names, exists
 
-STATE_SCHEMA = "model string, name string, slot int, value double"
+STATE_SCHEMA = "model string, name string, vector array<double>"
 LABEL_SCHEMA = "label string, position int"
 SETTINGS_SCHEMA = "width int"
 METRIC_SCHEMA = (
@@ -36,7 +36,9 @@ class ModelStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.width = self._settle_width(width)
+        # The last version read or written, so that a running trainer need not re-read it.
         self._states: dict[int, dict[str, State]] = {}
+        self._labels: dict[int, list[str]] = {}
 
     def _settle_width(self, width: int | None) -> int:
         path = f"{self.root}/settings"
@@ -72,10 +74,7 @@ class ModelStore:
 
     def save_states(self, batch_id: int, states: dict[str, State]) -> None:
         rows = [
-            (model, name, slot, value)
-            for model, state in states.items()
-            for name, vector in state.items()
-            for slot, value in enumerate(vector.tolist())
+            (model, name, vector.tolist()) for model, state in states.items() for name, vector in state.items()
         ]
         self._write(rows, STATE_SCHEMA, "state", f"batch_id={batch_id}")
         self._states = {batch_id: states}
@@ -89,8 +88,7 @@ class ModelStore:
             states: dict[str, State] = {}
             table = self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.root}/state/batch_id={version}")
             for row in table.collect():
-                vectors = states.setdefault(row.model, {})
-                vectors.setdefault(row.name, np.zeros(self.width + 1))[row.slot] = row.value
+                states.setdefault(row.model, {})[row["name"]] = np.array(row.vector)
             self._states = {version: states}
         return self._states[version]
 
@@ -104,13 +102,17 @@ class ModelStore:
     def save_labels(self, batch_id: int, labels: list[str]) -> None:
         rows = [(label, position) for position, label in enumerate(labels)]
         self._write(rows, LABEL_SCHEMA, "labels", f"batch_id={batch_id}")
+        self._labels = {batch_id: labels}
 
     def load_labels(self, before: int | None = None) -> list[str]:
         version = self._latest(before, "labels")
         if version is None:
             return []
-        table = self.spark.read.schema(LABEL_SCHEMA).parquet(f"{self.root}/labels/batch_id={version}")
-        return [row.label for row in table.orderBy("position").collect()]
+        if version not in self._labels:
+            table = self.spark.read.schema(LABEL_SCHEMA).parquet(f"{self.root}/labels/batch_id={version}")
+            rows = sorted(table.collect(), key=lambda row: row.position)
+            self._labels = {version: [row.label for row in rows]}
+        return self._labels[version]
 
     def save_metrics(self, batch_id: int, metrics: DataFrame, table: str = "metrics") -> None:
         path = f"{self.root}/{table}/batch_id={batch_id}"

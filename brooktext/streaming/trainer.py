@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from brooktext.functions.features import TRAIN_WIDTH, with_sparse
 from brooktext.functions.labels import extend_labels
 from brooktext.streaming.frames import feature_frame, good_records, parse_batch, right_sized
-from brooktext.streaming.learners import MODELS, ModelSet, score_metrics, update_models
+from brooktext.streaming.learners import MODELS, ModelSet, score_metrics, together, update_models
 from brooktext.streaming.lifecycle import BatchRun
 from brooktext.streaming.store import METRIC_SCHEMA, ModelStore, with_batch_time
 
@@ -85,24 +85,31 @@ class StreamTrainer:
             updated, fitted = update_models(
                 rows, prior, (sizes.n0, sizes.n1), self.models, self.width, self.loss
             )
-            if updated.states:
-                self.store.save_states(batch_id, updated.states)
-            for name in ("LR", "MLP"):
-                if name in fitted:
-                    self.store.save_ml(batch_id, name, updated.ml[name])
-            self.store.save_metrics(batch_id, self._metrics(rows, updated, fitted, before))
+            metrics = self._save_and_score(rows, batch_id, updated, fitted, before)
+            self.store.save_metrics(batch_id, metrics)
             self._ml = (batch_id, updated.ml)
             return True
         finally:
             frame.unpersist()
 
-    def _metrics(self, rows: DataFrame, updated: ModelSet, fitted: list[str], before: list | None) -> DataFrame:
+    def _save_and_score(
+        self, rows: DataFrame, batch_id: int, updated: ModelSet, fitted: list[str], before: list | None
+    ) -> DataFrame:
+        """Save the models and score the batch, side by side; returns the metrics."""
+        tasks = [
+            lambda name=name: self.store.save_ml(batch_id, name, updated.ml[name].copy())
+            for name in ("LR", "MLP")
+            if name in fitted
+        ]
+        if updated.states:
+            tasks.append(lambda: self.store.save_states(batch_id, updated.states))
+        if self.mode == "post_fit" and updated.names():
+            *_, before = together(self.spark, *tasks, lambda: score_metrics(rows, updated).collect())
+        else:
+            together(self.spark, *tasks)
+        # One row per model.
         schema = METRIC_SCHEMA.rsplit(", batch_time", 1)[0]
-        if self.mode == "pre_fit":
-            return with_batch_time(self.spark.createDataFrame(before or [], schema), fitted)
-        if not updated.names():
-            return with_batch_time(self.spark.createDataFrame([], schema), fitted)
-        return with_batch_time(score_metrics(rows, updated), fitted)
+        return with_batch_time(self.spark.createDataFrame(before or [], schema), fitted)
 
     def start(
         self, stream: DataFrame, checkpoint: str, trigger: dict | None = None, max_batches: int | None = None
