@@ -19,11 +19,11 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINE = [
     "wire_parse",
-    "tokenize_text",
+    "tokenize",
     "token_count",
     "hashing_tf_300",
     "hashing_tf_1000",
-    "feature_label_pipeline",
+    "features_and_label",
     "batch_key_count",
     "running_key_count",
     "label_index_per_batch",

@@ -1,10 +1,10 @@
 """Term-count features by feature hashing.
 
 A feature frame has the hashed counts as an ML vector (``features``) for the
-library's own learners and, derived from it without copying, as two parallel
-arrays ``slots`` and ``counts`` for expressions. The arrays end with a bias
-entry (slot = width, count = 1), so a message without tokens still has a row
-in every long form and class sizes fall out of the same sums.
+library's own learners and, derived from it, as an array ``terms`` of
+``(slot, count)`` for expressions. The array ends with a bias entry (slot =
+width, count = 1), so a message without tokens still has a row in every long
+form and class sizes fall out of the same sums.
 """
 
 from __future__ import annotations
@@ -36,18 +36,22 @@ def counts() -> Column:
     return F.unwrap_udt(F.col("features"))["values"]
 
 
-def with_sparse(df: DataFrame, width: int) -> DataFrame:
-    """Add ``slots`` and ``counts`` with the bias entry at the end."""
-    return df.withColumn("slots", F.concat(slots(), F.array(F.lit(width)))).withColumn(
-        "counts", F.concat(counts(), F.array(F.lit(1.0)))
-    )
+def with_terms(df: DataFrame, width: int) -> DataFrame:
+    """Add ``terms``, the non-zero counts with the bias entry at the end."""
+    all_slots = F.concat(slots(), F.array(F.lit(width)))
+    all_counts = F.concat(counts(), F.array(F.lit(1.0)))
+    return df.withColumn("terms", F.arrays_zip(all_slots.alias("slot"), all_counts.alias("count")))
 
 
 def long_counts(df: DataFrame, *keep: str) -> DataFrame:
-    """One row per non-zero count: ``keep..., bucket, tf``."""
-    return df.select(*keep, F.inline(F.arrays_zip(slots().alias("bucket"), counts().alias("value")))).select(
-        *keep, "bucket", F.col("value").cast("bigint").alias("tf")
-    )
+    """One row per non-zero count: ``keep..., bucket, tf``.
+
+    Unfolded with NULLs kept and then dropped: for a plain ``inline`` the
+    optimizer adds a non-empty test below, which would hash every text twice.
+    """
+    terms = F.arrays_zip(slots().alias("bucket"), counts().alias("value"))
+    unfolded = df.select(*keep, F.inline_outer(terms)).where(F.col("bucket").isNotNull())
+    return unfolded.select(*keep, "bucket", F.col("value").cast("bigint").alias("tf"))
 
 
 def feature_pipeline(width: int) -> Pipeline:

@@ -26,12 +26,12 @@ def vector_literal(values: np.ndarray) -> Column:
 
 
 def sparse_dot(weights: np.ndarray) -> Column:
-    """Dot product of the row's ``slots``/``counts`` with ``weights``."""
+    """Dot product of the row's ``terms`` with ``weights``."""
     vector = vector_literal(weights)
     return F.aggregate(
-        F.arrays_zip("slots", "counts"),
+        "terms",
         F.lit(0.0),
-        lambda total, term: total + term["counts"] * F.get(vector, term["slots"]),
+        lambda total, term: total + term["count"] * F.get(vector, term["slot"]),
     )
 
 

@@ -16,8 +16,13 @@ def prefix_drop(text: Column, n: int) -> Column:
 
 def split_first(text: Column, separator: str) -> tuple[Column, Column]:
     """Text before and after the first separator; NULL after if there is none."""
-    parts = F.split(text, separator, 2)
-    return F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+    place = F.instr(text, separator)
+    return F.substring_index(text, separator, 1), F.when(place > 0, F.substr(text, place + len(separator)))
+
+
+def cut_newline(text: Column) -> Column:
+    """``text`` without one newline at its end."""
+    return F.when(F.endswith(text, F.lit("\n")), F.left(text, F.length(text) - 1)).otherwise(text)
 
 
 def field_at(line: Column, position: int = 0, separator: str = ";") -> Column:

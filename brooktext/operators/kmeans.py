@@ -18,7 +18,7 @@ from brooktext.operators.sums import State
 def _dense_row(terms: list, width: int) -> np.ndarray:
     vector = np.zeros(width + 1)
     for term in terms:
-        vector[term["slots"]] = term["counts"]
+        vector[term["slot"]] = term["count"]
     vector[-1] = 0.0
     return vector
 
@@ -30,11 +30,10 @@ def kmeans_start(rows: DataFrame, width: int) -> State:
     fetched. Ties go to the lower id, so the choice does not depend on the
     partitioning.
     """
-    terms = F.arrays_zip("slots", "counts")
-    first = _dense_row(rows.agg(F.min_by(terms, F.col("row_id")).alias("terms")).first()["terms"], width)
-    square = F.aggregate("counts", F.lit(0.0), lambda total, x: total + x * x)
+    first = _dense_row(rows.agg(F.min_by("terms", "row_id").alias("terms")).first()["terms"], width)
+    square = F.aggregate("terms", F.lit(0.0), lambda total, term: total + term["count"] * term["count"])
     distance = square - 2 * sparse_dot(first)
-    farthest = F.max_by(terms, F.struct(distance, -F.col("row_id")))
+    farthest = F.max_by(F.col("terms"), F.struct(distance, -F.col("row_id")))
     second = _dense_row(rows.agg(farthest.alias("terms")).first()["terms"], width)
     return {"s0": np.zeros(width + 1), "s1": np.zeros(width + 1), "i0": first, "i1": second}
 
@@ -52,9 +51,13 @@ def kmeans_weights(state: State) -> np.ndarray:
     return np.append(2 * (c1 - c0), (c0 * c0).sum() - (c1 * c1).sum())
 
 
-def kmeans_coefficients(state: State) -> dict[str, Column]:
-    """Membership of the nearer centre before the update."""
-    nearer = decide(sparse_dot(kmeans_weights(state)))
+def kmeans_margin(state: State) -> Column:
+    return sparse_dot(kmeans_weights(state))
+
+
+def kmeans_coefficients(margin: str = "kmeans_margin") -> dict[str, Column]:
+    """Membership of the nearer centre, from the margin column."""
+    nearer = decide(margin)
     return {"s0": nearer == 0, "s1": nearer == 1}
 
 

@@ -50,10 +50,14 @@ def loss_value(margin: Column, loss: str) -> Column:
     return F.greatest(1 - signed, F.lit(0.0))
 
 
-def sgd_coefficients(state: State | None, loss: str) -> dict[str, Column]:
-    """Residual at the state's weights (zero weights without a state)."""
-    margin = F.lit(0.0) if state is None else sparse_dot(state["weight"])
-    return {"residual": residual(margin, loss), "rows": F.lit(1.0)}
+def sgd_margin(state: State | None) -> Column:
+    """Margin at the state's weights; all weights are zero without a state."""
+    return F.lit(0.0) if state is None else sparse_dot(state["weight"])
+
+
+def sgd_coefficients(loss: str, margin: str = "sgd_margin") -> dict[str, Column]:
+    """Residual of each row, from its margin column, and a row indicator."""
+    return {"residual": residual(F.col(margin), loss), "rows": F.lit(1.0)}
 
 
 def sgd_update(state: State | None, sums: State, alpha: float = ALPHA) -> State:

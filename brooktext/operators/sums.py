@@ -21,10 +21,11 @@ def slot_sums(rows: DataFrame, coefficients: dict[str, Column]) -> DataFrame:
     """
     # The coefficients are fixed as columns before the rows are unfolded.
     prepared = rows.select(
-        F.arrays_zip(F.col("slots").alias("slot"), F.col("counts").alias("count")).alias("terms"),
-        *[expression.cast("double").alias(name) for name, expression in coefficients.items()],
+        "terms", *[expression.cast("double").alias(name) for name, expression in coefficients.items()]
     )
-    terms = prepared.select(*coefficients, F.inline("terms"))
+    # Terms are never empty. A plain inline would make the optimizer test that,
+    # hashing every text once more just for the test.
+    terms = prepared.select(*coefficients, F.inline_outer("terms"))
     return terms.groupBy("slot").agg(*[F.sum(F.col(name) * F.col("count")).alias(name) for name in coefficients])
 
 

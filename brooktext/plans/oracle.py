@@ -218,9 +218,9 @@ SELECT doc_id, CASE WHEN strpos(text, ',') = 0 THEN 'no_separator' ELSE 'unknown
   text AS record
 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
 
-ORACLES["prefix_drop_text"] = "SELECT doc_id, substr(text, 3) AS rest FROM documents"
+ORACLES["prefix_drop"] = "SELECT doc_id, substr(text, 3) AS rest FROM documents"
 
-ORACLES["split_first_comma"] = """
+ORACLES["split_first"] = """
 SELECT doc_id, CASE WHEN strpos(text, ',') = 0 THEN text ELSE substr(text, 1, strpos(text, ',') - 1) END AS sentiment,
   CASE WHEN strpos(text, ',') > 0 THEN substr(text, strpos(text, ',') + 1) END AS message
 FROM documents"""
@@ -229,7 +229,7 @@ ORACLES["first_field_key"] = """
 SELECT split_part(event_type || ';' || event_id || ';' || props, ';', 1) AS key, count(*) AS n
 FROM events GROUP BY 1"""
 
-ORACLES["row_concat_line"] = """
+ORACLES["row_concat"] = """
 SELECT event_id, concat(event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S'), user_id, props, chr(10)) AS line
 FROM events"""
 
@@ -240,7 +240,7 @@ FROM documents"""
 
 # --- features ----------------------------------------------------------------
 
-ORACLES["tokenize_text"] = f"""
+ORACLES["tokenize"] = f"""
 WITH {TEXTS}, split AS (SELECT row_id, {TOKENS} AS t FROM texts)
 SELECT row_id, len(t) AS n_tokens, array_to_string(t, ' ') AS tokens FROM split"""
 
@@ -255,7 +255,7 @@ WITH {TEXTS}, {_term_counts("texts", _width)} SELECT row_id, bucket, tf FROM tf"
 ORACLES["densify"] = f"""
 WITH {TEXTS} SELECT row_id, CAST({TRAIN_WIDTH} AS BIGINT) AS n_slots, len({TOKENS}) AS n_terms FROM texts"""
 
-ORACLES["feature_label_pipeline"] = f"""
+ORACLES["features_and_label"] = f"""
 WITH {RECORDS}, {LABELS}, {_term_counts("labelled", TRAIN_WIDTH)}
 SELECT l.row_id, l.label, count(t.bucket) AS n_buckets, CAST(coalesce(sum(t.tf), 0) AS BIGINT) AS n_terms
 FROM labelled l LEFT JOIN tf t ON l.row_id = t.row_id GROUP BY l.row_id, l.label"""
@@ -265,7 +265,7 @@ FROM labelled l LEFT JOIN tf t ON l.row_id = t.row_id GROUP BY l.row_id, l.label
 _BATCH_LABELS = f"""batch_labels AS (
   SELECT {_LABEL_BATCH} AS batch_id, CAST(quality AS VARCHAR) AS sentiment, count(*) AS n FROM labels GROUP BY 1, 2)"""
 
-ORACLES["label_frequency_per_batch"] = f"WITH {_BATCH_LABELS} SELECT batch_id, sentiment, n FROM batch_labels"
+ORACLES["label_frequency"] = f"WITH {_BATCH_LABELS} SELECT batch_id, sentiment, n FROM batch_labels"
 
 ORACLES["label_index_per_batch"] = f"""
 WITH {_BATCH_LABELS}, ranked AS (
@@ -316,7 +316,7 @@ ORACLES["confusion_matrix"] = f"""
 WITH {_NB}, decided AS (SELECT label, {DECISION} AS p FROM nb), cells AS (SELECT {CELLS} FROM decided)
 SELECT 'MNB' AS model, n, tn, fp, fn, tp, {RATES} FROM cells"""
 
-ORACLES["sgd_gradient_log"] = f"""
+ORACLES["sgd_gradient"] = f"""
 WITH {_learning()} SELECT slot, sum(x * (0.5 - label)) AS gradient FROM slots GROUP BY slot"""
 
 ORACLES["sgd_gradient_hinge"] = f"""

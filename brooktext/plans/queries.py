@@ -18,13 +18,13 @@ from brooktext.functions.features import (
     feature_pipeline,
     hash_features,
     long_counts,
-    with_sparse,
+    with_terms,
 )
 from brooktext.functions.labels import extend_labels, index_batches, label_frequency, stable_index
 from brooktext.functions.linear import with_prediction
 from brooktext.functions.text import field_at, prefix_drop, row_concat, split_first, tokenize
 from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes
-from brooktext.operators.sums import State, fetch_sums, slot_sums
+from brooktext.operators.sums import State, slot_sums
 from brooktext.sources import arrivals, feed, tables, wire
 from brooktext.sources.workspace import materialize, new_folder
 from brooktext.streaming import keyed_counts
@@ -36,6 +36,7 @@ from brooktext.streaming.learners import (
     stacked_predictions,
     update_linear,
     update_models,
+    with_predictions,
 )
 from brooktext.streaming.lifecycle import BatchRun
 from brooktext.streaming.scorer import StreamScorer
@@ -48,7 +49,8 @@ LINEAR_MODELS = ("SGD", "MNB", "KMEANS")
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register under the function's name; a trailing underscore is not part of it."""
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -181,13 +183,13 @@ def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def prefix_drop_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prefix_drop_(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = tables.read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return texts.select("doc_id", prefix_drop(F.col("text"), wire.RECORD_PREFIX).alias("rest"))
 
 
 @query
-def split_first_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
+def split_first_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut at its first comma; NULL message without one."""
     sentiment, message = split_first(F.col("text"), ",")
     texts = tables.read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -204,7 +206,7 @@ def first_field_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def row_concat_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+def row_concat_(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.read_table(spark, sf_dir, "events")
     day = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     return events.select("event_id", row_concat("event_id", "event_type", day, "user_id", "props").alias("line"))
@@ -231,7 +233,7 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def tokenize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tokenize_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token list of every document, joined by blanks, and its length."""
     tokens = _texts(spark, sf_dir).select("row_id", tokenize(F.col("message")).alias("tokens"))
     return tokens.select(
@@ -242,7 +244,9 @@ def tokenize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Occurrences of every token over all documents."""
-    tokens = _texts(spark, sf_dir).select(F.explode(tokenize(F.col("message"))).alias("token"))
+    # explode_outer: a plain explode is preceded by a non-empty test, which tokenises once more
+    tokens = _texts(spark, sf_dir).select(F.explode_outer(tokenize(F.col("message"))).alias("token"))
+    tokens = tokens.where(F.col("token").isNotNull())
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -271,7 +275,7 @@ def densify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def feature_label_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def features_and_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokenizer, hasher and label index as one fitted ML pipeline."""
     rows = tables.records(spark, sf_dir)
     # The label index is the only stage that learns; it needs no text.
@@ -289,7 +293,7 @@ def feature_label_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def label_frequency_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def label_frequency_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_frequency(tables.labelled_ids(spark, sf_dir), "batch_id")
 
 
@@ -363,11 +367,7 @@ def feature_table(spark: SparkSession, sf_dir: str, width: int = TRAIN_WIDTH) ->
     stored = materialize(hash_features(rows.drop("sentiment"), width), "features")
     sizes = stored.agg(F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1"))
     n0, n1 = sizes.first()
-    return with_sparse(right_sized(stored, n0 + n1), width), (n0, n1)
-
-
-def _fit(rows: DataFrame, coefficients, width: int = TRAIN_WIDTH) -> State:
-    return fetch_sums(slot_sums(rows, coefficients), width)
+    return with_terms(right_sized(stored, n0 + n1), width), (n0, n1)
 
 
 @query
@@ -375,7 +375,7 @@ def nb_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Term counts per slot and class; the last slot holds the class sizes."""
     mapping = extend_labels([], tables.labelled_ids(spark, sf_dir))
     rows = tables.records(spark, sf_dir).withColumn("label", stable_index(mapping))
-    rows = with_sparse(hash_features(rows, TRAIN_WIDTH), TRAIN_WIDTH)
+    rows = with_terms(hash_features(rows, TRAIN_WIDTH), TRAIN_WIDTH)
     sums = slot_sums(rows, naive_bayes.nb_coefficients())
     return sums.select("slot", F.col("n0").cast("bigint").alias("n0"), F.col("n1").cast("bigint").alias("n1"))
 
@@ -383,7 +383,7 @@ def nb_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = feature_table(spark, sf_dir)
-    state = naive_bayes.nb_update(None, _fit(rows, naive_bayes.nb_coefficients()))
+    state = update_linear(rows, {}, ("MNB",), TRAIN_WIDTH, "log")["MNB"]
     scored = with_prediction(rows, naive_bayes.nb_weights(state), "log_odds")
     return scored.select("row_id", "label", F.round("log_odds", 4).alias("log_odds"), "prediction")
 
@@ -392,39 +392,42 @@ def nb_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Naive Bayes trained and scored on all records."""
     rows, _ = feature_table(spark, sf_dir)
-    state = naive_bayes.nb_update(None, _fit(rows, naive_bayes.nb_coefficients()))
+    state = update_linear(rows, {}, ("MNB",), TRAIN_WIDTH, "log")["MNB"]
     return score_metrics(rows, ModelSet({"MNB": state})).select(
         "model", "n", "tn", "fp", "fn", "tp", *[F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall")]
     )
 
 
+def _first_gradient(rows: DataFrame, loss: str) -> DataFrame:
+    at_zero = rows.withColumn("sgd_margin", linear_sgd.sgd_margin(None))
+    return slot_sums(at_zero, linear_sgd.sgd_coefficients(loss)).select("slot", F.col("residual").alias("gradient"))
+
+
 @query
-def sgd_gradient_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sgd_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summed gradient of the log loss at zero weights."""
     rows, _ = feature_table(spark, sf_dir)
-    return slot_sums(rows, linear_sgd.sgd_coefficients(None, "log")).select("slot", F.col("residual").alias("gradient"))
+    return _first_gradient(rows, "log")
 
 
 @query
 def sgd_gradient_hinge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summed gradient of the hinge loss at zero weights, width 1,000."""
     rows, _ = feature_table(spark, sf_dir, WIDE_WIDTH)
-    sums = slot_sums(rows, linear_sgd.sgd_coefficients(None, "hinge"))
-    return sums.select("slot", F.col("residual").alias("gradient"))
+    return _first_gradient(rows, "hinge")
 
 
 @query
 def sgd_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions after one step of the log loss."""
     rows, _ = feature_table(spark, sf_dir)
-    state = linear_sgd.sgd_update(None, _fit(rows, linear_sgd.sgd_coefficients(None, "log")))
+    state = update_linear(rows, {}, ("SGD",), TRAIN_WIDTH, "log")["SGD"]
     scored = with_prediction(rows, linear_sgd.sgd_weights(state), "margin")
     return scored.select("row_id", "label", F.round("margin", 4).alias("margin"), "prediction")
 
 
 def _kmeans_after_one_step(rows: DataFrame) -> State:
-    start = kmeans.kmeans_start(rows, TRAIN_WIDTH)
-    return kmeans.kmeans_update(start, _fit(rows, kmeans.kmeans_coefficients(start)))
+    return update_linear(rows, {}, ("KMEANS",), TRAIN_WIDTH, "log")["KMEANS"]
 
 
 @query
@@ -492,11 +495,11 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mean_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean accuracy over the batches, and with the divisor one too large."""
-    scored = _batch_metrics(spark, sf_dir)
-    literal = M.mean_accuracy(scored, literal_divisor=True)
-    literal = literal.select("model", F.round("mean_accuracy", 6).alias("literal_mean"))
-    plain = M.mean_accuracy(scored).select("model", "batches", F.round("mean_accuracy", 6).alias("mean_accuracy"))
-    return plain.join(literal, "model")
+    means = M.mean_accuracy(_batch_metrics(spark, sf_dir))
+    literal = F.col("mean_accuracy") * F.col("batches") / (F.col("batches") + 1)
+    return means.select(
+        "model", "batches", F.round("mean_accuracy", 6).alias("mean_accuracy"), F.round(literal, 6).alias("literal_mean")
+    )
 
 
 @query
@@ -611,9 +614,8 @@ def model_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.save_metrics(0, with_batch_time(score_metrics(rows, models), fitted))
     reader = ModelStore(spark, root)
     loaded = ModelSet(reader.load_states(), {name: reader.load_ml(name) for name in models.ml})
-    before = stacked_predictions(rows, models)
-    after = stacked_predictions(rows, loaded).withColumnRenamed("prediction", "reloaded").drop("label")
-    compared = before.join(after, ["model", "row_id"])
-    return compared.groupBy("model").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") != F.col("reloaded")).alias("n_different")
-    )
+    both, before = with_predictions(rows, models, "saved")
+    both, after = with_predictions(both, loaded, "loaded")
+    pairs = [F.struct(F.lit(m).alias("model"), (F.col(before[m]) != F.col(after[m])).alias("differ")) for m in before]
+    compared = both.select(F.inline(F.array(*pairs)))
+    return compared.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_if("differ").alias("n_different"))

@@ -20,7 +20,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def id_batch(key: str | Column, size: int) -> Column:
     """Arrival batch of an id: the id range of length ``size`` it falls in."""
     key = F.col(key) if isinstance(key, str) else key
-    return F.floor(key / F.lit(size)).cast("bigint")
+    return F.call_function("div", key, F.lit(size))
 
 
 def fits_one_split(spark: SparkSession, sf_dir: str, name: str) -> bool:

@@ -47,16 +47,19 @@ def update_linear(
 ) -> dict[str, State]:
     """Naive Bayes, the linear classifier and k-means from one aggregation."""
     coefficients: dict[str, Column] = {}
+    margins: dict[str, Column] = {}
     if "MNB" in models:
         coefficients |= naive_bayes.nb_coefficients()
     if "SGD" in models:
-        coefficients |= linear_sgd.sgd_coefficients(prior.get("SGD"), loss)
+        margins["sgd_margin"] = linear_sgd.sgd_margin(prior.get("SGD"))
+        coefficients |= linear_sgd.sgd_coefficients(loss)
     if "KMEANS" in models:
         centres = prior.get("KMEANS") or kmeans.kmeans_start(rows, width)
-        coefficients |= kmeans.kmeans_coefficients(centres)
+        margins["kmeans_margin"] = kmeans.kmeans_margin(centres)
+        coefficients |= kmeans.kmeans_coefficients()
     if not coefficients:
         return {}
-    sums = fetch_sums(slot_sums(rows, coefficients), width)
+    sums = fetch_sums(slot_sums(rows.withColumns(margins), coefficients), width)
     states: dict[str, State] = {}
     if "MNB" in models:
         states["MNB"] = naive_bayes.nb_update(prior.get("MNB"), sums)
@@ -100,9 +103,11 @@ def linear_weights(states: dict[str, State]) -> dict:
     return {name: makers[name](states[name]) for name in MODELS if name in states}
 
 
-def with_predictions(rows: DataFrame, models: ModelSet) -> tuple[DataFrame, dict[str, str]]:
+def with_predictions(
+    rows: DataFrame, models: ModelSet, prefix: str = "prediction"
+) -> tuple[DataFrame, dict[str, str]]:
     """Add a prediction column per model; returns the columns by model name."""
-    columns = {name: f"prediction_{name}" for name in models.names()}
+    columns = {name: f"{prefix}_{name}" for name in models.names()}
     for name in models.names():
         if name in models.ml:
             rows = ml_models.ml_predict(rows, models.ml[name], columns[name])

@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooktext.functions.features import with_sparse
+from brooktext.functions.features import with_terms
 from brooktext.functions.labels import extend_labels
 from brooktext.functions.metrics import leaderboard
 from brooktext.streaming.frames import feature_frame, good_records, parse_batch, right_sized
@@ -60,7 +60,7 @@ class StreamScorer:
                 self.store.save_dead_letters(batch_id, frame.where(~good), f"{self.name}_dead_letters")
             if sizes.n == 0:
                 return False
-            rows = with_sparse(right_sized(frame.where(good), sizes.n), self.store.width)
+            rows = with_terms(right_sized(frame.where(good), sizes.n), self.store.width)
             if self.keep_predictions:
                 path = f"{self.store.root}/{self.name}_predictions/batch_id={batch_id}"
                 stacked_predictions(rows, self.models).write.mode("overwrite").parquet(path)

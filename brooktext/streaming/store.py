@@ -61,16 +61,14 @@ class ModelStore:
         names = child_names(self.spark, "/".join([self.root, *path]))
         return sorted(int(name.split("=")[1]) for name in names if name.startswith("batch_id="))
 
-    def complete_batches(self, before: int | None = None) -> list[int]:
-        return [
-            k
-            for k in self._batches("metrics")
-            if (before is None or k < before) and exists(self.spark, f"{self.root}/metrics/batch_id={k}/_SUCCESS")
-        ]
-
-    def _latest(self, before: int | None, *path: str) -> int | None:
-        versions = set(self._batches(*path)) & set(self.complete_batches(before))
-        return max(versions, default=None)
+    def latest(self, before: int | None, *path: str) -> int | None:
+        """The last version of a table whose batch is complete, before ``before``."""
+        for version in reversed(self._batches(*path)):
+            if before is not None and version >= before:
+                continue
+            if exists(self.spark, f"{self.root}/metrics/batch_id={version}/_SUCCESS"):
+                return version
+        return None
 
     def save_states(self, batch_id: int, states: dict[str, State]) -> None:
         rows = [
@@ -81,7 +79,7 @@ class ModelStore:
 
     def load_states(self, before: int | None = None) -> dict[str, State]:
         """States of the linear models by name; the rows fetched are model-sized."""
-        version = self._latest(before, "state")
+        version = self.latest(before, "state")
         if version is None:
             return {}
         if version not in self._states:
@@ -96,7 +94,7 @@ class ModelStore:
         fitted.write().overwrite().save(f"{self.root}/ml/{model}/batch_id={batch_id}")
 
     def load_ml(self, model: str, before: int | None = None):
-        version = self._latest(before, "ml", model)
+        version = self.latest(before, "ml", model)
         return None if version is None else ML_MODELS[model].load(f"{self.root}/ml/{model}/batch_id={version}")
 
     def save_labels(self, batch_id: int, labels: list[str]) -> None:
@@ -105,7 +103,7 @@ class ModelStore:
         self._labels = {batch_id: labels}
 
     def load_labels(self, before: int | None = None) -> list[str]:
-        version = self._latest(before, "labels")
+        version = self.latest(before, "labels")
         if version is None:
             return []
         if version not in self._labels:

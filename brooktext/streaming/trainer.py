@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooktext.functions.features import TRAIN_WIDTH, with_sparse
+from brooktext.functions.features import TRAIN_WIDTH, with_terms
 from brooktext.functions.labels import extend_labels
 from brooktext.streaming.frames import feature_frame, good_records, parse_batch, right_sized
 from brooktext.streaming.learners import MODELS, ModelSet, score_metrics, together, update_models
@@ -53,9 +53,8 @@ class StreamTrainer:
         return labels
 
     def _prior(self, batch_id: int) -> ModelSet:
-        done = self.store.complete_batches(batch_id)
         last, ml = self._ml
-        if not done or last != done[-1]:
+        if last is None or last != self.store.latest(batch_id, "metrics"):
             ml = {name: self.store.load_ml(name, batch_id) for name in ("LR", "MLP") if name in self.models}
             ml = {name: model for name, model in ml.items() if model is not None}
         return ModelSet(self.store.load_states(batch_id), ml)
@@ -76,7 +75,7 @@ class StreamTrainer:
                 self.store.save_dead_letters(batch_id, frame.where(~good))
             if sizes.n0 + sizes.n1 == 0:
                 return False
-            rows = with_sparse(right_sized(frame.where(good), sizes.n0 + sizes.n1), self.width)
+            rows = with_terms(right_sized(frame.where(good), sizes.n0 + sizes.n1), self.width)
             prior = self._prior(batch_id)
             before = None
             if self.mode == "pre_fit" and prior.names():

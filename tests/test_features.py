@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from brooktext.functions.features import feature_pipeline, hash_features, long_counts, with_sparse
+from brooktext.functions.features import feature_pipeline, hash_features, long_counts, with_terms
 
 # Known buckets at width 300.
 BUCKETS = {
@@ -26,10 +26,10 @@ def test_pipeline_gives_the_same_features(spark, records):
 
 def test_rows_without_tokens_keep_a_bias_entry(spark):
     df = spark.createDataFrame([(1, ""), (2, None), (3, "..."), (4, "a a")], "row_id bigint, message string")
-    rows = with_sparse(hash_features(df, 300), 300).orderBy("row_id").select("slots", "counts").collect()
-    assert [(r.slots, r.counts) for r in rows] == [([300], [1.0])] * 3 + [([67, 300], [2.0, 1.0])]
+    rows = with_terms(hash_features(df, 300), 300).orderBy("row_id").select("terms").collect()
+    assert [[tuple(term) for term in r.terms] for r in rows] == [[(300, 1.0)]] * 3 + [[(67, 2.0), (300, 1.0)]]
 
 
 def test_features_need_no_shuffle(spark, records):
-    plan = with_sparse(hash_features(records, 300), 300).agg(F.count("slots"))
+    plan = with_terms(hash_features(records, 300), 300).agg(F.count("terms"))
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brooktext.functions.features import hash_features, with_sparse
+from brooktext.functions.features import hash_features, with_terms
 from brooktext.functions.labels import stable_index
 from brooktext.functions.linear import with_prediction
 from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes
@@ -19,7 +19,7 @@ WIDTH = 50
 @pytest.fixture
 def rows(records):
     labelled = records.withColumn("label", stable_index(["4", "0"]))
-    return with_sparse(hash_features(labelled, WIDTH), WIDTH).persist()
+    return with_terms(hash_features(labelled, WIDTH), WIDTH).persist()
 
 
 @pytest.fixture
@@ -28,7 +28,8 @@ def dense(rows):
     fetched = rows.orderBy("row_id").collect()
     x = np.zeros((len(fetched), WIDTH + 1))
     for i, row in enumerate(fetched):
-        x[i, row.slots] = row.counts
+        for term in row.terms:
+            x[i, term.slot] = term["count"]
     return x, np.array([row.label for row in fetched])
 
 
@@ -36,6 +37,16 @@ def fit(rows, coefficients):
     return fetch_sums(slot_sums(rows, coefficients), WIDTH)
 
 
+def sgd_step(rows, state, loss):
+    rows = rows.withColumn("sgd_margin", linear_sgd.sgd_margin(state))
+    return linear_sgd.sgd_update(state, fit(rows, linear_sgd.sgd_coefficients(loss)))
+
+
+def kmeans_step(rows, state):
+    rows = rows.withColumn("kmeans_margin", kmeans.kmeans_margin(state))
+    return kmeans.kmeans_update(state, fit(rows, kmeans.kmeans_coefficients()))
+
+
 def margins(rows, weights):
     scored = with_prediction(rows, weights, "margin").orderBy("row_id").collect()
     return np.array([r.margin for r in scored]), np.array([r.prediction for r in scored])
@@ -67,7 +78,7 @@ def test_sgd_steps(rows, dense, loss):
     x, y = dense
     state, w = None, np.zeros(WIDTH + 1)
     for step in range(4):
-        state = linear_sgd.sgd_update(state, fit(rows, linear_sgd.sgd_coefficients(state, loss)))
+        state = sgd_step(rows, state, loss)
         m = x @ w
         if loss == "log":
             r = 1 / (1 + np.exp(-m)) - y
@@ -85,7 +96,7 @@ def test_sgd_learns_separable_rows(rows, loss):
     at_zero = rows.agg(F.avg(linear_sgd.loss_value(F.lit(0.0), loss))).first()[0]
     state, losses = None, [at_zero]
     for _ in range(12):
-        state = linear_sgd.sgd_update(state, fit(rows, linear_sgd.sgd_coefficients(state, loss)))
+        state = sgd_step(rows, state, loss)
         scored = with_prediction(rows, linear_sgd.sgd_weights(state), "margin")
         losses.append(scored.agg(F.avg(linear_sgd.loss_value(F.col("margin"), loss))).first()[0])
     assert losses[-1] < losses[0]
@@ -103,7 +114,7 @@ def test_kmeans_start_and_steps(rows, dense):
         d = [((x - centre) ** 2).sum(axis=1) for centre in c]
         margin, nearer = margins(rows, kmeans.kmeans_weights(state))
         np.testing.assert_allclose(margin, d[0] - d[1], rtol=1e-9, atol=1e-9)
-        state = kmeans.kmeans_update(state, fit(rows, kmeans.kmeans_coefficients(state)))
+        state = kmeans_step(rows, state)
         for j in (0, 1):
             sums[j] += x[nearer == j].sum(axis=0)
             sizes[j] += (nearer == j).sum()
@@ -113,9 +124,9 @@ def test_kmeans_start_and_steps(rows, dense):
 
 
 def test_kmeans_of_identical_rows_gives_cluster_zero(rows):
-    same = rows.where(F.col("row_id") == 0).select("row_id", "slots", "counts")
+    same = rows.where(F.col("row_id") == 0).select("row_id", "terms")
     state = kmeans.kmeans_start(same, WIDTH)
-    state = kmeans.kmeans_update(state, fit(same, kmeans.kmeans_coefficients(state)))
+    state = kmeans_step(same, state)
     assert margins(same, kmeans.kmeans_weights(state))[1].tolist() == [0.0]
 
 
@@ -165,8 +176,8 @@ def test_one_class_batch_skips_logistic_regression_only(rows):
 
 
 def test_linear_models_share_one_pass(rows):
-    coefficients = naive_bayes.nb_coefficients() | linear_sgd.sgd_coefficients(None, "log")
-    plan = slot_sums(rows, coefficients)._jdf.queryExecution().executedPlan().toString()
+    coefficients = naive_bayes.nb_coefficients() | linear_sgd.sgd_coefficients("log")
+    plan = slot_sums(rows.withColumn("sgd_margin", F.lit(0.0)), coefficients)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_sum" in plan
 
 
