@@ -40,7 +40,7 @@ from brooktext.streaming.learners import (
 )
 from brooktext.streaming.lifecycle import BatchRun
 from brooktext.streaming.scorer import StreamScorer
-from brooktext.streaming.store import ModelStore, with_batch_time
+from brooktext.streaming.store import ModelStore
 from brooktext.streaming.trainer import StreamTrainer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -611,7 +611,7 @@ def model_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.save_states(0, models.states)
     for name, model in models.ml.items():
         store.save_ml(0, name, model)
-    store.save_metrics(0, with_batch_time(score_metrics(rows, models), fitted))
+    store.save_metrics(0, score_metrics(rows, models).collect(), fitted)
     reader = ModelStore(spark, root)
     loaded = ModelSet(reader.load_states(), {name: reader.load_ml(name) for name in models.ml})
     both, before = with_predictions(rows, models, "saved")

@@ -12,7 +12,7 @@ from brooktext.functions.metrics import leaderboard
 from brooktext.streaming.frames import feature_frame, good_records, parse_batch, right_sized
 from brooktext.streaming.learners import MODELS, ModelSet, score_metrics, stacked_predictions
 from brooktext.streaming.lifecycle import BatchRun
-from brooktext.streaming.store import ModelStore, with_batch_time
+from brooktext.streaming.store import ModelStore
 
 PREDICTION_SCHEMA = "model string, row_id bigint, label double, prediction double, batch_id bigint"
 
@@ -64,8 +64,7 @@ class StreamScorer:
             if self.keep_predictions:
                 path = f"{self.store.root}/{self.name}_predictions/batch_id={batch_id}"
                 stacked_predictions(rows, self.models).write.mode("overwrite").parquet(path)
-            metrics = with_batch_time(score_metrics(rows, self.models), [])
-            self.store.save_metrics(batch_id, metrics, self.name)
+            self.store.save_metrics(batch_id, score_metrics(rows, self.models).collect(), [], self.name)
             return True
         finally:
             frame.unpersist()

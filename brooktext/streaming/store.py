@@ -8,21 +8,32 @@ replay after a failure gives the same tables as an undisturbed run.
 
 from __future__ import annotations
 
+import datetime
+
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegressionModel, MultilayerPerceptronClassificationModel
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from brooktext.operators.sums import State
 from brooktext.sources.workspace import child_names, exists
 
 STATE_SCHEMA = "model string, name string, vector array<double>"
-LABEL_SCHEMA = "label string, position int"
-SETTINGS_SCHEMA = "width int"
+LABEL_SCHEMA = "label string, position bigint"
+SETTINGS_SCHEMA = "width bigint"
 METRIC_SCHEMA = (
     "model string, n bigint, tn bigint, fp bigint, fn bigint, tp bigint, accuracy double, precision double,"
     " recall double, aligned_accuracy double, batch_time timestamp, fitted boolean, batch_id bigint"
 )
+METRIC_TABLE = pa.schema(
+    [
+        ("model", pa.string()),
+        *[(name, pa.int64()) for name in ("n", "tn", "fp", "fn", "tp")],
+        *[(name, pa.float64()) for name in ("accuracy", "precision", "recall", "aligned_accuracy")],
+        ("batch_time", pa.timestamp("us", tz="UTC")),
+        ("fitted", pa.bool_()),
+    ]
+)
 DEAD_SCHEMA = "record string, reject string, batch_id bigint"
 ML_MODELS = {"LR": LogisticRegressionModel, "MLP": MultilayerPerceptronClassificationModel}
 
@@ -49,13 +60,13 @@ class ModelStore:
             return stored
         if width is None:
             raise FileNotFoundError(f"no models at {self.root}")
-        self._write([(width,)], SETTINGS_SCHEMA, "settings")
+        self._write(pa.table({"width": [width]}), "settings")
         return width
 
-    def _write(self, rows: list[tuple], schema: str, *path: str) -> None:
-        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(
-            "/".join([self.root, *path])
-        )
+    def _write(self, table: pa.Table, *path: str) -> None:
+        """Write a table of model size, as one file."""
+        rows = self.spark.createDataFrame(table)
+        rows.coalesce(1).write.mode("overwrite").parquet("/".join([self.root, *path]))
 
     def _batches(self, *path: str) -> list[int]:
         names = child_names(self.spark, "/".join([self.root, *path]))
@@ -72,9 +83,11 @@ class ModelStore:
 
     def save_states(self, batch_id: int, states: dict[str, State]) -> None:
         rows = [
-            (model, name, vector.tolist()) for model, state in states.items() for name, vector in state.items()
+            {"model": model, "name": name, "vector": vector.tolist()}
+            for model, state in states.items()
+            for name, vector in state.items()
         ]
-        self._write(rows, STATE_SCHEMA, "state", f"batch_id={batch_id}")
+        self._write(pa.Table.from_pylist(rows), "state", f"batch_id={batch_id}")
         self._states = {batch_id: states}
 
     def load_states(self, before: int | None = None) -> dict[str, State]:
@@ -98,8 +111,8 @@ class ModelStore:
         return None if version is None else ML_MODELS[model].load(f"{self.root}/ml/{model}/batch_id={version}")
 
     def save_labels(self, batch_id: int, labels: list[str]) -> None:
-        rows = [(label, position) for position, label in enumerate(labels)]
-        self._write(rows, LABEL_SCHEMA, "labels", f"batch_id={batch_id}")
+        table = pa.table({"label": pa.array(labels, pa.string()), "position": pa.array(range(len(labels)), pa.int64())})
+        self._write(table, "labels", f"batch_id={batch_id}")
         self._labels = {batch_id: labels}
 
     def load_labels(self, before: int | None = None) -> list[str]:
@@ -112,9 +125,11 @@ class ModelStore:
             self._labels = {version: [row.label for row in rows]}
         return self._labels[version]
 
-    def save_metrics(self, batch_id: int, metrics: DataFrame, table: str = "metrics") -> None:
-        path = f"{self.root}/{table}/batch_id={batch_id}"
-        metrics.drop("batch_id").coalesce(1).write.mode("overwrite").parquet(path)
+    def save_metrics(self, batch_id: int, metrics: list[Row], fitted: list[str], table: str = "metrics") -> None:
+        """Write one row per model; for the training table this completes the batch."""
+        now = datetime.datetime.now(datetime.timezone.utc)
+        rows = [{**row.asDict(), "batch_time": now, "fitted": row.model in fitted} for row in metrics]
+        self._write(pa.Table.from_pylist(rows, METRIC_TABLE), table, f"batch_id={batch_id}")
 
     def metrics(self, table: str = "metrics") -> DataFrame:
         return self._read(METRIC_SCHEMA, table)
@@ -134,7 +149,3 @@ class ModelStore:
     def state_table(self) -> DataFrame:
         """All stored versions of the linear models."""
         return self._read(f"{STATE_SCHEMA}, batch_id bigint", "state")
-
-
-def with_batch_time(metrics: DataFrame, fitted: list[str]) -> DataFrame:
-    return metrics.withColumns({"batch_time": F.current_timestamp(), "fitted": F.col("model").isin(fitted)})

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from brooktext.functions.features import TRAIN_WIDTH, with_terms
@@ -11,7 +11,7 @@ from brooktext.functions.labels import extend_labels
 from brooktext.streaming.frames import feature_frame, good_records, parse_batch, right_sized
 from brooktext.streaming.learners import MODELS, ModelSet, score_metrics, together, update_models
 from brooktext.streaming.lifecycle import BatchRun
-from brooktext.streaming.store import METRIC_SCHEMA, ModelStore, with_batch_time
+from brooktext.streaming.store import ModelStore
 
 MODES = ("post_fit", "pre_fit")
 LABEL_MODES = ("stable", "per_batch")
@@ -77,24 +77,22 @@ class StreamTrainer:
                 return False
             rows = with_terms(right_sized(frame.where(good), sizes.n0 + sizes.n1), self.width)
             prior = self._prior(batch_id)
-            before = None
+            before = []
             if self.mode == "pre_fit" and prior.names():
                 # Fetched now: one row per model, before the models move on.
                 before = score_metrics(rows, prior).collect()
             updated, fitted = update_models(
                 rows, prior, (sizes.n0, sizes.n1), self.models, self.width, self.loss
             )
-            metrics = self._save_and_score(rows, batch_id, updated, fitted, before)
-            self.store.save_metrics(batch_id, metrics)
+            metrics = self._save_and_score(rows, batch_id, updated, fitted)
+            self.store.save_metrics(batch_id, before if self.mode == "pre_fit" else metrics, fitted)
             self._ml = (batch_id, updated.ml)
             return True
         finally:
             frame.unpersist()
 
-    def _save_and_score(
-        self, rows: DataFrame, batch_id: int, updated: ModelSet, fitted: list[str], before: list | None
-    ) -> DataFrame:
-        """Save the models and score the batch, side by side; returns the metrics."""
+    def _save_and_score(self, rows: DataFrame, batch_id: int, updated: ModelSet, fitted: list[str]) -> list[Row]:
+        """Save the models and score the batch, side by side; returns the metrics, a row per model."""
         tasks = [
             lambda name=name: self.store.save_ml(batch_id, name, updated.ml[name].copy())
             for name in ("LR", "MLP")
@@ -103,12 +101,9 @@ class StreamTrainer:
         if updated.states:
             tasks.append(lambda: self.store.save_states(batch_id, updated.states))
         if self.mode == "post_fit" and updated.names():
-            *_, before = together(self.spark, *tasks, lambda: score_metrics(rows, updated).collect())
-        else:
-            together(self.spark, *tasks)
-        # One row per model.
-        schema = METRIC_SCHEMA.rsplit(", batch_time", 1)[0]
-        return with_batch_time(self.spark.createDataFrame(before or [], schema), fitted)
+            return together(self.spark, *tasks, lambda: score_metrics(rows, updated).collect())[-1]
+        together(self.spark, *tasks)
+        return []
 
     def start(
         self, stream: DataFrame, checkpoint: str, trigger: dict | None = None, max_batches: int | None = None
