@@ -36,5 +36,9 @@ def row_concat(*fields: Column | str) -> Column:
 
 
 def tokenize(message: Column) -> Column:
-    """Lower-cased word tokens of at least one character."""
-    return F.filter(F.split(F.lower(message), TOKEN_GAP), lambda token: F.length(token) >= 1)
+    """Lower-cased word tokens of at least one character.
+
+    Splitting at runs of separators and removing the empty ends gives the same
+    tokens as splitting at each one, with no lambda per token.
+    """
+    return F.array_remove(F.split(F.lower(message), f"{TOKEN_GAP}+"), "")
