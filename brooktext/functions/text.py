@@ -30,6 +30,16 @@ def field_at(line: Column, position: int = 0, separator: str = ";") -> Column:
     return F.get(F.split(line, separator, position + 2), F.lit(position))
 
 
+def record_id(sentiment: Column, message: Column) -> Column:
+    """A 60-bit id from the content, for streams whose records carry none.
+
+    Taken from MD5, so that it can be recomputed anywhere. Equal records share
+    it.
+    """
+    digest = F.md5(F.concat_ws(",", sentiment, message))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
 def row_concat(*fields: Column | str) -> Column:
     """Fields joined by nothing, closed by a newline; NULL fields are skipped."""
     return F.concat(F.concat_ws("", *fields), F.lit("\n"))

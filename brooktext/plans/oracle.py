@@ -49,7 +49,7 @@ TEXTS = "texts AS (SELECT doc_id AS row_id, text AS message FROM documents)"
 
 def _term_counts(source: str, width: int) -> str:
     """``tf(row_id, bucket, tf)`` of the messages in ``source``."""
-    steps = f"xor(acc::UBIGINT, x::UBIGINT)"
+    steps = "xor(acc::UBIGINT, x::UBIGINT)"
     return f"""tokens AS (SELECT row_id, unnest({TOKENS}) AS term FROM {source}),
 counts AS (SELECT row_id, term, count(*) AS n FROM tokens GROUP BY row_id, term),
 terms AS (SELECT DISTINCT term, hex(encode(term)) AS h, octet_length(encode(term)) AS n FROM counts),
@@ -440,3 +440,55 @@ p{k} AS (
 
 
 ORACLES["train_sgd"] = _sgd_stream(WIDE_WIDTH)
+
+
+def _kmeans_stream(width: int) -> str:
+    """Two centres over the arrivals, spelled out arrival by arrival."""
+    first = f"""keyed AS (
+  SELECT r.row_id, ('0x' || substr(md5(r.sentiment || ',' || r.message), 1, 15))::BIGINT AS key
+  FROM records r JOIN labelled l ON l.row_id = r.row_id AND l.batch_id = 0),
+i0 AS (
+  SELECT slot, any_value(x) AS c FROM slots
+  WHERE slot < {width} AND row_id = (SELECT row_id FROM keyed ORDER BY key, row_id LIMIT 1) GROUP BY slot),
+far AS (
+  SELECT k.row_id, any_value(k.key) AS key, sum(s.x * s.x) - 2 * sum(s.x * coalesce(i0.c, 0)) AS d
+  FROM keyed k JOIN slots s ON s.row_id = k.row_id LEFT JOIN i0 ON s.slot = i0.slot GROUP BY k.row_id),
+i1 AS (
+  SELECT slot, x AS c FROM slots
+  WHERE slot < {width} AND row_id = (SELECT row_id FROM far ORDER BY d DESC, key, row_id LIMIT 1)),
+sum0 AS (
+  SELECT e.slot, coalesce(i0.c, 0) AS c0, coalesce(i1.c, 0) AS c1, CAST(0 AS DOUBLE) AS s0, CAST(0 AS DOUBLE) AS s1
+  FROM every_slot e LEFT JOIN i0 ON e.slot = i0.slot LEFT JOIN i1 ON e.slot = i1.slot WHERE e.slot < {width}),
+size0 AS (SELECT 0 AS m0, 0 AS m1)"""
+    parts = [_stream(width), first]
+
+    def margin(name: str, k: int, centres: str) -> str:
+        return f"""{name} AS (
+  SELECT l.row_id, any_value(l.label) AS label,
+    coalesce(sum(2 * s.x * (c.c1 - c.c0)), 0) + (SELECT sum(c0 * c0 - c1 * c1) FROM {centres}) AS margin
+  FROM labelled l JOIN slots s ON l.row_id = s.row_id LEFT JOIN {centres} c ON s.slot = c.slot
+  WHERE l.batch_id = {k} GROUP BY l.row_id)"""
+
+    for k in range(ARRIVALS):
+        parts.append(margin(f"near{k}", k, f"sum{k}"))
+        parts.append(f"""size{k + 1} AS (
+  SELECT m0 + (SELECT count(*) FROM near{k} WHERE NOT margin > 0) AS m0,
+    m1 + (SELECT count(*) FROM near{k} WHERE margin > 0) AS m1 FROM size{k}),
+add{k} AS (
+  SELECT s.slot, coalesce(sum(s.x) FILTER (NOT n.margin > 0), 0) AS a0, coalesce(sum(s.x) FILTER (n.margin > 0), 0) AS a1
+  FROM slots s JOIN near{k} n ON n.row_id = s.row_id GROUP BY s.slot),
+sum{k + 1} AS (
+  SELECT p.slot, p.s0 + coalesce(a.a0, 0) AS s0, p.s1 + coalesce(a.a1, 0) AS s1,
+    CASE WHEN z.m0 > 0 THEN (p.s0 + coalesce(a.a0, 0)) / z.m0 ELSE p.c0 END AS c0,
+    CASE WHEN z.m1 > 0 THEN (p.s1 + coalesce(a.a1, 0)) / z.m1 ELSE p.c1 END AS c1
+  FROM sum{k} p LEFT JOIN add{k} a ON a.slot = p.slot CROSS JOIN size{k + 1} z)""")
+        parts.append(margin(f"after{k}", k, f"sum{k + 1}"))
+    union = " UNION ALL ".join(f"SELECT {k} AS batch_id, label, margin FROM after{k}" for k in range(ARRIVALS))
+    parts.append(f"decided AS (SELECT CAST(batch_id AS BIGINT) AS batch_id, label, {DECISION} AS p FROM ({union}))")
+    parts.append(f"cells AS (SELECT batch_id, {CELLS} FROM decided GROUP BY 1)")
+    return (
+        "WITH " + ",\n".join(parts) + f"\nSELECT 'KMEANS' AS model, batch_id, n, tn, fp, fn, tp, {RATES} FROM cells"
+    )
+
+
+ORACLES["train_kmeans"] = _kmeans_stream(WIDE_WIDTH)

@@ -555,13 +555,8 @@ def train_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def train_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K-means over the stream, width 1,000: sizes of the clusters per version."""
-    trainer = train_stream(spark, sf_dir, width=WIDE_WIDTH, models=("KMEANS",))
-    size = F.get("vector", F.lit(WIDE_WIDTH)).cast("bigint")
-    return trainer.store.state_table().groupBy("batch_id").agg(
-        F.sum(F.when(F.col("name") == "s0", size)).alias("size0"),
-        F.sum(F.when(F.col("name") == "s1", size)).alias("size1"),
-    )
+    """K-means over the stream, width 1,000: metrics per batch."""
+    return _stream_metrics(train_stream(spark, sf_dir, width=WIDE_WIDTH, models=("KMEANS",)))
 
 
 @query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brooktext.functions.features import hash_features
 from brooktext.functions.labels import stable_index
+from brooktext.functions.text import record_id
 from brooktext.sources.wire import HEADER_LABEL, parse_wire, split_wire_literally
 
 # A task should hold at least this many rows of a batch; smaller batches are
@@ -50,7 +51,7 @@ def feature_frame(parsed: DataFrame, labels: list[str], width: int) -> DataFrame
     read of the batch serves both training and the dead letter table.
     """
     if "row_id" not in parsed.columns:
-        parsed = parsed.withColumn("row_id", F.xxhash64("sentiment", "message"))
+        parsed = parsed.withColumn("row_id", record_id(F.col("sentiment"), F.col("message")))
     good = F.col("reject").isNull()
     marked = mark_rejects(parsed, labels).select(
         "row_id",
