@@ -32,7 +32,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--models-dir", help="folder of the models, for train and score")
     parser.add_argument("--out", help="folder of the counts, for count")
     parser.add_argument("--checkpoint", help="stream checkpoint; a new one if not given")
-    parser.add_argument("--interval", help="trigger interval; without it, read what is there and end")
+    parser.add_argument("--interval", help="trigger interval; without it, files are read to their end")
+    parser.add_argument("--keep-versions", type=int, help="model versions kept by train")
     parser.add_argument("--timeout", type=float, help="seconds to run")
     parser.add_argument("--max-batches", type=int, default=LONG_RUN_BATCHES)
     parser.add_argument("--models", nargs="+", choices=MODELS, default=list(MODELS))
@@ -55,11 +56,18 @@ def source_options(args: argparse.Namespace) -> dict[str, str]:
     return options
 
 
+def trigger_of(args: argparse.Namespace) -> dict | None:
+    """The given interval; the usual one for a source that has no end."""
+    interval = args.interval
+    if interval is None and args.source != "text":
+        interval = feed.COUNT_INTERVAL if args.command == "count" else feed.MODEL_INTERVAL
+    return {"processingTime": interval} if interval else None
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     lines = feed.line_stream(spark, args.source, **source_options(args))
     checkpoint = args.checkpoint or new_folder(spark, "checkpoint")
-    trigger = {"processingTime": args.interval} if args.interval else None
-    limits = {"trigger": trigger, "max_batches": args.max_batches}
+    limits = {"trigger": trigger_of(args), "max_batches": args.max_batches}
     if args.command == "count":
         start_running_counts(keyed_lines(lines, args.key_position), args.out, checkpoint, **limits).wait(args.timeout)
         read_counts(spark, args.out, "total").orderBy("batch_id", "key").show()
@@ -68,7 +76,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "train":
         worker = StreamTrainer(
             spark, args.models_dir, **({"width": args.width} if args.width else {}),
-            loss=args.loss, mode=args.mode, **common,
+            loss=args.loss, mode=args.mode, keep_versions=args.keep_versions, **common,
         )
     else:
         worker = StreamScorer(spark, args.models_dir, args.width, **common)

@@ -208,8 +208,8 @@ def first_field_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def row_concat_(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.read_table(spark, sf_dir, "events")
-    day = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    return events.select("event_id", row_concat("event_id", "event_type", day, "user_id", "props").alias("line"))
+    second = F.substring(F.col("ts").cast("string"), 1, 19)
+    return events.select("event_id", row_concat("event_id", "event_type", second, "user_id", "props").alias("line"))
 
 
 @query

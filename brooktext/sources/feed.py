@@ -74,7 +74,7 @@ def to_feed(events: DataFrame) -> DataFrame:
     given = {
         "ID": "CAST(event_id AS STRING)",
         "language": "event_type",
-        "Date": "date_format(ts, 'yyyy-MM-dd HH:mm:ss')",
+        "Date": "substring(CAST(ts AS STRING), 1, 19)",
         "Userid": "CAST(user_id AS STRING)",
     }
     return events.selectExpr(

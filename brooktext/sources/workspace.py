@@ -58,6 +58,11 @@ def bytes_in(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = _hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, target = _hadoop_path(spark, path)
     if not fs.exists(target):

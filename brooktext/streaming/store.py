@@ -16,7 +16,7 @@ from pyspark.ml.classification import LogisticRegressionModel, MultilayerPercept
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from brooktext.operators.sums import State
-from brooktext.sources.workspace import child_names, exists
+from brooktext.sources.workspace import child_names, delete, exists
 
 STATE_SCHEMA = "model string, name string, vector array<double>"
 LABEL_SCHEMA = "label string, position bigint"
@@ -50,6 +50,9 @@ class ModelStore:
         # The last version read or written, so that a running trainer need not re-read it.
         self._states: dict[int, dict[str, State]] = {}
         self._labels: dict[int, list[str]] = {}
+        # Versions written by this store: of the open batch, and the last complete ones.
+        self._open: dict[tuple[str, ...], int] = {}
+        self._complete: dict[tuple[str, ...], int] = {}
 
     def _settle_width(self, width: int | None) -> int:
         path = f"{self.root}/settings"
@@ -73,11 +76,17 @@ class ModelStore:
         return sorted(int(name.split("=")[1]) for name in names if name.startswith("batch_id="))
 
     def latest(self, before: int | None, *path: str) -> int | None:
-        """The last version of a table whose batch is complete, before ``before``."""
+        """The last version of a table whose batch is complete, before ``before``.
+
+        A running trainer knows it; folders are listed after a restart only.
+        """
+        known = self._complete.get(path)
+        if known is not None and before is not None and known < before:
+            return known
         for version in reversed(self._batches(*path)):
             if before is not None and version >= before:
                 continue
-            if exists(self.spark, f"{self.root}/metrics/batch_id={version}/_SUCCESS"):
+            if self._is_complete(version):
                 return version
         return None
 
@@ -88,6 +97,7 @@ class ModelStore:
             for name, vector in state.items()
         ]
         self._write(pa.Table.from_pylist(rows), "state", f"batch_id={batch_id}")
+        self._open["state",] = batch_id
         self._states = {batch_id: states}
 
     def load_states(self, before: int | None = None) -> dict[str, State]:
@@ -105,6 +115,7 @@ class ModelStore:
 
     def save_ml(self, batch_id: int, model: str, fitted) -> None:
         fitted.write().overwrite().save(f"{self.root}/ml/{model}/batch_id={batch_id}")
+        self._open["ml", model] = batch_id
 
     def load_ml(self, model: str, before: int | None = None):
         version = self.latest(before, "ml", model)
@@ -113,6 +124,7 @@ class ModelStore:
     def save_labels(self, batch_id: int, labels: list[str]) -> None:
         table = pa.table({"label": pa.array(labels, pa.string()), "position": pa.array(range(len(labels)), pa.int64())})
         self._write(table, "labels", f"batch_id={batch_id}")
+        self._open["labels",] = batch_id
         self._labels = {batch_id: labels}
 
     def load_labels(self, before: int | None = None) -> list[str]:
@@ -130,6 +142,23 @@ class ModelStore:
         now = datetime.datetime.now(datetime.timezone.utc)
         rows = [{**row.asDict(), "batch_time": now, "fitted": row.model in fitted} for row in metrics]
         self._write(pa.Table.from_pylist(rows, METRIC_TABLE), table, f"batch_id={batch_id}")
+        if table == "metrics":
+            done = {path: k for path, k in self._open.items() if k == batch_id}
+            self._complete |= {**done, ("metrics",): batch_id}
+            self._open.clear()
+
+    def prune(self, keep: int) -> None:
+        """Delete model versions older than the ``keep`` newest complete ones.
+
+        For long runs. Metrics, labels and dead letters are kept.
+        """
+        for path in (("state",), *(("ml", model) for model in ML_MODELS)):
+            complete = [k for k in self._batches(*path) if self._is_complete(k)]
+            for version in complete[:-max(keep, 1)]:
+                delete(self.spark, "/".join([self.root, *path, f"batch_id={version}"]))
+
+    def _is_complete(self, batch_id: int) -> bool:
+        return exists(self.spark, f"{self.root}/metrics/batch_id={batch_id}/_SUCCESS")
 
     def metrics(self, table: str = "metrics") -> DataFrame:
         return self._read(METRIC_SCHEMA, table)

@@ -23,6 +23,7 @@ class StreamTrainer:
     ``mode='post_fit'`` scores a batch with the models it has just trained;
     ``'pre_fit'`` scores it first, with the models before it. ``label_mode``
     keeps one label mapping, or ranks the labels anew in every batch.
+    ``keep_versions`` bounds the model versions kept by a long run.
     """
 
     def __init__(
@@ -35,6 +36,7 @@ class StreamTrainer:
         mode: str = "post_fit",
         label_mode: str = "stable",
         parser: str = "decode",
+        keep_versions: int | None = None,
     ):
         unknown = set(models) - set(MODELS)
         if unknown or mode not in MODES or label_mode not in LABEL_MODES:
@@ -43,6 +45,7 @@ class StreamTrainer:
         self.store = ModelStore(spark, root, width)
         self.width, self.models, self.loss = width, tuple(models), loss
         self.mode, self.label_mode, self.parser = mode, label_mode, parser
+        self.keep_versions = keep_versions
         self._ml: tuple[int | None, dict] = (None, {})
 
     def _labels(self, parsed: DataFrame, batch_id: int) -> list[str]:
@@ -87,6 +90,8 @@ class StreamTrainer:
             metrics = self._save_and_score(rows, batch_id, updated, fitted)
             self.store.save_metrics(batch_id, before if self.mode == "pre_fit" else metrics, fitted)
             self._ml = (batch_id, updated.ml)
+            if self.keep_versions is not None:
+                self.store.prune(self.keep_versions)
             return True
         finally:
             frame.unpersist()

@@ -272,3 +272,29 @@ def test_preview_reads_every_batch(spark):
     query.awaitTermination()
     assert query.exception() is None
     assert query.lastProgress.numInputRows == 2
+
+
+def test_old_model_versions_are_pruned(spark, records):
+    root = new_folder(spark, "models")
+    trainer = StreamTrainer(spark, root, WIDTH, ("LR", "MNB"), keep_versions=2)
+    for k in range(4):
+        trainer.process(records, k)
+    assert {k for k, _, _ in states_of(trainer.store)} == {2, 3}
+    assert trainer.store.latest(None, "ml", "LR") == 3
+    assert trainer.metrics().select("batch_id").distinct().count() == 4
+    again = StreamTrainer(spark, root, WIDTH, ("LR", "MNB"))
+    again.process(records, 4)
+    np.testing.assert_array_equal(again.store.load_states()["MNB"]["n0"][-1], 30)
+
+
+def test_incomplete_batch_is_not_read(spark, records):
+    root = new_folder(spark, "models")
+    trainer = StreamTrainer(spark, root, WIDTH, ("MNB",))
+    trainer.process(records, 0)
+    # the run dies after its models of batch 1 and before the metrics
+    trainer.store.save_states(1, {"MNB": {name: np.full(WIDTH + 1, 99.0) for name in ("n0", "n1")}})
+    for restarted in (trainer, StreamTrainer(spark, root, WIDTH, ("MNB",))):
+        np.testing.assert_array_equal(restarted.store.load_states(1)["MNB"]["n0"][-1], 6)
+        np.testing.assert_array_equal(restarted.store.load_states(2)["MNB"]["n0"][-1], 6)
+    restarted.process(records, 1)
+    np.testing.assert_array_equal(restarted.store.load_states()["MNB"]["n0"][-1], 12)
