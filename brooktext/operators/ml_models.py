@@ -12,6 +12,8 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 
+from brooktext.functions.sizing import ROWS_PER_ITERATED_TASK, right_sized
+
 # Solver settings of the two learners.
 LR_MAX_ITER = 50
 LR_TOLERANCE = 1e-6
@@ -36,7 +38,7 @@ def lr_fit(frame: DataFrame, n: int) -> LogisticRegressionModel:
         standardization=False,
         family="binomial",
     )
-    return learner.fit(frame.select("features", "label"))
+    return learner.fit(right_sized(frame.select("features", "label"), n, ROWS_PER_ITERATED_TASK))
 
 
 def mlp_update(
@@ -55,7 +57,7 @@ def mlp_update(
     )
     if previous is not None:
         learner = learner.setInitialWeights(previous.weights)
-    return learner.fit(frame.select("features", "label"))
+    return learner.fit(right_sized(frame.select("features", "label"), n, ROWS_PER_ITERATED_TASK))
 
 
 def ml_predict(frame: DataFrame, model, column: str) -> DataFrame:
@@ -66,7 +68,7 @@ def ml_predict(frame: DataFrame, model, column: str) -> DataFrame:
     return model.transform(frame)
 
 
-def lr_grid_search(frame: DataFrame, folds: int = 5, seed: int = 0) -> CrossValidatorModel:
+def lr_grid_search(frame: DataFrame, n: int, folds: int = 5, seed: int = 0) -> CrossValidatorModel:
     """Choose the iteration limit by cross-validated r2 of the predicted class."""
     learner = LogisticRegression(family="binomial")
     grid = ParamGridBuilder().addGrid(learner.maxIter, GRID_MAX_ITER).build()
@@ -79,4 +81,4 @@ def lr_grid_search(frame: DataFrame, folds: int = 5, seed: int = 0) -> CrossVali
         seed=seed,
         parallelism=len(GRID_MAX_ITER),
     )
-    return search.fit(frame.select("features", "label"))
+    return search.fit(right_sized(frame.select("features", "label"), n, ROWS_PER_ITERATED_TASK))

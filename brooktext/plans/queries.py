@@ -22,13 +22,14 @@ from brooktext.functions.features import (
 )
 from brooktext.functions.labels import extend_labels, index_batches, label_frequency, stable_index
 from brooktext.functions.linear import with_prediction
+from brooktext.functions.sizing import right_sized
 from brooktext.functions.text import field_at, prefix_drop, row_concat, split_first, tokenize
 from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes
 from brooktext.operators.sums import State, slot_sums
 from brooktext.sources import arrivals, feed, tables, wire
 from brooktext.sources.workspace import materialize, new_folder
 from brooktext.streaming import keyed_counts
-from brooktext.streaming.frames import mark_rejects, right_sized
+from brooktext.streaming.frames import mark_rejects
 from brooktext.streaming.learners import (
     MODELS,
     ModelSet,
@@ -467,8 +468,8 @@ def mlp_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lr_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated r2 by iteration limit."""
-    rows, _ = feature_table(spark, sf_dir)
-    found = ml_models.lr_grid_search(rows)
+    rows, sizes = feature_table(spark, sf_dir)
+    found = ml_models.lr_grid_search(rows, sum(sizes))
     scores = [(limit, float(score)) for limit, score in zip(ml_models.GRID_MAX_ITER, found.avgMetrics, strict=True)]
     return spark.createDataFrame(scores, "max_iter int, r2 double")
 

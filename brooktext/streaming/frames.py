@@ -10,10 +10,6 @@ from brooktext.functions.labels import stable_index
 from brooktext.functions.text import record_id
 from brooktext.sources.wire import HEADER_LABEL, parse_wire, split_wire_literally
 
-# A task should hold at least this many rows of a batch; smaller batches are
-# run on fewer tasks, which matters to learners that pass over the rows often.
-ROWS_PER_TASK = 10_000
-
 
 def parse_batch(batch: DataFrame, parser: str = "decode") -> DataFrame:
     """Lines or ready records as ``record, sentiment, message, reject``, no headers."""
@@ -62,8 +58,3 @@ def feature_frame(parsed: DataFrame, labels: list[str], width: int) -> DataFrame
         F.when(~good, F.coalesce("record", "sentiment")).alias("record"),
     )
     return hash_features(marked, width)
-
-
-def right_sized(frame: DataFrame, rows: int) -> DataFrame:
-    """``frame`` on no more tasks than its rows are worth; never shuffles."""
-    return frame.coalesce(max(1, rows // ROWS_PER_TASK))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from brooktext.functions.features import with_terms
 from brooktext.functions.labels import extend_labels
 from brooktext.functions.metrics import leaderboard
-from brooktext.streaming.frames import feature_frame, good_records, parse_batch, right_sized
+from brooktext.functions.sizing import right_sized
+from brooktext.streaming.frames import feature_frame, good_records, parse_batch
 from brooktext.streaming.learners import MODELS, ModelSet, score_metrics, stacked_predictions
 from brooktext.streaming.lifecycle import BatchRun
 from brooktext.streaming.store import ModelStore

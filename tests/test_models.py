@@ -185,5 +185,5 @@ def test_grid_search_scores_both_limits(rows):
     many = rows
     for _ in range(2):
         many = many.unionByName(many)
-    found = ml_models.lr_grid_search(many, folds=2)
+    found = ml_models.lr_grid_search(many, many.count(), folds=2)
     assert len(found.avgMetrics) == 2
