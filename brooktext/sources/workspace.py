@@ -7,12 +7,20 @@ setting gets a temporary folder of its own.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# By application id: the folder of a local session without the setting, and
+# the paths staged by ``materialize`` that are not deleted yet.
+_LOCAL_ROOTS: dict[str, str] = {}
+_STAGED: dict[str, list[tuple[SparkSession, str]]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -21,9 +29,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder every executor can read")
-    root = tempfile.mkdtemp(prefix="brooktext-")
-    spark.conf.set(CHECKPOINT_SETTING, root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="brooktext-")
+    return _LOCAL_ROOTS[application]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
@@ -31,16 +40,65 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/brooktext/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Drop the shuffle files of each query run inside as soon as it ends.
+
+    For writes of staged tables: once the table stands, nothing reads the
+    shuffles it came from.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
     For a frame that several passes need: the passes read narrow Parquet
     columns instead of tokenising the text again, and a lost executor costs a
-    re-read, not a recomputation of the lineage.
+    re-read, not a recomputation of the lineage. ``discard`` deletes the copy;
+    ``release`` and the end of the program delete all that is left.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, purpose)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append((spark, path))
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_path = path
+    return staged
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the staged copies behind ``frames``; nothing may read them later."""
+    for df in frames:
+        spark, path = df.sparkSession, df.staged_path
+        delete(spark, path)
+        left = _STAGED.get(spark.sparkContext.applicationId, [])
+        left[:] = [entry for entry in left if entry[1] != path]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every copy staged in this application.
+
+    To be called when the results that read them have been used.
     """
-    path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for session, path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        delete(session, path)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    for entries in list(_STAGED.values()):
+        with suppress(Exception):  # the session may have been stopped
+            release(entries[0][0])
 
 
 def _hadoop_path(spark: SparkSession, path: str):

@@ -6,15 +6,14 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from brooktext.session import local_session  # noqa: E402
-from brooktext.sources.workspace import CHECKPOINT_SETTING  # noqa: E402
+from brooktext.sources.workspace import release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session(4, app="tests", memory="4g")
-    if not session.conf.get(CHECKPOINT_SETTING, None):
-        session.conf.set(CHECKPOINT_SETTING, str(tmp_path_factory.mktemp("shared")))
     yield session
+    release(session)
     session.stop()
 
 
