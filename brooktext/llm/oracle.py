@@ -2,4 +2,27 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+# A separator-free word, as in the operators.
+WORD = r"[^\x20\x09-\x0D]+"
+
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": rf"""
+        WITH texts AS (
+            SELECT doc_id, coalesce(regexp_extract_all(text, '{WORD}'), []) AS words FROM documents
+        ), windows AS (
+            SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS w
+            FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 12)) AS i FROM texts)
+        ), found AS (
+            SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY w) AS least FROM windows)
+            WHERE least < doc_id
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS i FROM found
+        ), lists AS (
+            SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+            sha256(array_to_string(list_filter(words, lambda x, i: NOT coalesce(list_contains(gone, i), false)), ' '))
+                AS kept_sha256
+        FROM texts LEFT JOIN lists USING (doc_id)
+    """,
+}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brooktext.llm.substring import remove_repeats
 from brooktext.llm.tokens import token_counts
 from brooktext.sources.tables import read_table
 
@@ -26,6 +27,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(read_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
