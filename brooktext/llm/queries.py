@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brooktext.llm.language import identify_languages
 from brooktext.llm.substring import remove_repeats
 from brooktext.llm.tokens import token_counts
 from brooktext.sources.tables import read_table
@@ -36,3 +37,8 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read_table(spark, sf_dir, "documents")).drop("shares")
