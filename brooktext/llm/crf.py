@@ -54,6 +54,29 @@ class Features:
         )
 
 
+@dataclass
+class SlotFeatures:
+    """The same number of features for every token: ``ids[token, slot]``."""
+
+    ids: np.ndarray
+    offsets: np.ndarray
+
+    @property
+    def types(self) -> np.ndarray:
+        return np.arange(len(self.ids))
+
+    def emissions(self, weights: np.ndarray) -> np.ndarray:
+        total = np.zeros((len(self.ids), weights.shape[1]))
+        for slot in self.ids.T:
+            total += weights[slot]
+        return total
+
+    def gradient(self, residuals: np.ndarray, size: int) -> np.ndarray:
+        slots = self.ids.shape[1]
+        columns = [np.bincount(self.ids.ravel(), weights=np.repeat(c, slots), minlength=size) for c in residuals.T]
+        return np.stack(columns, axis=1)
+
+
 @dataclass
 class Model:
     """Weights of features and of transitions between states."""
@@ -68,8 +91,8 @@ class Model:
 
 
 # The features of a slice of texts, and the state of each token given the labels of its rows.
-Featurize = Callable[[Texts], Features]
-Label = Callable[[Texts, Features, list], np.ndarray]
+Featurize = Callable[[Texts], Features | SlotFeatures]
+Label = Callable[[Texts, Features | SlotFeatures, list], np.ndarray]
 
 
 def bounded_sample(rows: DataFrame, group: Column, key: Column, size: int) -> DataFrame:

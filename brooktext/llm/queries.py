@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooktext.llm.language import identify_languages
+from brooktext.llm.secrets import find_secrets, spans_text
 from brooktext.llm.substring import remove_repeats
 from brooktext.llm.tokens import token_counts
 from brooktext.sources.tables import read_table
@@ -42,3 +43,15 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(read_table(spark, sf_dir, "documents")).drop("shares")
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(read_table(spark, sf_dir, "documents"))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda span: span["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in ("assign", "access", "hex")]
+    digest = F.sha2(spans_text(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, spans_text(F.concat("base", "added")).alias("spans"))
