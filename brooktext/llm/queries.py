@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brooktext.llm.contamination import contaminated
 from brooktext.llm.language import identify_languages
 from brooktext.llm.secrets import find_secrets, spans_text
 from brooktext.llm.substring import remove_repeats
@@ -55,3 +56,8 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [number(kind) for kind in ("assign", "access", "hex")]
     digest = F.sha2(spans_text(F.col("base")), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, spans_text(F.concat("base", "added")).alias("spans"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
