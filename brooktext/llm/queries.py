@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brooktext.llm.contamination import contaminated
 from brooktext.llm.language import identify_languages
+from brooktext.llm.mixing import mix_sources
 from brooktext.llm.secrets import find_secrets, spans_text
 from brooktext.llm.substring import remove_repeats
 from brooktext.llm.tokens import token_counts
@@ -61,3 +62,8 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read_table(spark, sf_dir, "documents"))
