@@ -38,7 +38,7 @@ def _powers(root: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of ``root`` and of its inverse, modulo 2**64."""
     have = _POWERS.get(root)
     if have is None or len(have[0]) < n:
-        size = max(n, 2 * SLICE_BYTES)
+        size = 1 << max(16, (n - 1).bit_length())
         both = []
         for base in (root, pow(root, -1, 1 << 64)):
             values = np.full(size, base, dtype=np.uint64)

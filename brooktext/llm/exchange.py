@@ -17,18 +17,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from brooktext.llm.arrays import groups, pack, unpack
+from brooktext.llm.arrays import groups, mix, pack, unpack
 
 WIRE = pa.schema(
     [
         ("bucket", pa.int32()),
-        ("doc_id", pa.int64()),  # set on finished answers only
         ("ids", pa.binary()),
         ("starts", pa.binary()),
-        ("hashes", pa.binary()),
+        ("hashes", pa.binary()),  # null in a finished answer, whose bucket is that of its documents
         ("places", pa.binary()),
     ]
 )
+WIRE_DDL = "bucket int, ids binary, starts binary, hashes binary, places binary"
 ANSWERS = "doc_id long, positions binary"
 
 
@@ -64,7 +64,6 @@ def send(entries: Entries, ids: np.ndarray, bits: int, keep: int) -> Iterator[tu
             hashes = part.hashes
         yield (
             int(bucket[order[a]]),
-            None,
             pack(ids[part.rows[first]]),
             pack(first.astype(np.uint32)),
             pack(hashes),
@@ -72,12 +71,15 @@ def send(entries: Entries, ids: np.ndarray, bits: int, keep: int) -> Iterator[tu
         )
 
 
-def answer(ids: np.ndarray, entries: Entries, bits: int) -> Iterator[tuple]:
-    """Finished answers of a slice, one row for each of its rows that has any."""
-    first = groups(entries.rows)
-    for a, b in zip(first, np.append(first[1:], len(entries.rows)), strict=True):
-        doc_id = int(ids[entries.rows[a]])
-        yield hash(doc_id) & ((1 << bits) - 1), doc_id, None, None, None, pack(entries.positions[a:b].astype(np.uint32))
+def answer(doc_ids: np.ndarray, positions: np.ndarray, bits: int) -> Iterator[tuple]:
+    """Finished answers, one packed row for each bucket of documents."""
+    home = (mix(doc_ids.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+    order = np.lexsort((positions, doc_ids, home))
+    home, doc_ids, positions = home[order], doc_ids[order], positions[order].astype(np.uint32)
+    borders = np.append(groups(home), len(home))
+    for a, b in zip(borders[:-1], borders[1:], strict=True):
+        first = groups(doc_ids[a:b])
+        yield int(home[a]), pack(doc_ids[a:b][first]), pack(first.astype(np.uint32)), None, pack(positions[a:b])
 
 
 def to_batches(rows: Iterator[tuple], size: int = 256) -> Iterator[pa.RecordBatch]:
@@ -99,65 +101,70 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 Judge = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
-def _answers(doc_ids: np.ndarray, positions: np.ndarray) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((positions, doc_ids))
-    doc_ids, positions = doc_ids[order], positions[order].astype(np.uint32)
-    first = groups(doc_ids)
-    borders = np.append(first, len(doc_ids))
-    for at in range(0, len(first), 4096):
-        own = range(at, min(at + 4096, len(first)))
-        packed = [pack(positions[borders[i] : borders[i + 1]]) for i in own]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(doc_ids[first[own.start : own.stop]]), pa.array(packed, pa.binary())], ["doc_id", "positions"]
-        )
-
-
-def _judge_bucket(rows: list[tuple], dtype: type, judge: Judge) -> Iterator[pa.RecordBatch]:
-    hashes = np.concatenate([unpack(row[2], dtype) for row in rows])
-    positions = np.concatenate([unpack(row[3], np.uint32) for row in rows])
+def _entries(rows: list[tuple], dtype: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, documents and positions of packed rows; no hashes for answers."""
+    hashes = [unpack(row[2], dtype) for row in rows if row[2] is not None]
+    positions = [unpack(row[3], np.uint32) for row in rows]
     doc_ids = []
-    for ids, starts, packed, _ in rows:
-        starts = unpack(starts, np.uint32).astype(np.int64)
-        total = len(packed) // np.dtype(dtype).itemsize
-        doc_ids.append(np.repeat(unpack(ids, np.int64), np.diff(np.append(starts, total))))
-    doc_ids = np.concatenate(doc_ids)
-    order = np.argsort(hashes, kind="stable")
-    chosen = order[judge(hashes[order], doc_ids[order], positions[order])]
-    if len(chosen):
-        yield from _answers(doc_ids[chosen], positions[chosen])
-
-
-def meet(packed: DataFrame, keep: int, judge: Judge) -> DataFrame:
+    for row, own in zip(rows, positions, strict=True):
+        starts = unpack(row[1], np.uint32).astype(np.int64)
+        doc_ids.append(np.repeat(unpack(row[0], np.int64), np.diff(np.append(starts, len(own)))))
+    return np.concatenate(hashes) if hashes else np.zeros(0, dtype), np.concatenate(doc_ids), np.concatenate(positions)
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """The packed rows of each bucket; batches come in order of bucket."""
+    current, rows = None, []
+    for batch in batches:
+        for bucket, *row in zip(*[batch.column(name).to_pylist() for name in WIRE.names], strict=True):
+            if bucket != current and rows:
+                yield current, rows
+                rows = []
+            current = bucket
+            rows.append(tuple(row))
+    if rows:
+        yield current, rows
+
+
+def meet(packed: DataFrame, keep: int, bits: int, judge: Judge) -> DataFrame:
     """All entries of a bucket together: ``doc_id, positions`` of those ``judge`` picks.
 
     ``judge(hashes, doc_ids, positions)`` gets a bucket sorted by hash and
-    returns a mask. A task holds one bucket at a time; the number of buckets
+    returns a mask. The answers go through a second, smaller exchange by
+    document, with those that a slice gave alone; every document that has any
+    gets one row. A task holds one bucket at a time; the number of buckets
     follows the number of shuffle partitions.
     """
     dtype = np.uint32 if keep == 4 else np.uint64
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, rows = None, []
-        for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in WIRE.names]
-            done = [(i, p) for i, p in zip(columns[1], columns[5], strict=True) if i is not None]
-            if done:
-                ids, positions = zip(*done, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(positions, pa.binary())], ["doc_id", "positions"]
-                )
-            for bucket, doc_id, *entry in zip(*columns, strict=True):
-                if doc_id is None:
-                    if bucket != current and rows:
-                        yield from _judge_bucket(rows, dtype, judge)
-                        rows = []
-                    current = bucket
-                    rows.append(tuple(entry))
-        if rows:
-            yield from _judge_bucket(rows, dtype, judge)
-
-    dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(judged, ANSWERS)
+        def answers() -> Iterator[tuple]:
+            for bucket, rows in _by_bucket(batches):
+                yield from ((bucket, *row) for row in rows if row[2] is None)
+                asked = [row for row in rows if row[2] is not None]
+                if asked:
+                    hashes, doc_ids, positions = _entries(asked, dtype)
+                    order = np.argsort(hashes, kind="stable")
+                    chosen = order[judge(hashes[order], doc_ids[order], positions[order])]
+                    yield from answer(doc_ids[chosen], positions[chosen], bits)
+
+        return to_batches(answers())
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _by_bucket(batches):
+            _, doc_ids, positions = _entries(rows, dtype)
+            order = np.lexsort((positions, doc_ids))
+            doc_ids, positions = doc_ids[order], positions[order]
+            first = groups(doc_ids)
+            borders = np.append(first, len(doc_ids)).tolist()
+            packed = [pack(positions[a:b]) for a, b in zip(borders[:-1], borders[1:], strict=True)]
+            columns = [pa.array(doc_ids[first], pa.int64()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "positions"])
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition("bucket").sortWithinPartitions("bucket")
+
+    return dealt(dealt(packed).mapInArrow(judged, WIRE_DDL)).mapInArrow(merged, ANSWERS)
 
 
 def bucket_bits(df: DataFrame) -> int:

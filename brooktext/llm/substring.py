@@ -28,12 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brooktext.llm import exchange
-from brooktext.llm.arrays import SLICE_BYTES, Texts, Words, groups, slices, split_words, unpack, window_hashes, word_hashes
+from brooktext.llm.arrays import Texts, Words, groups, slices, split_words, unpack, window_hashes, word_hashes
 from brooktext.llm.exchange import Entries
 from brooktext.sources.workspace import discard, materialize
 
 WINDOW = 13
-WIRE_DDL = "bucket int, doc_id long, ids binary, starts binary, hashes binary, places binary"
 
 
 def _windows(texts: Texts, words: Words, width: int) -> Entries:
@@ -60,7 +59,7 @@ def _probe_slice(texts: Texts, ids: np.ndarray, window: int, bits: int) -> Itera
     chosen = np.minimum.reduceat(rank, first) % max(len(order), 1) if len(first) else first
     send = ~shared_entry
     send[chosen[shared]] = True
-    yield from exchange.answer(ids, entries.take(np.sort(order[shared_entry])), bits)
+    yield from exchange.answer(ids[rows[shared_entry]], entries.positions[order[shared_entry]], bits)
     yield from exchange.send(entries.take(np.sort(order[send])), ids, bits, keep=4)
 
 
@@ -92,7 +91,7 @@ def _extend_slice(texts: Texts, ids: np.ndarray, anchors: list[np.ndarray], wind
     first = groups(entries.hashes[order])
     least = np.minimum.reduceat(owner[order], first)
     repeated = owner[order] > np.repeat(least, np.diff(np.append(first, len(order))))
-    yield from exchange.answer(ids, entries.take(np.sort(order[repeated])), bits)
+    yield from exchange.answer(owner[order[repeated]], entries.positions[order[repeated]], bits)
     yield from exchange.send(entries.take(np.sort(order[~repeated])), ids, bits, keep=8)
 
 
@@ -103,9 +102,8 @@ def _repeated(hashes: np.ndarray, ids: np.ndarray, positions: np.ndarray) -> np.
 
 
 def _positions(column: pa.Array, i: int) -> np.ndarray:
-    """All positions of row ``i`` of a column of arrays of packed positions."""
-    parts = column[i].as_py()
-    return np.concatenate([unpack(part, np.uint32) for part in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
+    """The packed positions of row ``i``; none for a null."""
+    return unpack(column[i].as_py() or b"", np.uint32).astype(np.int64)
 
 
 def _ids(batch: pa.RecordBatch, rows: range) -> np.ndarray:
@@ -115,7 +113,7 @@ def _ids(batch: pa.RecordBatch, rows: range) -> np.ndarray:
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, positions``: words at which a window starts that an earlier document also holds.
 
-    A staged table; a document can have several rows. ``docs``: ``doc_id, text``.
+    A staged table with one row for each document that has any. ``docs``: ``doc_id, text``.
     """
     if window % 2 == 0:
         raise ValueError("the window must be odd: blocks are half of it, rounded up")
@@ -124,7 +122,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for texts in slices(batch.column("text"), 2 * SLICE_BYTES):
+                for texts in slices(batch.column("text")):
                     yield from _probe_slice(texts, _ids(batch, texts.rows), window, bits)
 
         return exchange.to_batches(rows())
@@ -133,19 +131,19 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 anchors = batch.column("anchors")
-                for texts in slices(batch.column("text"), 2 * SLICE_BYTES):
+                for texts in slices(batch.column("text")):
                     own = [_positions(anchors, i) for i in texts.rows]
                     yield from _extend_slice(texts, _ids(batch, texts.rows), own, window, bits)
 
         return exchange.to_batches(rows())
 
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    probes = known.mapInArrow(probe, WIRE_DDL)
-    anchors = materialize(exchange.meet(probes, 4, _anchored((window + 1) // 2)), "anchors")
-    by_doc = anchors.groupBy("doc_id").agg(F.collect_list("positions").alias("anchors"))
-    around = known.join(by_doc.withColumnRenamed("doc_id", "anchor_doc"), F.col("doc_id") == F.col("anchor_doc"))
-    windows = around.select("doc_id", "text", "anchors").mapInArrow(extend, WIRE_DDL)
-    found = materialize(exchange.meet(windows, 8, _repeated), "repeats")
+    probes = known.mapInArrow(probe, exchange.WIRE_DDL)
+    anchors = materialize(exchange.meet(probes, 4, bits, _anchored((window + 1) // 2)), "anchors")
+    by_doc = anchors.select(F.col("doc_id").alias("anchor_doc"), F.col("positions").alias("anchors"))
+    around = known.join(by_doc, F.col("doc_id") == F.col("anchor_doc"))
+    windows = around.select("doc_id", "text", "anchors").mapInArrow(extend, exchange.WIRE_DDL)
+    found = materialize(exchange.meet(windows, 8, bits, _repeated), "repeats")
     discard(anchors)
     return found
 
@@ -182,7 +180,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = repeated_windows(docs, window)
-    by_doc = found.groupBy(F.col("doc_id").alias("found_doc")).agg(F.collect_list("positions").alias("starts"))
+    by_doc = found.select(F.col("doc_id").alias("found_doc"), F.col("positions").alias("starts"))
     joined = docs.join(by_doc, F.col("doc_id") == F.col("found_doc"), "left").select("doc_id", "text", "starts")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
