@@ -25,4 +25,32 @@ ORACLES: dict[str, str] = {
                 AS kept_sha256
         FROM texts LEFT JOIN lists USING (doc_id)
     """,
+    "op7_near_dedup": rf"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS words
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(words) >= 2 THEN [words[i] || ' ' || words[i + 1] FOR i IN generate_series(1, len(words) - 1)]
+                ELSE words END) AS shingle
+            FROM texts
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+            FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM common JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+            WHERE 100 * shared >= 80 * (s.n + t.n - shared)
+        ), either AS (
+            SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+        ), reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM reached r JOIN either e ON e.a = r.other
+        ), named AS (
+            SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, component_id = doc_id AS kept
+        FROM named LEFT JOIN sizes USING (doc_id)
+    """,
 }

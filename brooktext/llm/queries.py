@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from brooktext.llm.contamination import contaminated
 from brooktext.llm.language import identify_languages
 from brooktext.llm.mixing import mix_sources
+from brooktext.llm.neardup import near_duplicates
 from brooktext.llm.secrets import find_secrets, spans_text
 from brooktext.llm.substring import remove_repeats
 from brooktext.llm.tokens import token_counts
@@ -67,3 +68,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), width=2)
