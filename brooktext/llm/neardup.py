@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brooktext.llm.arrays import Texts, lower_ascii, mix, slices, split_words, whole_hashes, window_hashes, word_hashes
-from brooktext.llm.neighbours import similar_components
+from brooktext.llm.neighbours import shared_keys, similar_components
 from brooktext.sources.workspace import discard, materialize
 
 CHUNKS, CHUNK = 8, 5
@@ -174,10 +174,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     usable = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     first = usable.groupBy(*equal).agg(F.min("doc_id").alias("id"), F.min("symbols").alias("symbols"))
     distinct = materialize(first, "distinct_sets")
-    keys = _keys(distinct).select("id", F.explode("keys").alias("key"))
-    keys = materialize(keys.select("key", "id"), "keys")
-    shared = keys.groupBy(F.col("key").alias("held")).agg(F.count("*").alias("n")).where("n > 1").select("held")
-    wanted = keys.join(shared, F.col("key") == F.col("held"), "left_semi").select("id").distinct()
+    every = materialize(_keys(distinct).select(F.explode("keys").alias("key"), "id"), "keys")
+    keys = shared_keys(every)
+    discard(every)
+    wanted = keys.select("id").distinct()
     texts = docs.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"])
     sets = materialize(_sets_of(texts.withColumnRenamed("doc_id", "id"), width), "sets")
 

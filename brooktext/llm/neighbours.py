@@ -57,16 +57,20 @@ def _one_hub_each(labelled: DataFrame, checked: DataFrame | None) -> DataFrame:
     return best.select("best.a", "best.b").distinct()
 
 
+def shared_keys(keys: DataFrame) -> DataFrame:
+    """The rows of ``keys`` (``key, id``) whose key another row has too; a staged table."""
+    shared = keys.groupBy(F.col("key").alias("held")).agg(F.count("*").alias("n")).where("n > 1").select("held")
+    return materialize(keys.join(shared, F.col("key") == F.col("held"), "left_semi"), "shared_keys")
+
+
 def similar_components(keys: DataFrame, details: DataFrame, near: Callable[[str, str], Column], verify: Verify) -> DataFrame:
     """``id, component`` of every row that has a link; a staged table.
 
-    ``keys``: ``key, id``. ``details``: ``id`` and what ``near(left, right)``
+    ``keys``: ``key, id`` as ``shared_keys`` returns them. ``details``: ``id`` and what ``near(left, right)``
     needs, a condition on its columns behind the prefixes ``left`` and
     ``right`` that must hold for similar rows. ``verify`` returns the similar
     ones among pairs ``a, b``.
     """
-    shared = keys.groupBy(F.col("key").alias("held")).agg(F.count("*").alias("n")).where("n > 1").select("held")
-    keys = materialize(keys.join(shared, F.col("key") == F.col("held"), "left_semi"), "shared_keys")
     links, labels, checked = None, None, None
     for _ in range(ROUNDS):
         pairs = materialize(_one_hub_each(_labelled(keys, labels), checked), "pairs")
@@ -89,5 +93,5 @@ def similar_components(keys: DataFrame, details: DataFrame, near: Callable[[str,
     pairs = left.join(right, across).select(F.col("left_id").alias("a"), F.col("right_id").alias("b")).distinct()
     pairs = materialize(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
     final = components(links.union(verify(pairs)))
-    discard(keys, open_rows, labels, pairs)
+    discard(open_rows, labels, pairs)
     return final

@@ -53,4 +53,44 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, component_id = doc_id AS kept
         FROM named LEFT JOIN sizes USING (doc_id)
     """,
+    "op6_line_dedup": rf"""
+        WITH RECURSIVE lines AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i
+            FROM documents
+        ), long AS (
+            SELECT doc_id, i, regexp_replace(lower(line), '^[\x20\x09-\x0D]+', '') AS line FROM lines
+            WHERE len(regexp_extract_all(line, '{WORD}')) >= 3
+        ), distinct_lines AS (
+            SELECT line, row_number() OVER (ORDER BY min(doc_id), min(i)) AS id FROM long GROUP BY line
+        ), shingles AS (
+            SELECT DISTINCT id, substr(line, p, 8) AS shingle
+            FROM (SELECT id, line, unnest(range(1, length(line) + 1)) AS p FROM distinct_lines)
+            WHERE regexp_matches(substr(line, p, 1), '{WORD}')
+                AND (p = 1 OR NOT regexp_matches(substr(line, p - 1, 1), '{WORD}'))
+        ), sizes AS (
+            SELECT id, count(*) AS n FROM shingles GROUP BY id
+        ), common AS (
+            SELECT x.id AS a, y.id AS b, count(*) AS shared
+            FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.id < y.id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM common JOIN sizes s ON s.id = a JOIN sizes t ON t.id = b
+            WHERE 100 * shared >= 80 * (s.n + t.n - shared)
+        ), either AS (
+            SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+        ), reached(id, other) AS (
+            SELECT id, id FROM distinct_lines UNION SELECT r.id, e.b FROM reached r JOIN either e ON e.a = r.other
+        ), named AS (
+            SELECT id, min(other) AS component FROM reached GROUP BY id
+        ), placed AS (
+            SELECT doc_id, i, component FROM long JOIN distinct_lines USING (line) JOIN named USING (id)
+        ), judged AS (
+            SELECT doc_id, i, row_number() OVER (PARTITION BY component ORDER BY doc_id, i) > 1 AS gone FROM placed
+        ), told AS (
+            SELECT l.doc_id, l.i, line, coalesce(gone, false) AS gone
+            FROM lines l LEFT JOIN judged j ON j.doc_id = l.doc_id AND j.i = l.i
+        )
+        SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_removed,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM told GROUP BY doc_id
+    """,
 }

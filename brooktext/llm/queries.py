@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brooktext.llm.contamination import contaminated
 from brooktext.llm.language import identify_languages
+from brooktext.llm.lines import dedup_lines
 from brooktext.llm.mixing import mix_sources
 from brooktext.llm.neardup import near_duplicates
 from brooktext.llm.secrets import find_secrets, spans_text
@@ -73,3 +74,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), width=2)
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(read_table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_removed", digest)
