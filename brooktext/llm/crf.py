@@ -12,11 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brooktext.llm.arrays import Texts, slices
 from brooktext.llm.chains import messages
+from brooktext.sources.workspace import materialize
 
 STEPS = 10
 RATE = 0.5
@@ -95,17 +96,22 @@ Featurize = Callable[[Texts], Features | SlotFeatures]
 Label = Callable[[Texts, Features | SlotFeatures, list], np.ndarray]
 
 
-def bounded_sample(rows: DataFrame, group: Column, key: Column, size: int) -> DataFrame:
-    """About ``size`` rows of each group, chosen by a hash of ``key``; all of a smaller group.
+def bounded_sample(rows: DataFrame, key: str, size: int, group: str | None = None) -> DataFrame:
+    """About ``size`` rows of each value of ``group`` (or of all rows), chosen by a hash of ``key``.
 
-    Works by one count and a threshold on the hash, so nothing is sorted and a
-    rerun takes the same rows.
+    Nothing is sorted, a rerun takes the same rows, and only keys and groups
+    are shuffled: the keys drawn are few (``size`` a group), so they are
+    broadcast to the rows.
     """
-    rows = rows.withColumn("sample_group", group)
-    counts = rows.groupBy("sample_group").agg(F.count("*").alias("sample_rows"))
-    share = F.pmod(F.xxhash64(key), F.lit(1 << 20)) / F.lit(1 << 20)
-    rows = rows.join(counts, "sample_group").where(share < F.lit(float(size)) / F.col("sample_rows"))
-    return rows.drop("sample_rows")
+    share = F.pmod(F.xxhash64(key), F.lit(1 << 30)) / F.lit(1 << 30)
+    narrow = rows.select(F.col(key).alias("sample_key"), *([F.col(group).alias("sample_group")] if group else []))
+    hashed = narrow.withColumn("share", F.pmod(F.xxhash64("sample_key"), F.lit(1 << 30)) / F.lit(1 << 30))
+    if group is None:
+        return rows.where(share < size / max(rows.count(), 1))
+    counts = narrow.groupBy(F.col("sample_group").alias("counted")).agg(F.count("*").alias("n"))
+    drawn = hashed.join(counts, F.col("sample_group") == F.col("counted")).where(F.col("share") < F.lit(float(size)) / F.col("n"))
+    drawn = materialize(drawn.select("sample_key").distinct(), "sample_keys")
+    return rows.join(F.broadcast(drawn), F.col(key) == F.col("sample_key"), "left_semi")
 
 
 def train(

@@ -80,8 +80,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def learn_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[list[str], Model]:
     """The languages found in ``lang`` and a model of them; held-out rows and null labels are not used."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    known = known.where(~held_out()).select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    sample = bounded_sample(known, F.col("lang"), F.col("doc_id"), sample_docs)
+    known = known.where(~held_out()).select(
+        "doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
+    )
+    sample = bounded_sample(known, "doc_id", sample_docs, group="lang")
     dealt = sample.repartition(SAMPLE_PARTITIONS, F.xxhash64("doc_id")).sortWithinPartitions(F.xxhash64("doc_id", "lang"))
     staged = materialize(dealt.select("lang", "text"), "language_sample")
     languages = [row["lang"] for row in staged.select("lang").distinct().orderBy("lang").collect()]
@@ -123,13 +125,15 @@ def word_languages(docs: DataFrame, languages: list[str], model: Model) -> DataF
                 shares = (sums[features.offsets[1:]] - sums[features.offsets[:-1]]) / np.maximum(counts, 1)[:, None]
                 best = shares.argmax(axis=1)
                 told = lettered[own] & (counts > 0) & bool(names)
+                listed = zip(shares[:, : len(names)].tolist(), told, strict=True)
+                by_name = [dict(zip(names, s, strict=True)) if t else {} for s, t in listed]
                 score = np.where(told, np.clip(shares.max(axis=1), 0, 1), 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(own.start, len(texts.rows)),
                         pa.array([names[b] if t else UNKNOWN for b, t in zip(best, told, strict=True)], pa.string()),
                         pa.array(score),
-                        pa.array([dict(zip(names, s, strict=True)) if t else {} for s, t in zip(shares[:, : len(names)].tolist(), told, strict=True)], pa.map_(pa.string(), pa.float64())),
+                        pa.array(by_name, pa.map_(pa.string(), pa.float64())),
                     ],
                     ["doc_id", "lang_pred", "score", "shares"],
                 )

@@ -15,6 +15,7 @@ from brooktext.llm.neardup import near_duplicates
 from brooktext.llm.secrets import find_secrets, spans_text
 from brooktext.llm.substring import remove_repeats
 from brooktext.llm.tokens import token_counts
+from brooktext.llm.transcripts import format_chats
 from brooktext.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +82,8 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(read_table(spark, sf_dir, "documents"))
     digest = F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256")
     return kept.select("doc_id", "n_lines", "n_removed", digest)
+
+
+@query
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(read_table(spark, sf_dir, "conversations"))
