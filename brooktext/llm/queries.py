@@ -12,6 +12,7 @@ from brooktext.llm.language import identify_languages
 from brooktext.llm.lines import dedup_lines
 from brooktext.llm.mixing import mix_sources
 from brooktext.llm.neardup import near_duplicates
+from brooktext.llm.quality import judge_quality
 from brooktext.llm.secrets import find_secrets, spans_text
 from brooktext.llm.substring import remove_repeats
 from brooktext.llm.tokens import token_counts
@@ -87,3 +88,8 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(read_table(spark, sf_dir, "conversations"))
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(read_table(spark, sf_dir, "documents"))
