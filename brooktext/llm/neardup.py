@@ -31,9 +31,8 @@ from brooktext.sources.workspace import discard, materialize
 
 CHUNKS, CHUNK = 8, 5
 SYMBOLS = CHUNKS * CHUNK
-# Signatures further apart than this are not compared: a pair that is 0.8
-# similar is with probability below 1e-5. The join itself guarantees 15.
-FARTHEST = 20
+# Words of 64 parity bits of a set, see ``parities``.
+PARITY_WORDS = 32
 _SEEDS = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 
 
@@ -124,18 +123,43 @@ def _keys(signed: DataFrame) -> DataFrame:
     return signed.select("id", "symbols").mapInArrow(cut, "id long, keys array<long>")
 
 
+def parities(shingles: np.ndarray, borders: np.ndarray) -> np.ndarray:
+    """``[row, word]``: each shingle toggles one of 2048 bits of its row.
+
+    Two rows differ in at most as many bits as their sets differ in shingles,
+    so the bits rule out pairs without ever losing one.
+    """
+    bits = 64 * PARITY_WORDS
+    out = np.zeros((len(borders) - 1, PARITY_WORDS), dtype=np.int64)
+    for first in range(0, len(out), 512):
+        last = min(first + 512, len(out))
+        rows = np.repeat(np.arange(last - first), np.diff(borders[first : last + 1]))
+        at = (shingles[borders[first] : borders[last]] % np.uint64(bits)).astype(np.int64)
+        odd = np.bincount(rows * bits + at, minlength=(last - first) * bits) & 1
+        out[first:last] = np.packbits(odd.astype(np.uint8).reshape(-1, bits), axis=1).view(np.int64)
+    return out
+
+
 def _sets_of(docs: DataFrame, width: int) -> DataFrame:
-    """``id, shingles``: full sets as sorted packed hashes."""
+    """``id, n, shingles, parity``: full sets as sorted packed hashes, their sizes and parity bits."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column("text")):
                 shingles, borders = shingle_sets(texts, width)
                 packed = [shingles[a:b].tobytes() for a, b in zip(borders[:-1], borders[1:], strict=True)]
-                ids = batch.column("id").slice(texts.rows.start, len(texts.rows))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(packed, pa.binary())], ["id", "shingles"])
+                words = parities(shingles, borders)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id").slice(texts.rows.start, len(texts.rows)),
+                        pa.array(np.diff(borders)),
+                        pa.array(packed, pa.binary()),
+                        pa.array(list(words), pa.list_(pa.int64())),
+                    ],
+                    ["id", "n", "shingles", "parity"],
+                )
 
-    return docs.select("id", "text").mapInArrow(build, "id long, shingles binary")
+    return docs.select("id", "text").mapInArrow(build, "id long, n long, shingles binary, parity array<long>")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -182,13 +206,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets = materialize(_sets_of(texts.withColumnRenamed("doc_id", "id"), width), "sets")
 
     def near(left: str, right: str) -> Column:
-        smaller = F.least(F.col(f"{left}n"), F.col(f"{right}n"))
-        larger = F.greatest(F.col(f"{left}n"), F.col(f"{right}n"))
-        equal_symbols = F.size(F.filter(F.zip_with(f"{left}symbols", f"{right}symbols", lambda x, y: x == y), lambda e: e))
-        return (smaller * 100 >= larger * percent) & (equal_symbols >= SYMBOLS - FARTHEST)
+        n, m = F.col(f"{left}n"), F.col(f"{right}n")
+        words = range(PARITY_WORDS)
+        differ = sum(F.bit_count(F.col(f"{left}p{k}").bitwiseXOR(F.col(f"{right}p{k}"))) for k in words)
+        fits = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+        return fits & (differ * (100 + percent) <= (n + m) * (100 - percent))
 
-    listed = F.transform(F.sequence(F.lit(0), F.lit(SYMBOLS - 1)), lambda i: F.substring(F.col("symbols"), i * 2 + 1, F.lit(2)))
-    details = distinct.select("id", F.col("n_shingles").alias("n"), listed.alias("symbols"))
+    details = sets.select("id", "n", *[F.get("parity", F.lit(k)).alias(f"p{k}") for k in range(PARITY_WORDS)])
     found = similar_components(keys, details, near, lambda pairs: _confirm(pairs, sets, percent))
     discard(keys, sets)
     named = distinct.select(*equal, "id").join(found.withColumnRenamed("id", "of"), F.col("id") == F.col("of"), "left")

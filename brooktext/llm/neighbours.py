@@ -2,12 +2,12 @@
 
 Rows that share a key are candidates. A key that a third of all rows share
 must not make all their pairs, and need not: only components are asked for.
-So each round every row is checked against one row of another component per
-key, a number of checks in proportion to the rows; links found merge
-components, and a key whose rows are all in one component is done. What is
-left after the rounds are keys with rows of several components; there all
-pairs across components that the filter lets through are checked, so
-no link is lost.
+So each round one row of every key is its hub, picked by a hash, and every row
+of another component is checked against one hub, a number of checks in
+proportion to the rows; links found merge components, and a key whose rows are
+all in one component is done. What is left after the rounds are keys with rows
+of several components; there all pairs across components that the filter lets
+through are checked, so no link is lost.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from brooktext.llm.components import components
 from brooktext.sources.workspace import discard, materialize
 
-ROUNDS = 2
+ROUNDS = 6
 
 # Pairs (a, b) to those of them that are similar.
 Verify = Callable[[DataFrame], DataFrame]
@@ -35,19 +35,18 @@ def _labelled(keys: DataFrame, labels: DataFrame | None) -> DataFrame:
     )
 
 
-def _open_keys(labelled: DataFrame) -> DataFrame:
-    """Keys whose rows are in several components, with a row of the smallest of them."""
+def _open_keys(labelled: DataFrame, turn: int = 0) -> DataFrame:
+    """Keys whose rows are in several components, with one of their rows as hub, another each ``turn``."""
+    by_chance = F.struct(F.xxhash64("id", F.lit(turn)).alias("chance"), "id", "label")
     grouped = labelled.groupBy(F.col("key").alias("open_key")).agg(
-        F.min(F.struct("label", "id")).alias("first"), F.max("label").alias("last")
-    )
-    return grouped.where(F.col("first.label") != F.col("last")).select(
-        "open_key", F.col("first.label").alias("hub_label"), F.col("first.id").alias("hub")
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min(by_chance).alias("hub")
     )
+    return grouped.where("low != high").select("open_key", F.col("hub.label").alias("hub_label"), F.col("hub.id").alias("hub"))
 
 
-def _one_hub_each(labelled: DataFrame, checked: DataFrame | None) -> DataFrame:
-    """One pair for each row: the hub that it shares most keys with, not checked before."""
-    met = labelled.join(_open_keys(labelled), F.col("key") == F.col("open_key")).where("label != hub_label")
+def _one_hub_each(labelled: DataFrame, checked: DataFrame | None, turn: int) -> DataFrame:
+    """One pair for each row outside the hub's component: the hub it shares most keys with, not checked before."""
+    met = labelled.join(_open_keys(labelled, turn), F.col("key") == F.col("open_key")).where("label != hub_label")
     pairs = met.groupBy(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), "id").agg(
         F.count("*").alias("shared")
     )
@@ -72,11 +71,13 @@ def similar_components(keys: DataFrame, details: DataFrame, near: Callable[[str,
     ones among pairs ``a, b``.
     """
     links, labels, checked = None, None, None
-    for _ in range(ROUNDS):
-        pairs = materialize(_one_hub_each(_labelled(keys, labels), checked), "pairs")
+    for turn in range(ROUNDS):
+        pairs = materialize(_one_hub_each(_labelled(keys, labels), checked, turn), "pairs")
         checked = pairs if checked is None else checked.union(pairs)
         found = materialize(verify(pairs), "links")
         links = found if links is None else links.union(found)
+        if labels is not None:
+            discard(labels)
         labels = components(links)
         if found.isEmpty():
             break
@@ -85,12 +86,17 @@ def similar_components(keys: DataFrame, details: DataFrame, near: Callable[[str,
     labelled = _labelled(keys, labels)
     open_rows = labelled.join(_open_keys(labelled), F.col("key") == F.col("open_key")).select("key", "id", "label")
     open_rows = materialize(open_rows.join(details.withColumnRenamed("id", "of"), F.col("id") == F.col("of")).drop("of"), "open_rows")
+    # One side of a pair across components is outside the largest component of the key.
+    largest = open_rows.groupBy(F.col("key").alias("of_key"), "label").agg(F.count("*").alias("n")).groupBy("of_key").agg(
+        F.max(F.struct("n", "label"))["label"].alias("largest")
+    )
+    outside = open_rows.join(largest, F.col("key") == F.col("of_key")).where("label != largest").drop("of_key", "largest")
     columns = [c for c in open_rows.columns if c != "key"]
-    left = open_rows.select("key", *[F.col(c).alias(f"left_{c}") for c in columns])
+    left = outside.select("key", *[F.col(c).alias(f"left_{c}") for c in columns])
     right = open_rows.select(F.col("key").alias("same_key"), *[F.col(c).alias(f"right_{c}") for c in columns])
-    across = (F.col("key") == F.col("same_key")) & (F.col("left_id") < F.col("right_id"))
-    across = across & (F.col("left_label") != F.col("right_label")) & near("left_", "right_")
-    pairs = left.join(right, across).select(F.col("left_id").alias("a"), F.col("right_id").alias("b")).distinct()
+    across = (F.col("key") == F.col("same_key")) & (F.col("left_label") != F.col("right_label")) & near("left_", "right_")
+    ends = (F.least("left_id", "right_id").alias("a"), F.greatest("left_id", "right_id").alias("b"))
+    pairs = left.join(right, across).select(*ends).distinct()
     pairs = materialize(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
     final = components(links.union(verify(pairs)))
     discard(open_rows, labels, pairs)
