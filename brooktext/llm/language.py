@@ -104,6 +104,44 @@ def _lower(texts: Texts) -> Texts:
     return Texts(texts.rows, lowered.data, lowered.offsets)
 
 
+def _shares(texts: Texts, learned: Model) -> tuple[np.ndarray, np.ndarray]:
+    """For each of some lower-case texts the mean posterior of each language, and whether it has words."""
+    features = word_features(texts)
+    sent = messages(features.emissions(learned.weights), features.offsets, learned.transitions, learned.initial)
+    sums = np.zeros((len(features.types) + 1, len(learned.initial)))
+    np.cumsum(sent.marginals(), axis=0, out=sums[1:])
+    counts = np.diff(features.offsets)
+    shares = (sums[features.offsets[1:]] - sums[features.offsets[:-1]]) / np.maximum(counts, 1)[:, None]
+    return shares, counts > 0
+
+
+def _lettered(column: pa.Array) -> np.ndarray:
+    return pc.match_substring_regex(column, r"\p{L}").to_numpy(zero_copy_only=False)
+
+
+def keep_identified(docs: DataFrame, least_score: float = 0.0, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language is known.
+
+    Goes: a null text, one without a letter, one whose best language has a
+    score below ``least_score``. See ``identify_languages`` for the other
+    cases; if nothing can be learned, every text with a letter stays.
+    """
+    languages, model = learn_languages(docs, sample_docs)
+    shared = docs.sparkSession.sparkContext.broadcast((languages, model))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, learned = shared.value
+        for batch in batches:
+            column = pc.utf8_lower(batch.column("text").fill_null(""))
+            told = _lettered(column).astype(bool).copy()
+            for texts in slices(column) if names else ():
+                shares, worded = _shares(texts, learned)
+                told[texts.rows.start : texts.rows.stop] &= worded & (shares.max(axis=1) >= least_score)
+            yield batch.filter(pa.array(told, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def word_languages(docs: DataFrame, languages: list[str], model: Model) -> DataFrame:
     """``doc_id, lang_pred, score, shares``: the share of each language in the words of a text."""
     shared = docs.sparkSession.sparkContext.broadcast((languages, model))
@@ -112,19 +150,12 @@ def word_languages(docs: DataFrame, languages: list[str], model: Model) -> DataF
         names, learned = shared.value
         for batch in batches:
             column = pc.utf8_lower(batch.column("text").fill_null(""))
-            lettered = pc.match_substring_regex(column, r"\p{L}").to_numpy(zero_copy_only=False)
+            lettered = _lettered(column)
             for texts in slices(column):
                 own = slice(texts.rows.start, texts.rows.stop)
-                features = word_features(texts)
-                sent = messages(
-                    features.emissions(learned.weights), features.offsets, learned.transitions, learned.initial
-                )
-                sums = np.zeros((len(features.types) + 1, len(learned.initial)))
-                np.cumsum(sent.marginals(), axis=0, out=sums[1:])
-                counts = np.diff(features.offsets)
-                shares = (sums[features.offsets[1:]] - sums[features.offsets[:-1]]) / np.maximum(counts, 1)[:, None]
+                shares, worded = _shares(texts, learned)
                 best = shares.argmax(axis=1)
-                told = lettered[own] & (counts > 0) & bool(names)
+                told = lettered[own] & worded & bool(names)
                 listed = zip(shares[:, : len(names)].tolist(), told, strict=True)
                 by_name = [dict(zip(names, s, strict=True)) if t else {} for s, t in listed]
                 score = np.where(told, np.clip(shares.max(axis=1), 0, 1), 0.0)

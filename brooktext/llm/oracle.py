@@ -63,7 +63,7 @@ ORACLES: dict[str, str] = {
         ), distinct_lines AS (
             SELECT line, row_number() OVER (ORDER BY min(doc_id), min(i)) AS id FROM long GROUP BY line
         ), shingles AS (
-            SELECT DISTINCT id, substr(line, p, 8) AS shingle
+            SELECT DISTINCT id, substr(line, p, 12) AS shingle
             FROM (SELECT id, line, unnest(range(1, length(line) + 1)) AS p FROM distinct_lines)
             WHERE regexp_matches(substr(line, p, 1), '{WORD}')
                 AND (p = 1 OR NOT regexp_matches(substr(line, p - 1, 1), '{WORD}'))
