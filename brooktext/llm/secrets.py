@@ -8,9 +8,10 @@ kinds of characters), the words and shapes beside it, and its shape together
 with two features of the whole text (share of digits, rate of assignments).
 
 The field learns from the base spans of a bounded sample: of about
-``SAMPLE_DOCS`` texts those with a base span and one in 32 of the others. The
-keyword before a value is hidden from no feature, so it learns values after
-words and marks that the patterns do not list. Scale: one narrow pass; the
+``SAMPLE_DOCS`` texts those with a base span and one in 32 of the others. In
+every second text it learns without the words, as those are what the patterns
+look at; so it also learns what values look like after words that the patterns
+do not list. Scale: one narrow pass; the
 weights (``TABLE`` rows) are broadcast.
 """
 
@@ -34,6 +35,7 @@ KINDS = ("assign", "access", "hex", "crf")
 SAMPLE_DOCS = 20_000
 SAMPLE_PARTITIONS = 12
 TABLE = 1 << 16
+SLOTS = 11
 STATES = 3  # outside, begin, inside
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
@@ -49,6 +51,7 @@ _CLASS[[ord(c) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ012
 _CLASS[128:] = 1
 _ROOT = 0xC2B2AE3D27D4EB4F
 _LENGTHS = np.array([2, 3, 5, 9, 13, 20, 28, 41])
+_COARSE = np.array([9, 16, 24])
 
 
 def base_spans(data: bytes) -> list[tuple[int, int, int, int]]:
@@ -99,11 +102,12 @@ def _beside(values: np.ndarray, rows: np.ndarray, by: int) -> np.ndarray:
     return out
 
 
-def token_features(texts: Texts, tokens: Tokens) -> SlotFeatures:
+def token_features(texts: Texts, tokens: Tokens, hide_words: bool = False) -> SlotFeatures:
+    """Features of all tokens; ``hide_words``: without words in every second text."""
     data, starts, ends = texts.data, tokens.starts, tokens.ends
     n = len(starts)
     if not n:
-        return SlotFeatures(np.zeros((0, 9), dtype=np.int32), tokens.offsets)
+        return SlotFeatures(np.zeros((0, SLOTS), dtype=np.int32), tokens.offsets)
     rows = np.repeat(np.arange(len(texts.rows)), np.diff(tokens.offsets))
     capital = (data >= 65) & (data <= 90)
     lower = np.where(capital, data + np.uint8(32), data)
@@ -116,6 +120,8 @@ def token_features(texts: Texts, tokens: Tokens) -> SlotFeatures:
         if name == "digit":
             digits_of_text = sums[texts.offsets[1:]] - sums[texts.offsets[:-1]]
     size = ends - starts
+    letters = counts["capital"] + counts["small"]
+    coarse = ((np.searchsorted(_COARSE, size, side="right") * 2 + (counts["digit"] > 0)) * 2 + (letters > 0)).astype(np.uint64) + np.uint64(1)
     shape = np.searchsorted(_LENGTHS, size, side="right")
     for name in ("digit", "capital", "small"):
         shape = shape * 2 + (counts[name] > 0)
@@ -129,6 +135,9 @@ def token_features(texts: Texts, tokens: Tokens) -> SlotFeatures:
     sums = np.concatenate(([0], np.cumsum((data == ord("=")) | (data == ord(":")))))
     assigns = sums[texts.offsets[1:]] - sums[texts.offsets[:-1]]
     of_text = np.minimum(digits_of_text * 32 // length, 7) * 8 + np.minimum(assigns * 512 // length, 7)
+    if hide_words:
+        word = np.where(rows % 2 == 0, word, 0)
+    mark = np.where(_CLASS[data[starts]] == 2, shape, 0)
     near = shape[:, None] * np.uint64(1 << 32)
     slots = [
         shape,
@@ -140,13 +149,15 @@ def token_features(texts: Texts, tokens: Tokens) -> SlotFeatures:
         near[:, 0] + _beside(shape, rows, -1),
         near[:, 0] + _beside(shape, rows, 1),
         near[:, 0] + of_text[rows].astype(np.uint64),
+        coarse,
+        coarse * np.uint64(1 << 32) + _beside(mark, rows, -1) * np.uint64(1 << 12) + _beside(mark, rows, -2),
     ]
     ids = [mix(slot * np.uint64(64) + np.uint64(k)) >> np.uint64(64 - 16) for k, slot in enumerate(slots)]
     return SlotFeatures(np.stack(ids, axis=1).astype(np.int32), tokens.offsets)
 
 
-def _features(texts: Texts) -> SlotFeatures:
-    return token_features(texts, split_tokens(texts))
+def _learned_features(texts: Texts) -> SlotFeatures:
+    return token_features(texts, split_tokens(texts), hide_words=True)
 
 
 def _weak_labels(texts: Texts, features: SlotFeatures, labels: list) -> np.ndarray:
@@ -171,7 +182,7 @@ def learn_secrets(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     drawn = drawn.where(hinted | (F.pmod(order, F.lit(32)) == 0))
     dealt = drawn.repartition(SAMPLE_PARTITIONS, order).sortWithinPartitions(order)
     staged = materialize(dealt.select("text", F.lit(0).alias("label")), "secret_sample")
-    model = train(staged, _features, _weak_labels, TABLE, STATES)
+    model = train(staged, _learned_features, _weak_labels, TABLE, STATES)
     discard(staged)
     return model
 
