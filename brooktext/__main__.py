@@ -14,9 +14,8 @@ from pyspark.sql import SparkSession
 
 from brooktext.sources import feed
 from brooktext.sources.workspace import new_folder
-from brooktext.streaming.keyed_counts import keyed_lines, read_counts, start_running_counts
-from brooktext.streaming.learners import MODELS
-from brooktext.streaming.lifecycle import LONG_RUN_BATCHES
+from brooktext.streaming.keyed_counts import keyed_lines, read_counts, start_batch_counts, start_running_counts
+from brooktext.streaming.learners import MODELS, STEPS_PER_BATCH
 from brooktext.streaming.scorer import StreamScorer
 from brooktext.streaming.trainer import LABEL_MODES, MODES, StreamTrainer
 
@@ -35,12 +34,19 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--interval", help="trigger interval; without it, files are read to their end")
     parser.add_argument("--keep-versions", type=int, help="model versions kept by train")
     parser.add_argument("--timeout", type=float, help="seconds to run")
-    parser.add_argument("--max-batches", type=int, default=LONG_RUN_BATCHES)
+    parser.add_argument("--max-batches", type=int, help="non-empty batches to end after; without it, no limit")
     parser.add_argument("--models", nargs="+", choices=MODELS, default=list(MODELS))
     parser.add_argument("--width", type=int)
     parser.add_argument("--loss", choices=("log", "hinge"), default="log")
     parser.add_argument("--mode", choices=MODES, default="post_fit")
     parser.add_argument("--label-mode", choices=LABEL_MODES, default="stable")
+    parser.add_argument("--labels", nargs=2, metavar=("CLASS0", "CLASS1"), help="the two labels, for a stable mapping")
+    parser.add_argument("--steps", type=int, default=STEPS_PER_BATCH, help="steps of SGD and MLP on each batch")
+    parser.add_argument("--tasks", type=int, help="most tasks for the passes over a batch")
+    parser.add_argument("--keep-predictions", action="store_true", help="score: store a row per model and record")
+    parser.add_argument("--literal-divisor", action="store_true", help="score: divide mean accuracy by one more batch")
+    parser.add_argument("--counts", choices=("running", "batch"), default="running", help="count: since the start or per batch")
+    parser.add_argument("--emit", choices=("all", "changed"), default="all", help="count: keys written by each batch")
     parser.add_argument("--parser", choices=("decode", "literal"), default="decode")
     parser.add_argument("--key-position", type=int, default=0)
     return parser.parse_args(argv)
@@ -69,21 +75,31 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     checkpoint = args.checkpoint or new_folder(spark, "checkpoint")
     limits = {"trigger": trigger_of(args), "max_batches": args.max_batches}
     if args.command == "count":
-        start_running_counts(keyed_lines(lines, args.key_position), args.out, checkpoint, **limits).wait(args.timeout)
-        read_counts(spark, args.out, "total").orderBy("batch_id", "key").show()
+        keys = keyed_lines(lines, args.key_position)
+        if args.counts == "batch":
+            counting = start_batch_counts(keys, args.out, checkpoint, **limits)
+        else:
+            counting = start_running_counts(keys, args.out, checkpoint, emit=args.emit, **limits)
+        counting.wait(args.timeout)
+        value = "n" if args.counts == "batch" else "total"
+        read_counts(spark, args.out, value).orderBy("batch_id", "key").show()
         return
     common = {"models": tuple(args.models), "label_mode": args.label_mode, "parser": args.parser}
+    common |= {"labels": args.labels, "tasks": args.tasks}
     if args.command == "train":
         worker = StreamTrainer(
             spark, args.models_dir, **({"width": args.width} if args.width else {}),
-            loss=args.loss, mode=args.mode, keep_versions=args.keep_versions, **common,
+            loss=args.loss, mode=args.mode, steps=args.steps, keep_versions=args.keep_versions, **common,
         )
     else:
-        worker = StreamScorer(spark, args.models_dir, args.width, **common)
-    worker.start(lines, checkpoint, **limits).wait(args.timeout)
+        worker = StreamScorer(spark, args.models_dir, args.width, keep_predictions=args.keep_predictions, **common)
+    run = worker.start(lines, checkpoint, **limits)
+    run.wait(args.timeout)
+    if run.limited:
+        print(f"stopped after {run.batches} batches as told by --max-batches; input may be left")
     worker.metrics().orderBy("batch_id", "model").show(truncate=False)
     if args.command == "score":
-        worker.leaderboard().show()
+        worker.leaderboard(args.literal_divisor).show()
 
 
 if __name__ == "__main__":

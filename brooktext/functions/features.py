@@ -43,6 +43,12 @@ def with_terms(df: DataFrame, width: int) -> DataFrame:
     return df.withColumn("terms", F.arrays_zip(all_slots.alias("slot"), all_counts.alias("count")))
 
 
+def with_norm(df: DataFrame) -> DataFrame:
+    """Add ``row_norm``, the length of the count vector; 1 for a row without tokens."""
+    length = F.sqrt(F.aggregate(counts(), F.lit(0.0), lambda total, x: total + x * x))
+    return df.withColumn("row_norm", F.greatest(length, F.lit(1.0)))
+
+
 def long_counts(df: DataFrame, *keep: str) -> DataFrame:
     """One row per non-zero count: ``keep..., bucket, tf``.
 

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# A task should hold at least this many rows. A single pass gains from more
-# tasks early; a learner that passes over the rows dozens of times pays for
-# each task each time.
-ROWS_PER_TASK = 1_000
-ROWS_PER_ITERATED_TASK = 10_000
 
+def on_tasks(df: DataFrame, tasks: int | None) -> DataFrame:
+    """``df`` on at most ``tasks`` tasks, if the caller asks for that; never shuffles.
 
-def right_sized(df: DataFrame, rows: int, per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """``df`` on no more tasks than its rows are worth; never shuffles."""
-    return df.coalesce(max(1, rows // per_task))
+    For small micro-batches and learners that pass over the rows dozens of
+    times, where each task costs each time. Without it the rows stay as read.
+    """
+    return df if tasks is None else df.coalesce(tasks)

@@ -1,36 +1,21 @@
-"""Logistic regression and multilayer perceptron, trained by Spark ML."""
+"""Logistic regression, trained by Spark ML."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import (
-    LogisticRegression,
-    LogisticRegressionModel,
-    MultilayerPerceptronClassificationModel,
-    MultilayerPerceptronClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 
-from brooktext.functions.sizing import ROWS_PER_ITERATED_TASK, right_sized
-
-# Solver settings of the two learners.
+# Solver settings.
 LR_MAX_ITER = 50
 LR_TOLERANCE = 1e-6
-MLP_HIDDEN = [5, 2]
-MLP_SEED = 42
-MLP_ROWS_PER_STEP = 200
-MLP_MAX_STEPS = 20
 GRID_MAX_ITER = [10, 50]
 
 
-def lr_fit(frame: DataFrame, n: int) -> LogisticRegressionModel:
-    """L2-penalised fit on this batch alone.
-
-    ``regParam = 1/n`` makes the objective that of a unit penalty against the
-    summed loss. The optimum does not depend on a starting point.
-    """
-    learner = LogisticRegression(
+def _learner(n: float) -> LogisticRegression:
+    """``regParam = 1/n`` makes the objective that of a unit penalty against the summed loss of ``n`` rows."""
+    return LogisticRegression(
         maxIter=LR_MAX_ITER,
         tol=LR_TOLERANCE,
         regParam=1.0 / n,
@@ -38,26 +23,11 @@ def lr_fit(frame: DataFrame, n: int) -> LogisticRegressionModel:
         standardization=False,
         family="binomial",
     )
-    return learner.fit(right_sized(frame.select("features", "label"), n, ROWS_PER_ITERATED_TASK))
 
 
-def mlp_update(
-    frame: DataFrame, n: int, width: int, previous: MultilayerPerceptronClassificationModel | None
-) -> MultilayerPerceptronClassificationModel:
-    """Gradient steps on the batch, going on from the previous weights.
-
-    One step per 200 rows as a pass in small portions would take, but no more
-    than 20, since each step here uses every row of the batch.
-    """
-    learner = MultilayerPerceptronClassifier(
-        layers=[width, *MLP_HIDDEN, 2],
-        solver="gd",
-        maxIter=min(MLP_MAX_STEPS, -(-n // MLP_ROWS_PER_STEP)),
-        seed=MLP_SEED,
-    )
-    if previous is not None:
-        learner = learner.setInitialWeights(previous.weights)
-    return learner.fit(right_sized(frame.select("features", "label"), n, ROWS_PER_ITERATED_TASK))
+def lr_fit(frame: DataFrame, n: int) -> LogisticRegressionModel:
+    """L2-penalised fit on this batch alone; the optimum does not depend on a starting point."""
+    return _learner(n).fit(frame.select("features", "label"))
 
 
 def ml_predict(frame: DataFrame, model, column: str) -> DataFrame:
@@ -69,8 +39,8 @@ def ml_predict(frame: DataFrame, model, column: str) -> DataFrame:
 
 
 def lr_grid_search(frame: DataFrame, n: int, folds: int = 5, seed: int = 0) -> CrossValidatorModel:
-    """Choose the iteration limit by cross-validated r2 of the predicted class."""
-    learner = LogisticRegression(family="binomial")
+    """Choose the iteration limit of ``lr_fit``'s model by cross-validated r2 of the predicted class."""
+    learner = _learner(n * (folds - 1) / folds)
     grid = ParamGridBuilder().addGrid(learner.maxIter, GRID_MAX_ITER).build()
     judge = RegressionEvaluator(metricName="r2")
     search = CrossValidator(
@@ -81,4 +51,4 @@ def lr_grid_search(frame: DataFrame, n: int, folds: int = 5, seed: int = 0) -> C
         seed=seed,
         parallelism=len(GRID_MAX_ITER),
     )
-    return search.fit(right_sized(frame.select("features", "label"), n, ROWS_PER_ITERATED_TASK))
+    return search.fit(frame.select("features", "label"))

@@ -183,7 +183,8 @@ SELECT batch_id, count(DISTINCT chunk) AS n_lines FROM (
 
 ORACLES["csv_feed_scan"] = """
 SELECT CAST(event_id AS VARCHAR) AS "ID", event_type AS "language",
-  strftime(ts, '%Y-%m-%d %H:%M:%S') AS "Date", CAST(user_id AS VARCHAR) AS "Userid", CAST(NULL AS INTEGER) AS len
+  strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS "Date", CAST(user_id AS VARCHAR) AS "Userid",
+  CAST(length(props) AS INTEGER) AS len, user_id AS followers
 FROM events"""
 
 ORACLES["rate_limited_scan"] = f"""
@@ -230,12 +231,12 @@ SELECT split_part(event_type || ';' || event_id || ';' || props, ';', 1) AS key,
 FROM events GROUP BY 1"""
 
 ORACLES["row_concat"] = """
-SELECT event_id, concat(event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S'), user_id, props, chr(10)) AS line
+SELECT event_id, concat(event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), user_id, props, chr(10)) AS line
 FROM events"""
 
 ORACLES["string_operations"] = """
 SELECT doc_id, CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_lines,
-  concat(lang, substr(text, 1, 2)) AS tag, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes
+  concat(lang, substr(text, 3)) AS tag, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes
 FROM documents"""
 
 # --- features ----------------------------------------------------------------

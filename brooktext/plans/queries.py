@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brooktext.functions import metrics as M
 from brooktext.functions.features import (
@@ -22,7 +23,6 @@ from brooktext.functions.features import (
 )
 from brooktext.functions.labels import extend_labels, index_batches, label_frequency, stable_index
 from brooktext.functions.linear import with_prediction
-from brooktext.functions.sizing import right_sized
 from brooktext.functions.text import field_at, prefix_drop, row_concat, split_first, tokenize
 from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes
 from brooktext.operators.sums import State, slot_sums
@@ -33,10 +33,12 @@ from brooktext.streaming.frames import mark_rejects
 from brooktext.streaming.learners import (
     MODELS,
     ModelSet,
+    STEPS_PER_BATCH,
     score_metrics,
     stacked_predictions,
     update_linear,
     update_models,
+    update_stepped,
     with_predictions,
 )
 from brooktext.streaming.lifecycle import BatchRun
@@ -47,6 +49,8 @@ from brooktext.streaming.trainer import StreamTrainer
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 LINEAR_MODELS = ("SGD", "MNB", "KMEANS")
+# Micro-batches of the rate-limited scan.
+RATE_BATCHES = 10
 
 
 def query(function: Query) -> Query:
@@ -60,7 +64,7 @@ def query(function: Query) -> Query:
 
 def _wire_arrivals(spark: SparkSession, sf_dir: str):
     """The labelled records as wire lines, one frame per arrival."""
-    rows = tables.records(spark, sf_dir, spread=False)
+    rows = tables.records(spark, sf_dir)
     ids = tables.read_table(spark, sf_dir, "documents")
     for bounds in arrivals.id_ranges(ids, "doc_id"):
         arrival = rows.where(arrivals.in_range("row_id", bounds))
@@ -105,25 +109,33 @@ def csv_feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = feed.csv_stream(spark, landing)
     writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(feed.TWEET_SCHEMA).parquet(out).select("ID", "language", "Date", "Userid", "len")
+    return spark.read.schema(feed.TWEET_SCHEMA).parquet(out).select("ID", "language", "Date", "Userid", "len", "followers")
 
 
 @query
 def rate_limited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Micro-batches by their size, from files of 2,000 rows read one at a time."""
+    """Files of 2,000 rows by their size, in micro-batches of a bounded number of files.
+
+    The number of files a micro-batch takes is what limits the rate; here it
+    follows the table, so that the number of micro-batches does not.
+    """
     landing, out, checkpoint = (new_folder(spark, p) for p in ("feed", "row-counts", "checkpoint"))
     events = tables.read_table(spark, sf_dir, "events")
+    ids = events.agg(F.min("event_id").alias("low"), F.max("event_id").alias("high")).first()
+    files = 0 if ids.low is None else ids.high // feed.FEED_ROWS - ids.low // feed.FEED_ROWS + 1
     portion = tables.id_batch(F.col("ID").cast("bigint"), feed.FEED_ROWS)
     staged = feed.to_feed(events).withColumn("portion", portion)
     staged.repartition("portion").write.partitionBy("portion").option("sep", ";").csv(landing)
 
     def count_rows(batch: DataFrame, batch_id: int) -> bool:
-        batch.agg(F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        by_file = batch.groupBy("portion").agg(F.count(F.lit(1)).alias("n_rows"))
+        by_file.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         return True
 
-    stream = feed.csv_stream(spark, landing, max_files=1).select("ID")
+    schema = T.StructType([*feed.TWEET_SCHEMA.fields, T.StructField("portion", T.LongType())])
+    stream = feed.csv_stream(spark, landing, schema, max_files=max(1, -(-files // RATE_BATCHES))).select("portion")
     BatchRun(stream, count_rows, checkpoint).wait()
-    counts = spark.read.schema("n_rows bigint, batch_id bigint").parquet(out)
+    counts = spark.read.schema("portion bigint, n_rows bigint, batch_id bigint").parquet(out)
     return counts.groupBy("n_rows").agg(F.count(F.lit(1)).alias("batches"))
 
 
@@ -131,7 +143,7 @@ def rate_limited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _wire_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = tables.records(spark, sf_dir, spread=False)
+    rows = tables.records(spark, sf_dir)
     chunk = tables.id_batch("row_id", tables.RECORD_IDS_PER_BATCH)
     return wire.to_wire(rows.withColumn("batch_id", chunk), "batch_id")
 
@@ -209,8 +221,8 @@ def first_field_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def row_concat_(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.read_table(spark, sf_dir, "events")
-    second = F.substring(F.col("ts").cast("string"), 1, 19)
-    return events.select("event_id", row_concat("event_id", "event_type", second, "user_id", "props").alias("line"))
+    time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return events.select("event_id", row_concat("event_id", "event_type", time, "user_id", "props").alias("line"))
 
 
 @query
@@ -220,7 +232,7 @@ def string_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select(
         "doc_id",
         F.size(F.split("text", "\n")).alias("n_lines"),
-        F.concat_ws("", "lang", F.substring("text", 1, 2)).alias("tag"),
+        F.concat_ws("", "lang", F.substring(F.col("text"), F.lit(3), F.length("text"))).alias("tag"),
         F.octet_length(F.encode("text", "UTF-8")).alias("n_bytes"),
     )
 
@@ -229,7 +241,7 @@ def string_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = tables.read_text_table(spark, sf_dir, "documents", "doc_id", "text")
+    texts = tables.read_text_table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
     return texts.select(F.col("doc_id").alias("row_id"), F.col("text").alias("message"))
 
 
@@ -278,7 +290,7 @@ def densify(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def features_and_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokenizer, hasher and label index as one fitted ML pipeline."""
-    rows = tables.records(spark, sf_dir)
+    rows = tables.records(spark, sf_dir, spread=True)
     # The label index is the only stage that learns; it needs no text.
     fitted = feature_pipeline(TRAIN_WIDTH).fit(tables.labelled_ids(spark, sf_dir).withColumn("message", F.lit("")))
     features = fitted.transform(rows).select("row_id", "label", F.unwrap_udt("features").alias("v"))
@@ -342,7 +354,7 @@ def running_key_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def preview_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first five records, ordered to be reproducible."""
-    rows = tables.records(spark, sf_dir, spread=False)
+    rows = tables.records(spark, sf_dir)
     return rows.orderBy("row_id").limit(5)
 
 
@@ -364,19 +376,19 @@ def feature_table(spark: SparkSession, sf_dir: str, width: int = TRAIN_WIDTH) ->
     """
     ids = tables.labelled_ids(spark, sf_dir)
     mapping = extend_labels([], ids)
-    rows = tables.records(spark, sf_dir).withColumn("label", stable_index(mapping))
-    stored = materialize(hash_features(rows.drop("sentiment"), width), "features")
+    rows = tables.hashed_records(spark, sf_dir, width, spread=True).withColumn("label", stable_index(mapping))
+    stored = materialize(rows.drop("sentiment"), "features")
     sizes = stored.agg(F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1"))
     n0, n1 = sizes.first()
-    return with_terms(right_sized(stored, n0 + n1), width), (n0, n1)
+    return with_terms(stored, width), (n0, n1)
 
 
 @query
 def nb_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Term counts per slot and class; the last slot holds the class sizes."""
     mapping = extend_labels([], tables.labelled_ids(spark, sf_dir))
-    rows = tables.records(spark, sf_dir).withColumn("label", stable_index(mapping))
-    rows = with_terms(hash_features(rows, TRAIN_WIDTH), TRAIN_WIDTH)
+    rows = tables.hashed_records(spark, sf_dir, TRAIN_WIDTH, spread=True).withColumn("label", stable_index(mapping))
+    rows = with_terms(rows, TRAIN_WIDTH)
     sums = slot_sums(rows, naive_bayes.nb_coefficients())
     return sums.select("slot", F.col("n0").cast("bigint").alias("n0"), F.col("n1").cast("bigint").alias("n1"))
 
@@ -399,7 +411,11 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _first_gradient(rows: DataFrame, loss: str) -> DataFrame:
+def _first_gradient(spark: SparkSession, sf_dir: str, width: int, loss: str) -> DataFrame:
+    """One pass, so nothing is staged."""
+    mapping = extend_labels([], tables.labelled_ids(spark, sf_dir))
+    rows = tables.hashed_records(spark, sf_dir, width, spread=True).withColumn("label", stable_index(mapping))
+    rows = with_terms(rows, width)
     at_zero = rows.withColumn("sgd_margin", linear_sgd.sgd_margin(None))
     return slot_sums(at_zero, linear_sgd.sgd_coefficients(loss)).select("slot", F.col("residual").alias("gradient"))
 
@@ -407,15 +423,13 @@ def _first_gradient(rows: DataFrame, loss: str) -> DataFrame:
 @query
 def sgd_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summed gradient of the log loss at zero weights."""
-    rows, _ = feature_table(spark, sf_dir)
-    return _first_gradient(rows, "log")
+    return _first_gradient(spark, sf_dir, TRAIN_WIDTH, "log")
 
 
 @query
 def sgd_gradient_hinge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summed gradient of the hinge loss at zero weights, width 1,000."""
-    rows, _ = feature_table(spark, sf_dir, WIDE_WIDTH)
-    return _first_gradient(rows, "hinge")
+    return _first_gradient(spark, sf_dir, WIDE_WIDTH, "hinge")
 
 
 @query
@@ -460,9 +474,10 @@ def lr_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mlp_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, sizes = feature_table(spark, sf_dir)
-    model = ml_models.mlp_update(rows, sum(sizes), TRAIN_WIDTH, None)
-    return ml_models.ml_predict(rows, model, "prediction").select("row_id", "label", "prediction")
+    rows, _ = feature_table(spark, sf_dir)
+    states = update_stepped(rows, {}, ("MLP",), TRAIN_WIDTH, "log", STEPS_PER_BATCH)
+    predicted, columns = with_predictions(rows, ModelSet(states))
+    return predicted.select("row_id", "label", F.col(columns["MLP"]).alias("prediction"))
 
 
 @query
@@ -511,7 +526,10 @@ def accuracy_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.batch_counter(_batch_metrics(spark, sf_dir))
+    batch = tables.id_batch("row_id", tables.RECORD_IDS_PER_BATCH)
+    rows, _ = feature_table(spark, sf_dir)
+    state = update_linear(rows, {}, ("MNB",), TRAIN_WIDTH, "log")
+    return M.batch_counter(score_metrics(rows.withColumn("batch_id", batch), ModelSet(state), "batch_id"))
 
 
 # --- streams of models -------------------------------------------------------
@@ -520,7 +538,8 @@ def batch_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def train_stream(spark: SparkSession, sf_dir: str, **options) -> StreamTrainer:
     """Train over the labelled records as a stream of four arrivals."""
     landing, root, checkpoint = (new_folder(spark, p) for p in ("wire", "models", "checkpoint"))
-    trainer = StreamTrainer(spark, root, **options)
+    labels = extend_labels([], tables.labelled_ids(spark, sf_dir))
+    trainer = StreamTrainer(spark, root, labels=labels, **options)
     arrivals.replay(
         _wire_arrivals(spark, sf_dir),
         _land_text(landing),
@@ -551,7 +570,7 @@ def train_nb_prequential(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def train_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear classifier with hinge loss over the stream, width 1,000."""
-    return _stream_metrics(train_stream(spark, sf_dir, width=WIDE_WIDTH, models=("SGD",), loss="hinge"))
+    return _stream_metrics(train_stream(spark, sf_dir, width=WIDE_WIDTH, models=("SGD",), loss="hinge", steps=None))
 
 
 @query

@@ -74,8 +74,10 @@ def to_feed(events: DataFrame) -> DataFrame:
     given = {
         "ID": "CAST(event_id AS STRING)",
         "language": "event_type",
-        "Date": "substring(CAST(ts AS STRING), 1, 19)",
+        "Date": "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')",
         "Userid": "CAST(user_id AS STRING)",
+        "len": "CAST(length(props) AS INT)",
+        "followers": "user_id",
     }
     return events.selectExpr(
         *[

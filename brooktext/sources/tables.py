@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooktext.sources.workspace import bytes_in
+from brooktext.functions.features import hash_features
 
 # A feeder ships records in id order, so an arrival batch is a contiguous id
 # range. Numbering by range needs no sort and no shuffle.
@@ -23,41 +23,43 @@ def id_batch(key: str | Column, size: int) -> Column:
     return F.call_function("div", key, F.lit(size))
 
 
-def fits_one_split(spark: SparkSession, sf_dir: str, name: str) -> bool:
-    limit = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728b")
-    size = int(limit.rstrip("b")) if limit.rstrip("b").isdigit() else 128 << 20
-    return bytes_in(spark, f"{sf_dir.rstrip('/')}/{name}.parquet") < size
+def read_text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread: bool = False) -> DataFrame:
+    """Columns of a text table; ``spread`` deals the rows out over the cores.
 
-
-def read_text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a text table, spread over the cores when it is tiny.
-
-    A table below one input split is read by a single task, and tokenising is
-    CPU work. Only then are the rows dealt out again (less than one split of
-    data moves); a table with many splits is left as scanned.
+    Worth it for a table in one small file, which a single task would read
+    alone; a table of many splits is better left as scanned.
     """
     df = read_table(spark, sf_dir, name).select(*columns)
-    if fits_one_split(spark, sf_dir, name):
-        df = df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+    return df.repartition(spark.sparkContext.defaultParallelism) if spread else df
 
 
-def records(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+def records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Labelled records: ``row_id, sentiment, message``.
 
     No join hint: the optimizer broadcasts the labels while they are below its
     size threshold and sorts or hashes both sides by id beyond it.
     """
-    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = read_text_table(spark, sf_dir, "documents", "doc_id", "text", spread=spread)
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    joined = documents.join(labels, "doc_id").select(
+    return documents.join(labels, "doc_id").select(
         F.col("doc_id").alias("row_id"),
         F.col("quality").cast("string").alias("sentiment"),
         F.col("text").alias("message"),
     )
-    if spread and fits_one_split(spark, sf_dir, "documents"):
-        joined = joined.repartition(spark.sparkContext.defaultParallelism)
-    return joined
+
+
+def hashed_records(spark: SparkSession, sf_dir: str, width: int, spread: bool = False) -> DataFrame:
+    """Labelled records with hashed term counts: ``row_id, sentiment, features``.
+
+    Documents are hashed where they are read. What the join moves, if the
+    labels are too large to be broadcast, is the counts and never the text.
+    """
+    documents = read_text_table(spark, sf_dir, "documents", "doc_id", "text", spread=spread)
+    hashed = hash_features(documents.withColumnRenamed("text", "message"), width)
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return hashed.join(labels, "doc_id").select(
+        F.col("doc_id").alias("row_id"), F.col("quality").cast("string").alias("sentiment"), "features"
+    )
 
 
 def labelled_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,21 +47,30 @@ def parse_wire(lines: DataFrame) -> DataFrame:
     """Decode lines to ``record, sentiment, message, reject``.
 
     ``reject`` is NULL for a good record, else the reason. Nothing is dropped
-    here: a line that is no JSON array and a record without a comma come out
-    as rejected rows, so one bad record never costs the batch. Other columns
-    of ``lines`` are kept.
+    here: a NULL line, a line that is no JSON array or goes on after its end,
+    an element that is no string and a record without a comma come out as
+    rejected rows, so one bad record never costs the batch. Other columns of
+    ``lines`` are kept.
     """
     kept = [name for name in lines.columns if name != "value"]
-    decoded = lines.withColumn("items", F.from_json("value", "array<string>"))
-    exploded = decoded.select(
-        *kept,
-        F.col("items").isNull().alias("broken"),
-        F.explode(F.coalesce("items", F.array("value"))).alias("raw"),
+    # As the only element of an array, a line must end where its own array ends.
+    outer = F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]"))).cast("array<variant>")
+    only = F.when(F.size(outer) == 1, F.try_variant_get(F.get(outer, F.lit(0)), "$", "array<variant>"))
+    elements = F.transform(
+        "items",
+        lambda item: F.struct(
+            F.when(F.schema_of_variant(item) != "VOID", F.coalesce(F.try_variant_get(item, "$", "string"), F.to_json(item))).alias("raw"),
+            F.schema_of_variant(item).alias("kind"),
+        ),
     )
+    whole = F.array(F.struct(F.col("value").alias("raw"), F.lit("LINE").alias("kind")))
+    decoded = lines.withColumn("items", only)
+    exploded = decoded.select(*kept, F.inline(F.coalesce(elements, whole)))
     # The tests look at the raw text, so that a filter on them copies nothing.
     reject = (
-        F.when(F.col("broken"), "not_json")
-        .when(F.col("raw").isNull(), "null_record")
+        F.when(F.col("kind") == "LINE", "not_json")
+        .when(F.coalesce("kind", F.lit("VOID")) == "VOID", "null_record")
+        .when(F.col("kind") != "STRING", "not_a_string")
         .when(F.instr("raw", ",") == 0, "no_separator")
     )
     sentiment, message = split_first(F.col("raw"), ",")

@@ -40,21 +40,25 @@ def mark_rejects(parsed: DataFrame, labels: list[str]) -> DataFrame:
     )
 
 
-def feature_frame(parsed: DataFrame, labels: list[str], width: int) -> DataFrame:
+def feature_frame(parsed: DataFrame, labels: list[str] | None, width: int) -> DataFrame:
     """``row_id, sentiment, label, features, record, reject``.
 
     Rejected rows stay in the frame, marked and without features, so that one
-    read of the batch serves both training and the dead letter table.
+    read of the batch serves both training and the dead letter table. Without
+    ``labels`` there is no ``label`` yet and every row keeps its record, as any
+    label may still be rejected by ``mark_rejects``.
     """
     if "row_id" not in parsed.columns:
         parsed = parsed.withColumn("row_id", record_id(F.col("sentiment"), F.col("message")))
+    marked = parsed if labels is None else mark_rejects(parsed, labels)
     good = F.col("reject").isNull()
-    marked = mark_rejects(parsed, labels).select(
+    record = F.coalesce("record", "sentiment")
+    marked = marked.select(
         "row_id",
         "sentiment",
-        "label",
+        *(["label"] if labels is not None else []),
         "reject",
         F.when(good, F.col("message")).alias("message"),
-        F.when(~good, F.coalesce("record", "sentiment")).alias("record"),
+        (record if labels is None else F.when(~good, record)).alias("record"),
     )
     return hash_features(marked, width)

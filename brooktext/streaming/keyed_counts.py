@@ -18,16 +18,18 @@ def count_by_key(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by, "key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _write_batch(table: DataFrame, path: str, batch_id: int) -> None:
-    table.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def _write_batch(table: DataFrame, path: str, batch_id: int) -> bool:
+    """Write a batch's counts; False if there are none, so that the batch does not count."""
+    target = f"{path}/batch_id={batch_id}"
+    table.write.mode("overwrite").parquet(target)
+    return not table.sparkSession.read.schema(table.schema).parquet(target).isEmpty()
 
 
 def start_batch_counts(keys: DataFrame, path: str, checkpoint: str, **run) -> BatchRun:
     """Write ``key, n`` of every micro-batch below ``batch_id=k``."""
 
     def handle(batch: DataFrame, batch_id: int) -> bool:
-        _write_batch(count_by_key(batch), path, batch_id)
-        return True
+        return _write_batch(count_by_key(batch), path, batch_id)
 
     return BatchRun(keys.select("key"), handle, checkpoint, **run)
 
@@ -42,8 +44,7 @@ def start_running_counts(keys: DataFrame, path: str, checkpoint: str, emit: str
     totals = keys.groupBy("key").agg(F.count(F.lit(1)).alias("total"))
 
     def handle(batch: DataFrame, batch_id: int) -> bool:
-        _write_batch(batch, path, batch_id)
-        return True
+        return _write_batch(batch, path, batch_id)
 
     mode = {"all": "complete", "changed": "update"}[emit]
     return BatchRun(totals, handle, checkpoint, output_mode=mode, **run)

@@ -12,9 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 logger = logging.getLogger(__name__)
 
-# Rows shown by a preview, and the batch limit of a long run.
+# Fixed value: rows shown by a preview.
 PREVIEW_ROWS = 5
-LONG_RUN_BATCHES = 319
 
 BatchHandler = Callable[[DataFrame, int], bool]
 
@@ -60,21 +59,29 @@ class BatchRun:
     def wait(self, timeout: float | None = None, poll: float = 0.5) -> int:
         """Wait for the end, the batch limit or the time limit, then stop.
 
-        Returns the number of non-empty batches. A failure of the query is raised.
+        Returns the number of non-empty batches. A failure of the query is
+        raised; only the refusal of a batch beyond the limit is not a failure.
+        ``limited`` tells afterwards whether the limit ended the run.
         """
         deadline = None if timeout is None else time.monotonic() + timeout
         try:
             while not self.query.awaitTermination(poll):
                 if self._full() or (deadline is not None and time.monotonic() >= deadline):
                     break
-        except StreamingQueryException:
-            if not self._full():
+        except StreamingQueryException as failure:
+            if BatchLimitReached.__name__ not in str(failure):
                 raise
         finally:
             if self.query.isActive:
                 self.query.stop()
+        if self.limited:
+            logger.warning("stopped after %d batches as told by max_batches; input may be left", self.batches)
         return self.batches
 
+    @property
+    def limited(self) -> bool:
+        return self._full()
+
     def awaitTermination(self) -> None:
         self.wait()
 

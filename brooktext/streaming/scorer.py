@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,8 +11,8 @@ from pyspark.sql import functions as F
 from brooktext.functions.features import with_terms
 from brooktext.functions.labels import extend_labels
 from brooktext.functions.metrics import leaderboard
-from brooktext.functions.sizing import right_sized
-from brooktext.streaming.frames import feature_frame, good_records, parse_batch
+from brooktext.functions.sizing import on_tasks
+from brooktext.streaming.frames import feature_frame, good_records, mark_rejects, parse_batch
 from brooktext.streaming.learners import MODELS, ModelSet, score_metrics, stacked_predictions
 from brooktext.streaming.lifecycle import BatchRun
 from brooktext.streaming.store import ModelStore
@@ -21,7 +23,8 @@ PREDICTION_SCHEMA = "model string, row_id bigint, label double, prediction doubl
 class StreamScorer:
     """Scores each batch with the latest saved models, without changing them.
 
-    Results go to tables of their own below ``name``, so several runs can score
+    ``labels`` replaces the stored mapping, ``tasks`` bounds the tasks of a
+    batch. Results go to tables of their own below ``name``, so several runs can score
     the same models.
     """
 
@@ -35,40 +38,43 @@ class StreamScorer:
         label_mode: str = "stable",
         parser: str = "decode",
         keep_predictions: bool = False,
+        labels: Sequence[str] | None = None,
+        tasks: int | None = None,
     ):
         self.spark = spark
         self.store = ModelStore(spark, root, width)
         self.name, self.label_mode, self.parser = name, label_mode, parser
         self.keep_predictions = keep_predictions
         states = self.store.load_states()
-        loaded = {model: self.store.load_ml(model) for model in ("LR", "MLP") if model in models}
+        loaded = {model: self.store.load_ml(model) for model in ("LR",) if model in models}
         self.models = ModelSet(
             {model: state for model, state in states.items() if model in models},
             {model: fitted for model, fitted in loaded.items() if fitted is not None},
         )
         if not self.models.names():
             raise FileNotFoundError(f"no complete models at {root}")
-        self.labels = self.store.load_labels()
+        self.labels = list(labels or self.store.load_labels()) if label_mode == "stable" else None
+        self.tasks = tasks
 
     def process(self, batch: DataFrame, batch_id: int) -> bool:
         parsed = parse_batch(batch, self.parser)
-        labels = self.labels if self.label_mode == "stable" else extend_labels([], good_records(parsed))
-        frame = feature_frame(parsed, labels, self.store.width).persist(StorageLevel.MEMORY_AND_DISK)
+        cached = feature_frame(parsed, self.labels, self.store.width).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            frame = cached if self.labels is not None else mark_rejects(cached, extend_labels([], good_records(cached)))
             good = F.col("reject").isNull()
             sizes = frame.agg(F.count_if(good).alias("n"), F.count_if(~good).alias("rejected")).first()
             if sizes.rejected:
                 self.store.save_dead_letters(batch_id, frame.where(~good), f"{self.name}_dead_letters")
             if sizes.n == 0:
                 return False
-            rows = with_terms(right_sized(frame.where(good), sizes.n), self.store.width)
+            rows = with_terms(on_tasks(frame.where(good), self.tasks), self.store.width)
             if self.keep_predictions:
                 path = f"{self.store.root}/{self.name}_predictions/batch_id={batch_id}"
                 stacked_predictions(rows, self.models).write.mode("overwrite").parquet(path)
             self.store.save_metrics(batch_id, score_metrics(rows, self.models).collect(), [], self.name)
             return True
         finally:
-            frame.unpersist()
+            cached.unpersist()
 
     def start(
         self, stream: DataFrame, checkpoint: str, trigger: dict | None = None, max_batches: int | None = None

@@ -12,7 +12,7 @@ import datetime
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegressionModel, MultilayerPerceptronClassificationModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from brooktext.operators.sums import State
@@ -35,7 +35,7 @@ METRIC_TABLE = pa.schema(
     ]
 )
 DEAD_SCHEMA = "record string, reject string, batch_id bigint"
-ML_MODELS = {"LR": LogisticRegressionModel, "MLP": MultilayerPerceptronClassificationModel}
+ML_MODELS = {"LR": LogisticRegressionModel}
 
 
 class WidthMismatch(ValueError):

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from brooktext.functions.features import TRAIN_WIDTH, with_terms
-from brooktext.functions.labels import extend_labels
-from brooktext.functions.sizing import right_sized
-from brooktext.streaming.frames import feature_frame, good_records, parse_batch
-from brooktext.streaming.learners import MODELS, ModelSet, score_metrics, together, update_models
+from brooktext.functions.labels import CLASSES, extend_labels
+from brooktext.functions.sizing import on_tasks
+from brooktext.streaming.frames import feature_frame, good_records, mark_rejects, parse_batch
+from brooktext.streaming.learners import MODELS, STEPS_PER_BATCH, ModelSet, score_metrics, together, update_models
 from brooktext.streaming.lifecycle import BatchRun
 from brooktext.streaming.store import ModelStore
 
@@ -22,9 +24,14 @@ class StreamTrainer:
     """Updates the models batch by batch and reports metrics per batch.
 
     ``mode='post_fit'`` scores a batch with the models it has just trained;
-    ``'pre_fit'`` scores it first, with the models before it. ``label_mode``
-    keeps one label mapping, or ranks the labels anew in every batch.
-    ``keep_versions`` bounds the model versions kept by a long run.
+    ``'pre_fit'`` scores it first, with the models before it.
+    ``label_mode='stable'`` keeps one label mapping, the declared ``labels`` in
+    order of their classes; it is stored with the models, so a later run need
+    not repeat it. A label outside it goes to the dead letters.
+    ``'per_batch'`` ranks the labels anew in every batch. ``steps`` is the
+    number of steps that the stepped learners take on a batch (see
+    ``learners``). ``keep_versions`` bounds the model versions kept by a long
+    run; ``tasks`` the tasks for the passes over a batch.
     """
 
     def __init__(
@@ -38,6 +45,9 @@ class StreamTrainer:
         label_mode: str = "stable",
         parser: str = "decode",
         keep_versions: int | None = None,
+        labels: Sequence[str] | None = None,
+        steps: int | None = STEPS_PER_BATCH,
+        tasks: int | None = None,
     ):
         unknown = set(models) - set(MODELS)
         if unknown or mode not in MODES or label_mode not in LABEL_MODES:
@@ -46,29 +56,41 @@ class StreamTrainer:
         self.store = ModelStore(spark, root, width)
         self.width, self.models, self.loss = width, tuple(models), loss
         self.mode, self.label_mode, self.parser = mode, label_mode, parser
-        self.keep_versions = keep_versions
+        self.keep_versions, self.steps, self.tasks = keep_versions, steps, tasks
+        self.labels = self._declared(labels) if label_mode == "stable" else None
         self._ml: tuple[int | None, dict] = (None, {})
 
-    def _labels(self, parsed: DataFrame, batch_id: int) -> list[str]:
-        known = self.store.load_labels(batch_id) if self.label_mode == "stable" else []
-        labels = extend_labels(known, good_records(parsed))
-        if labels != known:
-            self.store.save_labels(batch_id, labels)
-        return labels
+    def _declared(self, labels: Sequence[str] | None) -> list[str]:
+        stored = self.store.load_labels()
+        if labels is None and not stored:
+            raise ValueError("a stable label mapping must be declared: labels=(class 0, class 1)")
+        if labels is not None and (len(set(labels)) != CLASSES or (stored and list(labels) != stored)):
+            raise ValueError(f"labels {list(labels)}: {CLASSES} different ones are needed, as stored: {stored}")
+        return stored or list(labels)
+
+    def _marked(self, frame: DataFrame, batch_id: int) -> DataFrame:
+        """The persisted frame with label indices; ranks the labels of the batch if they are not declared."""
+        if self.labels is not None:
+            if self.store.load_labels(batch_id) != self.labels:
+                self.store.save_labels(batch_id, self.labels)
+            return frame
+        labels = extend_labels([], good_records(frame))
+        self.store.save_labels(batch_id, labels)
+        return mark_rejects(frame, labels)
 
     def _prior(self, batch_id: int) -> ModelSet:
         last, ml = self._ml
         if last is None or last != self.store.latest(batch_id, "metrics"):
-            ml = {name: self.store.load_ml(name, batch_id) for name in ("LR", "MLP") if name in self.models}
+            ml = {name: self.store.load_ml(name, batch_id) for name in ("LR",) if name in self.models}
             ml = {name: model for name, model in ml.items() if model is not None}
         return ModelSet(self.store.load_states(batch_id), ml)
 
     def process(self, batch: DataFrame, batch_id: int) -> bool:
         """Train on one batch; False if it holds no usable row."""
         parsed = parse_batch(batch, self.parser)
-        labels = self._labels(parsed, batch_id)
-        frame = feature_frame(parsed, labels, self.width).persist(StorageLevel.MEMORY_AND_DISK)
+        cached = feature_frame(parsed, self.labels, self.width).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            frame = self._marked(cached, batch_id)
             good = F.col("reject").isNull()
             sizes = frame.agg(
                 F.count_if(good & (F.col("label") == 0)).alias("n0"),
@@ -79,14 +101,14 @@ class StreamTrainer:
                 self.store.save_dead_letters(batch_id, frame.where(~good))
             if sizes.n0 + sizes.n1 == 0:
                 return False
-            rows = with_terms(right_sized(frame.where(good), sizes.n0 + sizes.n1), self.width)
+            rows = with_terms(on_tasks(frame.where(good), self.tasks), self.width)
             prior = self._prior(batch_id)
             before = []
             if self.mode == "pre_fit" and prior.names():
                 # Fetched now: one row per model, before the models move on.
                 before = score_metrics(rows, prior).collect()
             updated, fitted = update_models(
-                rows, prior, (sizes.n0, sizes.n1), self.models, self.width, self.loss
+                rows, prior, (sizes.n0, sizes.n1), self.models, self.width, self.loss, self.steps
             )
             metrics = self._save_and_score(rows, batch_id, updated, fitted)
             self.store.save_metrics(batch_id, before if self.mode == "pre_fit" else metrics, fitted)
@@ -95,13 +117,13 @@ class StreamTrainer:
                 self.store.prune(self.keep_versions)
             return True
         finally:
-            frame.unpersist()
+            cached.unpersist()
 
     def _save_and_score(self, rows: DataFrame, batch_id: int, updated: ModelSet, fitted: list[str]) -> list[Row]:
         """Save the models and score the batch, side by side; returns the metrics, a row per model."""
         tasks = [
             lambda name=name: self.store.save_ml(batch_id, name, updated.ml[name].copy())
-            for name in ("LR", "MLP")
+            for name in ("LR",)
             if name in fitted
         ]
         if updated.states:

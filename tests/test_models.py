@@ -6,12 +6,19 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brooktext.functions.features import hash_features, with_terms
+from brooktext.functions.features import hash_features, with_norm, with_terms
 from brooktext.functions.labels import stable_index
 from brooktext.functions.linear import with_prediction
-from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes
+from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes, perceptron
 from brooktext.operators.sums import fetch_sums, slot_sums
-from brooktext.streaming.learners import MODELS, ModelSet, score_metrics, stacked_predictions, update_models
+from brooktext.streaming.learners import (
+    MODELS,
+    ModelSet,
+    score_metrics,
+    stacked_predictions,
+    update_models,
+    update_stepped,
+)
 
 WIDTH = 50
 
@@ -139,28 +146,73 @@ def test_logistic_regression_is_near_its_optimum(rows, dense):
     assert np.abs(gradient).max() < 1e-2
 
 
-def test_perceptron_goes_on_from_its_weights(rows, dense):
-    _, y = dense
-    first = ml_models.mlp_update(rows, len(y), WIDTH, None)
-    again = ml_models.mlp_update(rows, len(y), WIDTH, None)
-    second = ml_models.mlp_update(rows, len(y), WIDTH, first)
-    assert first.weights == again.weights
-    assert second.weights != first.weights
+def plain_perceptron(x, y, state, n):
+    """Loss gradients of the same net by matrix products; ``x`` has the bias column last."""
+    second = state["deep"][:10].reshape(5, 2)
+    lengths = np.maximum(np.sqrt((x[:, :-1] ** 2).sum(axis=1, keepdims=True)), 1)
+    scaled = np.hstack([x[:, :-1] / lengths, np.ones((len(x), 1))])
+    w1 = np.stack([state[f"unit{k}"] for k in range(5)], axis=1)
+    h = np.maximum(scaled @ w1, 0)
+    z = np.maximum(h @ second + state["deep"][10:12], 0)
+    margin = z @ state["deep"][12:14] + state["deep"][14]
+    delta = 1 / (1 + np.exp(-margin)) - y
+    t = delta[:, None] * state["deep"][12:14] * (z > 0)
+    u = (t @ second.T) * (h > 0)
+    deep = np.concatenate([(h.T @ t).ravel(), t.sum(0), z.T @ delta, [delta.sum()]]) / n
+    return margin, scaled.T @ u / n, deep
+
+
+def test_perceptron_gradient_against_plain_matrices(rows, dense):
+    x, y = dense
+    state = perceptron.mlp_state(None, WIDTH)
+    own = perceptron.with_deltas(perceptron.with_layers(with_norm(rows), state), state)
+    sums = fetch_sums(slot_sums(own, perceptron.mlp_coefficients()), WIDTH)
+    margin, slopes, deep = plain_perceptron(x, y, state, len(y))
+    got = [r.mlp_margin for r in own.orderBy("row_id").collect()]
+    np.testing.assert_allclose(got, margin)
+    np.testing.assert_allclose([sums[f"mlp_s{i}"][-1] / len(y) for i in range(15)], deep, atol=1e-12)
+    for k in range(5):
+        np.testing.assert_allclose(sums[f"mlp_g{k}"][:-1] / len(y), slopes[:-1, k], atol=1e-12)
+        np.testing.assert_allclose(sums[f"mlp_s{15 + k}"][-1] / len(y), slopes[-1, k], atol=1e-12)
+    new = perceptron.mlp_update(state, sums, len(y))
+    # The first Adam step moves every weight by the rate, against the sign of its gradient.
+    moved = new["deep"] - state["deep"]
+    clear = np.abs(deep) > 1e-4
+    np.testing.assert_allclose(moved[clear], -perceptron.RATE * np.sign(deep[clear]), rtol=1e-2)
+
+
+def test_scaled_steps_against_plain_matrices(rows, dense):
+    x, y = dense
+    lengths = np.maximum(np.sqrt((x[:, :-1] ** 2).sum(axis=1, keepdims=True)), 1)
+    scaled = np.hstack([x[:, :-1] / lengths, np.ones((len(x), 1))])
+    own = with_norm(rows).withColumn("sgd_margin", F.lit(0.0))
+    sums = fetch_sums(slot_sums(own, linear_sgd.scaled_coefficients("log")), WIDTH)
+    state = linear_sgd.scaled_update(None, sums, len(y))
+    rate = 1 / (linear_sgd.ALPHA * linear_sgd.step_offset())
+    np.testing.assert_allclose(state["weight"], -rate * scaled.T @ (0.5 - y) / len(y), atol=1e-9)
 
-    def loss(model):
-        chances = [r.probability.toArray() for r in model.transform(rows).orderBy("row_id").collect()]
-        return -np.mean([math.log(p[int(c)]) for p, c in zip(chances, y)])
 
-    model = second
-    for _ in range(10):
-        model = ml_models.mlp_update(rows, len(y), WIDTH, model)
-    assert loss(model) < loss(first)
+def test_stepped_learners_learn_and_rerun_alike(rows, dense):
+    _, y = dense
+    states = {}
+    for _ in range(6):
+        states = update_stepped(rows, states, ("SGD", "MLP"), WIDTH, "log", 4)
+    again = {}
+    for _ in range(6):
+        again = update_stepped(rows, again, ("SGD", "MLP"), WIDTH, "log", 4)
+    for name, state in states.items():
+        for vector in state:
+            np.testing.assert_allclose(state[vector], again[name][vector])
+    metrics = {r.model: r for r in score_metrics(rows, ModelSet(states)).collect()}
+    for name in ("SGD", "MLP"):
+        assert metrics[name].accuracy > max(np.mean(y), 1 - np.mean(y))
+        assert metrics[name].tp > 0 and metrics[name].tn > 0
 
 
 def test_all_models_together_equal_each_alone(rows):
     both, fitted = update_models(rows, ModelSet(), (6, 4), MODELS, WIDTH)
     assert sorted(fitted) == sorted(MODELS)
-    for name in ("SGD", "MNB", "KMEANS"):
+    for name in ("SGD", "MLP", "MNB", "KMEANS"):
         alone, _ = update_models(rows, ModelSet(), (6, 4), (name,), WIDTH)
         for vector in alone.states[name]:
             np.testing.assert_allclose(alone.states[name][vector], both.states[name][vector])

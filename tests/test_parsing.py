@@ -41,6 +41,23 @@ def test_bad_records_are_kept_with_a_reason(spark):
     ]
 
 
+def test_no_record_is_lost_or_made_up(spark):
+    """Text after the array, and elements that are no strings, come out as rejects."""
+    values = ['["0,a"]["1,b"]', '["0,a\\n"] junk ["1,b"]', '["0,a"], "b": 3', '["0,a\\n", ["1,b"], {"k":"1,z"}, 5, "4,b"]', '["0,x",']
+    rows = wire.parse_wire(lines(spark, *values)).select("record", "reject").collect()
+    assert [tuple(row) for row in rows] == [
+        (values[0], "not_json"),
+        (values[1], "not_json"),
+        (values[2], "not_json"),
+        ("0,a", None),
+        ('["1,b"]', "not_a_string"),
+        ('{"k":"1,z"}', "not_a_string"),
+        ("5", "not_a_string"),
+        ("4,b", None),
+        (values[4], "not_json"),
+    ]
+
+
 def test_headers_and_nulls_are_dropped(spark):
     rows = [("Sentiment", "Tweet"), ("0", "a"), (None, "b"), ("4", None), ("4", "")]
     df = spark.createDataFrame(rows, "sentiment string, message string")

@@ -13,6 +13,7 @@ from brooktext.streaming.store import ModelStore, WidthMismatch
 from brooktext.streaming.trainer import StreamTrainer
 
 WIDTH = 50
+LABELS = ("4", "0")
 
 
 def as_lines(df):
@@ -42,13 +43,13 @@ CUT = ([0, 1, 2, 10, 11], [3, 12, 20], [4, 13])
 
 def test_stream_equals_batch_for_additive_models(spark, records):
     landing, checkpoint = new_folder(spark, "wire"), new_folder(spark, "checkpoint")
-    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",))
+    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",), labels=LABELS)
     arrivals.replay(
         (as_lines(batch) for batch in batches_of(records, *CUT)),
         lambda lines: lines.write.mode("append").text(landing),
         lambda: trainer.start(feed.text_stream(spark, landing), checkpoint),
     )
-    whole = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",))
+    whole = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",), labels=LABELS)
     whole.process(as_lines(records), 0)
     assert [r.batch_id for r in trainer.metrics().orderBy("batch_id").collect()] == [0, 1, 2]
     for name in ("n0", "n1"):
@@ -61,13 +62,13 @@ def test_stream_equals_batch_for_additive_models(spark, records):
 @given(st.lists(st.integers(0, 2), min_size=10, max_size=10))
 def test_naive_bayes_does_not_depend_on_the_cut(spark, records, places):
     ids = [0, 1, 2, 3, 4, 10, 11, 12, 13, 20]
-    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",))
+    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",), labels=LABELS)
     trainer.store.save_labels(0, ["4", "0"])
     trainer.store.save_metrics(0, [], [])
     for place in range(3):
         chosen = [i for i, p in zip(ids, places) if p == place]
         trainer.process(records.where(F.col("row_id").isin(chosen)), place + 1)
-    whole = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",))
+    whole = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",), labels=LABELS)
     whole.process(records, 0)
     got, want = trainer.store.load_states()["MNB"], whole.store.load_states()["MNB"]
     np.testing.assert_array_equal(got["n0"], want["n0"])
@@ -76,12 +77,12 @@ def test_naive_bayes_does_not_depend_on_the_cut(spark, records, places):
 
 def test_replayed_batch_changes_nothing(spark, records):
     root = new_folder(spark, "models")
-    trainer = StreamTrainer(spark, root, WIDTH)
+    trainer = StreamTrainer(spark, root, WIDTH, labels=LABELS)
     parts = [as_lines(batch) for batch in batches_of(records, *CUT)]
     for k, part in enumerate(parts):
         assert trainer.process(part, k)
     states, metrics = states_of(trainer.store), metrics_of(trainer)
-    restarted = StreamTrainer(spark, root, WIDTH)
+    restarted = StreamTrainer(spark, root, WIDTH, labels=LABELS)
     restarted.process(parts[1], 1)
     restarted.process(parts[2], 2)
     after = states_of(restarted.store)
@@ -93,7 +94,7 @@ def test_replayed_batch_changes_nothing(spark, records):
 
 
 def test_empty_and_header_only_batches_are_passed_over(spark, records):
-    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",))
+    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",), labels=LABELS)
     assert not trainer.process(spark.createDataFrame([], "value string"), 0)
     header = spark.createDataFrame([('["Sentiment,Tweet\\n"]',)], "value string")
     assert not trainer.process(header, 1)
@@ -102,7 +103,7 @@ def test_empty_and_header_only_batches_are_passed_over(spark, records):
 
 
 def test_bad_records_do_not_cost_the_batch(spark, records):
-    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",))
+    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",), labels=LABELS)
     trainer.process(as_lines(records), 0)
     bad = spark.createDataFrame(
         [("",), ("plain no comma",), ('["nothing here\\n", "7,other label\\n"]',)], "value string"
@@ -122,19 +123,47 @@ def test_bad_records_do_not_cost_the_batch(spark, records):
 
 
 def test_one_class_batch_keeps_the_previous_regression(spark, records):
-    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("LR", "MNB"))
+    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("LR", "MNB"), labels=LABELS)
     trainer.process(records, 0)
     trainer.process(records.where("sentiment = '4'"), 1)
     fitted = {(r.batch_id, r.model): r.fitted for r in trainer.metrics().collect()}
     assert fitted == {(0, "LR"): True, (0, "MNB"): True, (1, "LR"): False, (1, "MNB"): True}
 
 
-def test_one_class_first_batch_gets_its_second_label_later(spark, records):
-    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",))
-    trainer.process(records.where("sentiment = '0'"), 0)
+def test_declared_labels_outlive_a_first_batch_of_junk(spark, records):
+    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",), labels=LABELS)
+    junk = spark.createDataFrame([(90, "junk", "odd text")], records.schema)
+    trainer.process(records.where("sentiment = '0'").union(junk), 0)
     trainer.process(records, 1)
-    assert trainer.store.load_labels() == ["0", "4"]
+    assert trainer.store.load_labels() == ["4", "0"]
     assert [r.n for r in trainer.metrics().orderBy("batch_id").collect()] == [4, 10]
+    assert [(r.record, r.reject) for r in trainer.store.dead_letters().collect()] == [("junk,odd text", "unknown_label")]
+
+
+def test_stable_labels_must_be_declared_once(spark, records):
+    root = new_folder(spark, "models")
+    with pytest.raises(ValueError, match="declared"):
+        StreamTrainer(spark, root, WIDTH, ("MNB",))
+    StreamTrainer(spark, root, WIDTH, ("MNB",), labels=LABELS).process(records, 0)
+    assert StreamTrainer(spark, root, WIDTH, ("MNB",)).labels == ["4", "0"]
+    with pytest.raises(ValueError, match="stored"):
+        StreamTrainer(spark, root, WIDTH, ("MNB",), labels=("0", "4"))
+
+
+@pytest.mark.parametrize("options", [{"labels": LABELS}, {"label_mode": "per_batch"}])
+def test_a_batch_is_read_once(spark, records, options):
+    """Every line passes one accumulator each time its source is read."""
+    reads = spark.sparkContext.accumulator(0)
+    lines = as_lines(records)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",), **options)
+    trainer.process(lines.mapInArrow(counted, lines.schema), 0)
+    assert reads.value == 1
 
 
 def test_labels_may_be_ranked_per_batch(spark, records):
@@ -146,7 +175,7 @@ def test_labels_may_be_ranked_per_batch(spark, records):
 
 
 def test_scoring_before_training(spark, records):
-    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",), mode="pre_fit")
+    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",), labels=LABELS, mode="pre_fit")
     for k, batch in enumerate(batches_of(records, *CUT)):
         trainer.process(batch, k)
     assert sorted((r.batch_id, r.n) for r in trainer.metrics().collect()) == [(1, 3), (2, 2)]
@@ -154,7 +183,7 @@ def test_scoring_before_training(spark, records):
 
 def test_saved_models_score_a_stream(spark, records):
     root, landing = new_folder(spark, "models"), new_folder(spark, "wire")
-    trainer = StreamTrainer(spark, root, WIDTH)
+    trainer = StreamTrainer(spark, root, WIDTH, labels=LABELS)
     trainer.process(as_lines(records), 0)
     as_lines(records).write.text(landing)
     scorer = StreamScorer(spark, root, keep_predictions=True)
@@ -167,7 +196,7 @@ def test_saved_models_score_a_stream(spark, records):
 
 def test_width_is_checked_at_load(spark, records):
     root = new_folder(spark, "models")
-    StreamTrainer(spark, root, WIDTH, ("MNB",)).process(records, 0)
+    StreamTrainer(spark, root, WIDTH, ("MNB",), labels=LABELS).process(records, 0)
     with pytest.raises(WidthMismatch):
         StreamScorer(spark, root, width=WIDTH + 1)
     with pytest.raises(FileNotFoundError):
@@ -175,7 +204,7 @@ def test_width_is_checked_at_load(spark, records):
 
 
 def test_literal_parser_trains_too(spark, records):
-    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",), parser="literal")
+    trainer = StreamTrainer(spark, new_folder(spark, "models"), WIDTH, ("MNB",), labels=LABELS, parser="literal")
     assert trainer.process(as_lines(records), 0)
     assert trainer.metrics().first().n == 10
 
@@ -220,6 +249,20 @@ def test_failures_are_raised(spark):
         BatchRun(feed.text_stream(spark, staged(spark, 1)), fail, new_folder(spark, "checkpoint")).wait()
 
 
+def test_a_failure_after_the_limit_is_raised(spark):
+    """Only the refusal of the next batch may be passed over."""
+    landing = staged(spark, 2)
+
+    def handle(batch, batch_id):
+        run_holder[0].batches = 1
+        raise RuntimeError("broken")
+
+    run_holder = []
+    run_holder.append(BatchRun(feed.text_stream(spark, landing), lambda b, k: handle(b, k), new_folder(spark, "checkpoint"), max_batches=1))
+    with pytest.raises(Exception, match="broken"):
+        run_holder[0].wait()
+
+
 def test_running_counts_survive_a_restart(spark):
     landing, out, checkpoint = staged(spark, 1), new_folder(spark, "counts"), new_folder(spark, "checkpoint")
 
@@ -276,24 +319,24 @@ def test_preview_reads_every_batch(spark):
 
 def test_old_model_versions_are_pruned(spark, records):
     root = new_folder(spark, "models")
-    trainer = StreamTrainer(spark, root, WIDTH, ("LR", "MNB"), keep_versions=2)
+    trainer = StreamTrainer(spark, root, WIDTH, ("LR", "MNB"), labels=LABELS, keep_versions=2)
     for k in range(4):
         trainer.process(records, k)
     assert {k for k, _, _ in states_of(trainer.store)} == {2, 3}
     assert trainer.store.latest(None, "ml", "LR") == 3
     assert trainer.metrics().select("batch_id").distinct().count() == 4
-    again = StreamTrainer(spark, root, WIDTH, ("LR", "MNB"))
+    again = StreamTrainer(spark, root, WIDTH, ("LR", "MNB"), labels=LABELS)
     again.process(records, 4)
     np.testing.assert_array_equal(again.store.load_states()["MNB"]["n0"][-1], 30)
 
 
 def test_incomplete_batch_is_not_read(spark, records):
     root = new_folder(spark, "models")
-    trainer = StreamTrainer(spark, root, WIDTH, ("MNB",))
+    trainer = StreamTrainer(spark, root, WIDTH, ("MNB",), labels=LABELS)
     trainer.process(records, 0)
     # the run dies after its models of batch 1 and before the metrics
     trainer.store.save_states(1, {"MNB": {name: np.full(WIDTH + 1, 99.0) for name in ("n0", "n1")}})
-    for restarted in (trainer, StreamTrainer(spark, root, WIDTH, ("MNB",))):
+    for restarted in (trainer, StreamTrainer(spark, root, WIDTH, ("MNB",), labels=LABELS)):
         np.testing.assert_array_equal(restarted.store.load_states(1)["MNB"]["n0"][-1], 6)
         np.testing.assert_array_equal(restarted.store.load_states(2)["MNB"]["n0"][-1], 6)
     restarted.process(records, 1)
