@@ -2,9 +2,9 @@
 
 Rows that share a key are candidates. A key that a third of all rows share
 must not make all their pairs, and need not: only components are asked for.
-So each round one row of every key is its hub, picked by a hash, and every row
-of another component is checked against one hub, a number of checks in
-proportion to the rows; links found merge components, and a key whose rows are
+So each round a few rows of every key are hubs, picked by hashes, and every row
+of another component is checked against one hub for each of these picks, a
+number of checks in proportion to the rows; links found merge components, and a key whose rows are
 all in one component is done. What is left after the rounds are keys with rows
 of several components; there all pairs across components that the filter lets
 through are checked, so no link is lost.
@@ -13,6 +13,7 @@ through are checked, so no link is lost.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from brooktext.llm.components import components
 from brooktext.sources.workspace import discard, materialize
 
-ROUNDS = 6
+ROUNDS = 2
+HUBS = 3
 
 # Pairs (a, b) to those of them that are similar.
 Verify = Callable[[DataFrame], DataFrame]
@@ -71,10 +73,15 @@ def similar_components(keys: DataFrame, details: DataFrame, near: Callable[[str,
     ones among pairs ``a, b``.
     """
     links, labels, checked = None, None, None
+    used: list[DataFrame] = []
     for turn in range(ROUNDS):
-        pairs = materialize(_one_hub_each(_labelled(keys, labels), checked, turn), "pairs")
+        labelled = materialize(_labelled(keys, labels), "labelled_keys")
+        picks = [_one_hub_each(labelled, checked, turn * HUBS + pick) for pick in range(HUBS)]
+        pairs = materialize(reduce(DataFrame.union, picks).distinct(), "pairs")
+        discard(labelled)
         checked = pairs if checked is None else checked.union(pairs)
         found = materialize(verify(pairs), "links")
+        used += [pairs, found]
         links = found if links is None else links.union(found)
         if labels is not None:
             discard(labels)
@@ -99,5 +106,5 @@ def similar_components(keys: DataFrame, details: DataFrame, near: Callable[[str,
     pairs = left.join(right, across).select(*ends).distinct()
     pairs = materialize(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
     final = components(links.union(verify(pairs)))
-    discard(open_rows, labels, pairs)
+    discard(open_rows, labels, pairs, *used)
     return final
