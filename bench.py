@@ -26,10 +26,12 @@ HEADLINE = [
     "features_and_label",
     "batch_key_count",
     "running_key_count",
+    "rate_limited_scan",
     "label_index_per_batch",
     "nb_counts",
     "nb_predict",
     "sgd_predict",
+    "kmeans_step",
     "kmeans_predict",
     "batch_metrics",
     "lr_predict",
@@ -37,6 +39,8 @@ HEADLINE = [
     "score_all",
     "train_nb",
     "train_all",
+    "lr_grid_search",
+    "score_stream",
 ]
 
 

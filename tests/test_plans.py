@@ -69,3 +69,27 @@ def test_labels_beyond_the_broadcast_limit_are_shuffled(spark):
         assert rows.count() == 87
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_no_text_is_moved_to_meet_the_labels(spark):
+    """With broadcasting off, both sides of the join are shuffled: the documents as counts."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = tables.hashed_records(spark, SF_DIR, 300)
+        plan = plan_of(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan
+    exchanges = []
+
+    def walk(node):
+        if node.nodeName() == "Exchange":
+            exchanges.append({node.output().apply(i).name() for i in range(node.output().size())})
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    prepared = rows._jdf.queryExecution().executedPlan()
+    walk(prepared.initialPlan() if prepared.nodeName() == "AdaptiveSparkPlan" else prepared)
+    assert sorted(map(sorted, exchanges)) == [["doc_id", "features"], ["doc_id", "quality"]]

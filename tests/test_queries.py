@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from brooktext.plans import queries
 from check import rows_of
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -55,3 +56,12 @@ def test_train_all_reports_every_model_and_batch(spark, db):
 
 def test_entry_has_one_metrics_row(spark):
     assert contract.entry(spark).count() == 1
+
+
+def test_stepped_learners_learn_on_a_stream(spark):
+    """On sf0.1 both find rare-class records and beat the constant answer by the last batch."""
+    rows = queries.train_stream(spark, "/root/testdata/sf0.1", models=("SGD", "MLP")).metrics().collect()
+    last = max(r.batch_id for r in rows)
+    for r in (r for r in rows if r.batch_id == last):
+        assert r.tp > 0 and r.tn > 0, r.model
+        assert r.accuracy > (r.tn + r.fp) / r.n, r.model
