@@ -178,7 +178,8 @@ def _weak_labels(texts: Texts, features: SlotFeatures, labels: list) -> np.ndarr
 def learn_secrets(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     drawn = bounded_sample(known, "doc_id", sample_docs)
-    hinted = F.col("text").rlike("(?i)(pass(word|wd)|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}")
+    assigns = r"(?i:pass(word|wd)|secret|token|api_?key)[\"']? *[:=]"
+    hinted = F.col("text").rlike(f"{assigns}|AKIA[A-Z0-9]{{16}}|[0-9a-f]{{24}}")
     order = F.xxhash64("doc_id", "text")
     key_like = F.col("text").rlike("(?=[A-Za-z+_-]*[0-9])(?=[0-9+_-]*[A-Za-z])[A-Za-z0-9+_-]{20,}")
     drawn = drawn.where(hinted | ((F.pmod(order, F.lit(32)) == 0) & ~key_like))
