@@ -113,18 +113,14 @@ def _vector() -> list[Column]:
 
 
 def _grouped(stats: DataFrame) -> DataFrame:
-    """Rows that pass the base rules with their vector and group ``of, part``: language and source, or pool."""
+    """Rows that pass the base rules with their vector and the number ``of`` their group: language and source, or pool."""
     good = stats.where(~F.col("base_failed")).select("row", "lang", "source", *_vector())
     sizes = good.groupBy(F.col("lang").alias("l"), F.col("source").alias("s")).agg(F.count("*").alias("n"))
     same = F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))
     # 0: a source of its own; 1: no source; 2: the pool of its language.
     part = F.when(F.col("n") < MIN_ROWS, 2).when(F.col("source").isNull(), 1).otherwise(0)
-    group = F.struct(
-        F.coalesce("lang", F.lit("")).alias("lang"),
-        F.col("lang").isNull().alias("no_lang"),
-        part.alias("part"),
-        F.when(part == 0, F.col("source")).otherwise("").alias("source"),
-    )
+    # One number for each group keeps the rows, and every aggregation and join over them, narrow.
+    group = F.xxhash64("lang", F.col("lang").isNull(), part, F.when(part == 0, F.col("source")))
     return good.join(sizes, same).select("row", group.alias("of"), *[f"x{k}" for k in range(STATS)])
 
 
@@ -141,7 +137,7 @@ def _estimate(rows: DataFrame, factor: float) -> DataFrame:
     ]
     out = out.select("to", "n", *[f"m{k}" for k in range(STATS)], *cov)
     for j in range(STATS):
-        before = [F.col(f"l{j}_{k}") ** 2 * F.col(f"d{k}") for k in range(j)]
+        before = [F.col(f"l{j}_{k}") * F.col(f"l{j}_{k}") * F.col(f"d{k}") for k in range(j)]
         out = out.withColumn(f"d{j}", F.greatest(F.col(f"c{j}_{j}") - sum(before, F.lit(0.0)), F.lit(1e-9)))
         for i in range(j + 1, STATS):
             shared = [F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") * F.col(f"d{k}") for k in range(j)]
@@ -155,7 +151,7 @@ def _distances(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     for i in range(STATS):
         known = [F.col(f"l{i}_{j}") * F.col(f"z{j}") for j in range(i)]
         out = out.withColumn(f"z{i}", F.col(f"x{i}") - F.col(f"m{i}") - sum(known, F.lit(0.0)))
-    far = sum((F.col(f"z{k}") ** 2 / F.col(f"d{k}") for k in range(STATS)), F.lit(0.0))
+    far = sum((F.col(f"z{k}") * F.col(f"z{k}") / F.col(f"d{k}") for k in range(STATS)), F.lit(0.0))
     return out.select("row", "of", *[f"x{k}" for k in range(STATS)], "n", far.alias("far"))
 
 
