@@ -18,7 +18,7 @@ from brooktext.llm.secrets import find_secrets, spans_text
 from brooktext.llm.substring import remove_repeats
 from brooktext.llm.tokens import token_counts
 from brooktext.llm.transcripts import ROLES, block_transfers, format_chats, split_parts
-from conftest import words
+from made_up import words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

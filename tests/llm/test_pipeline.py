@@ -2,7 +2,7 @@ import re
 from collections import Counter
 
 import corpus_pipeline
-from conftest import words
+from made_up import words
 from brooktext.llm.queries import QUERIES
 from brooktext.sources.workspace import new_folder
 
