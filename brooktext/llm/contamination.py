@@ -1,17 +1,20 @@
 """Benchmark passages in training documents: rare n-gram seeds and Smith-Waterman alignment.
 
-Words are lower-cased (A-Z). Seeds of a test item are the rarer half of its
-3-word sequences by the number of documents that hold them, counted over all
-documents. A document that holds a seed is aligned around it with the whole
-item: a local alignment of words (match 2, other word or gap -1), whose score
-over ``2 * item words`` must reach ``THRESHOLD``. Inserted, dropped and
-changed words cost little, so edited copies are found too.
-
-Scale: two narrow passes over the documents (counts, then alignment) for each
-block of items. Items go to the tasks in blocks of about ``BLOCK_WORDS``
-words, so what is broadcast is bounded however long the benchmark is. The
-documents are never shuffled, and a passage that many documents hold is just
-many independent rows.
+Words are lower-cased (A-Z). Every 3-word sequence of a test item is a seed,
+however many documents hold it. A document that holds a seed is aligned around
+it with the whole item: a local alignment of words (match 2, other word or gap
+-1), whose score over ``2 * item words`` must reach ``THRESHOLD``. Inserted,
+dropped and changed words cost little, so edited copies are found too; only a
+copy without three words in a row that are left as they were has no seed.
+
+Most texts share a common sequence with some item by chance. They are ruled
+out by bounds that no alignment exceeds: the best run of the text if each of
+its words that the item holds anywhere were a match, and the same for the item.
+
+Scale: one narrow pass over the documents for each block of items. Items go to
+the tasks in blocks of about ``BLOCK_WORDS`` words, so what is broadcast is
+bounded however long the benchmark is. The documents are never shuffled, and a
+passage that many documents hold is just many independent rows.
 """
 
 from __future__ import annotations
@@ -106,17 +109,6 @@ class Items:
         same = self.grams[gram] == hashes[at]
         return at[same], gram[same]
 
-    def rare(self, counts: np.ndarray) -> Items:
-        """The items with the rarer half of their grams as seeds; earlier ones first on ties."""
-        per_place = np.repeat(counts, np.diff(self.borders))
-        gram = np.repeat(np.arange(len(self.grams)), np.diff(self.borders))
-        order = np.lexsort((self.position, per_place, self.item))
-        first = groups(self.item[order])
-        size = np.diff(np.append(first, len(order)))
-        rank = np.arange(len(order)) - np.repeat(first, size)
-        keep = np.sort(order[rank < np.repeat((size + 1) // 2, size)])
-        return Items._sorted(self.ids, self.words, self.grams[gram[keep]], self.item[keep], self.position[keep])
-
 
 def _grams(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of lower-case texts, hashes of all 3-word sequences, their first words and rows."""
@@ -127,32 +119,16 @@ def _grams(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return hashes, words.offsets, grams, first
 
 
-def _document_counts(docs: DataFrame, items: Items) -> np.ndarray:
-    """The number of documents that hold each gram."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def _most(words: np.ndarray, known: np.ndarray) -> int:
+    """The score of the best run of ``words`` if each one that ``known`` (in order) holds were a match: no alignment has more."""
+    at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+    total = np.zeros(len(words) + 1, dtype=np.int64)
+    np.cumsum(np.where(known[at] == words, MATCH, max(OTHER, GAP)), out=total[1:])
+    return int((total - np.minimum.accumulate(total)).max())
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        total = np.zeros(len(known.grams), dtype=np.int64)
-        for batch in batches:
-            for texts in slices(batch.column("text")):
-                _, offsets, grams, first = _grams(texts)
-                at, gram = known.find(grams)
-                row = np.searchsorted(offsets, first[at], side="right") - 1
-                once = np.unique(row * len(known.grams) + gram)
-                total += np.bincount(once % max(len(known.grams), 1), minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["gram", "n"])
-
-    rows = docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(len(items.grams), dtype=np.int64)
-    for row in rows:
-        counts[row["gram"]] = row["n"]
-    return counts
-
-
-def _aligned(texts: Texts, items: Items) -> Iterator[tuple[int, int, float, int]]:
-    """``row, item, score, end`` of the best alignment of each row and item that share a seed."""
+
+def _aligned(texts: Texts, items: Items, threshold: float) -> Iterator[tuple[int, int, float, int]]:
+    """``row, item, score, end`` of the best alignment of each row and item that share a seed, where it reaches ``threshold``."""
     hashes, offsets, grams, first = _grams(texts)
     at, gram = items.find(grams)
     if not len(at):
@@ -164,16 +140,26 @@ def _aligned(texts: Texts, items: Items) -> Iterator[tuple[int, int, float, int]
     order = np.lexsort((diagonal, item, row))
     row, item, diagonal = row[order], item[order], diagonal[order]
     lengths = np.array([len(words) for words in items.words])
+    known: dict[int, np.ndarray] = {}
     new = np.ones(len(row), dtype=bool)
     new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > lengths[item[1:]])
     border = np.append(np.flatnonzero(new), len(row))
     best: dict[tuple[int, int], tuple[float, int]] = {}
     for a, b in zip(border[:-1], border[1:], strict=True):
         words = items.words[item[a]]
-        room = len(words) // 4 + 2
+        least = threshold * MATCH * len(words)
+        # Each gap costs a point of the best possible score, so no alignment that reaches ``least`` drifts further.
+        room = max(0, int(MATCH * len(words) - least)) + 1
         low = max(int(offsets[row[a]]), int(diagonal[a]) - room)
         high = min(int(offsets[row[a] + 1]), int(diagonal[b - 1]) + len(words) + room)
-        score, end = align(hashes[low:high], words)
+        region = hashes[low:high]
+        if item[a] not in known:
+            known[item[a]] = np.unique(words)
+        if _most(region, known[item[a]]) < least or _most(words, np.unique(region)) < least:
+            continue
+        score, end = align(region, words)
+        if score < least:
+            continue
         told = (score / (MATCH * len(words)), low + end - int(offsets[row[a]]))
         key = (int(row[a]), int(item[a]))
         if key not in best or told[0] > best[key][0]:
@@ -204,16 +190,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 def _contaminated_by(docs: DataFrame, items: DataFrame, block: int, blocks: int, threshold: float) -> DataFrame:
     own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
     known = Items.of([row["item_id"] for row in own], [row["text"] for row in own])
-    seeds = known.rare(_document_counts(docs, known))
-    shared = docs.sparkSession.sparkContext.broadcast(seeds)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, found = batch.column("doc_id"), []
             for texts in slices(batch.column("text")):
-                for row, item, value, end in _aligned(texts, shared.value):
-                    if value >= threshold:
-                        found.append((ids[texts.rows[row]].as_py(), shared.value.ids[item], value, end))
+                for row, item, value, end in _aligned(texts, shared.value, threshold):
+                    found.append((ids[texts.rows[row]].as_py(), shared.value.ids[item], value, end))
             if found:
                 columns = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), _TYPES, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "score", "end_word"])

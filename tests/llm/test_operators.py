@@ -329,6 +329,31 @@ def test_contamination_finds_copies_and_edits(spark, table, odd_rows):
     assert contaminated(table(rows), benchmark.limit(0)).collect() == []
 
 
+def test_contamination_equals_brute_force_on_much_edited_copies(spark, table):
+    texts = {i: words(800 + i, 40 + i) for i in range(12)}
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "item_id long, text string")
+    rows = []
+    for i, w in texts.items():
+        # The only copy of each item, every 4th to 6th word changed or followed by two more; of a third a verbatim one too.
+        every = 4 + i % 3
+        last = {k for k in range(len(w)) if k % every == every - 1}
+        changed = [f"other{i}" if k in last else x for k, x in enumerate(w)]
+        added = [y for k, x in enumerate(w) for y in ([x, "more", "more"] if k in last else [x])]
+        rows += [(i, " ".join([*words(i, 30), *(added if i >= 9 else changed), *words(i + 9, 30)]), "en", "a")]
+        rows += [(100 + i, " ".join(w), "en", "a")] * (3 <= i < 7)
+    # A sequence that most documents hold is a seed too.
+    rows += [(200 + i, f"{' '.join(words(i, 60))} {' '.join(texts[0][:3])}", "en", "a") for i in range(40)]
+    want = {}
+    for doc_id, text, *_ in rows:
+        for i, w in texts.items():
+            score = brute_align(text.split(), w) / (2 * len(w))
+            if score >= 0.5:
+                want[doc_id, i] = score
+    assert {(i, i) for i in range(9)} <= set(want)
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in contaminated(table(rows), benchmark).collect()}
+    assert got == want
+
+
 # --- 10 transcripts -----------------------------------------------------------
 
 
