@@ -68,6 +68,19 @@ def test_pipeline_keeps_and_drops_what_it_should(spark):
     assert sorted((repr(r["doc_id"]), r["mix_copies"]) for r in again) == sorted((repr(r["doc_id"]), r["mix_copies"]) for r in mixed)
 
 
+def line_stage(spark, texts):
+    docs = spark.createDataFrame([(i, t, "aa", "a", len(t), "x", 1, 2) for i, t in enumerate(texts)], SCHEMA)
+    return {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+
+
+def test_line_stage_links_lines_of_short_words_with_one_typo(spark):
+    line = "we go up to it as we do so in an hour or by an end of day if he is on at noon"
+    other = "a line of its own that is like no other one"
+    typo = line.replace("hour", "hoxr")
+    # Of 24 shingles of 8 characters the typo breaks two or three, of 12 characters four.
+    assert line_stage(spark, [line, f"{typo}\n{other}"]) == {0: line, 1: other}
+
+
 def test_every_stage_takes_an_empty_table(spark):
     path = folder(spark, [])
     docs = spark.read.parquet(f"{path}/documents.parquet")
