@@ -41,7 +41,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out lines that an earlier line is like; a document that loses all its lines goes."""
     narrow = docs.select("doc_id", "text")
-    cut = without_lines(docs, repeated_lines(narrow, width=LINE_SHINGLE)).where("lines_gone < lines_before OR lines_before = 0")
+    cut = without_lines(docs, repeated_lines(narrow, width=LINE_SHINGLE, short_lines=True)).where("lines_gone < lines_before OR lines_before = 0")
     kept = cut.select(*docs.columns)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

@@ -81,6 +81,15 @@ def test_line_stage_links_lines_of_short_words_with_one_typo(spark):
     assert line_stage(spark, [line, f"{typo}\n{other}"]) == {0: line, 1: other}
 
 
+def test_line_stage_takes_lines_of_few_words(spark):
+    script = "".join(chr(0x4E00 + k * 37 % 900) for k in range(120))
+    changed = script[:50] + "x" + script[51:]
+    same_start = script[:40] + "".join(chr(0x5E00 + k * 41 % 900) for k in range(80))
+    short, other = "Of, then.", "a line of its own that is like no other one"
+    texts = [f"{short}\n{script}", f"{changed}\n{other}", f" {short.upper()}\n{same_start}\nOf, thus."]
+    assert line_stage(spark, texts) == {0: texts[0], 1: other, 2: f"{same_start}\nOf, thus."}
+
+
 def test_every_stage_takes_an_empty_table(spark):
     path = folder(spark, [])
     docs = spark.read.parquet(f"{path}/documents.parquet")
