@@ -21,6 +21,7 @@ from brooktext.sources.workspace import discard, materialize
 
 LEAST_SCORE = 0.3
 LINE_SHINGLE = 8
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def _without(docs: DataFrame, ids: DataFrame, purpose: str) -> DataFrame:
@@ -39,9 +40,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out lines that an earlier line is like; a document that loses all its lines goes."""
+    """Takes out lines that an earlier line is like; a document that loses lines and has only blank ones left goes."""
     narrow = docs.select("doc_id", "text")
-    cut = without_lines(docs, repeated_lines(narrow, width=LINE_SHINGLE, short_lines=True)).where("lines_gone < lines_before OR lines_before = 0")
+    cut = without_lines(docs, repeated_lines(narrow, width=LINE_SHINGLE, short_lines=True)).where((F.col("lines_gone") == 0) | F.col("text").rlike(WORD))
     kept = cut.select(*docs.columns)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

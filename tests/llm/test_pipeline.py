@@ -90,6 +90,14 @@ def test_line_stage_takes_lines_of_few_words(spark):
     assert line_stage(spark, texts) == {0: texts[0], 1: other, 2: f"{same_start}\nOf, thus."}
 
 
+def test_line_stage_leaves_no_husk_of_a_copy(spark):
+    line, other = "a line that all of these documents hold", "Not yet."
+    copy = f"{line}\n\nOf, then.\n  "
+    texts = [copy, copy, copy, f"{line}\n\n{other}", "\n", ""]
+    # Copies go with their blank and short lines; a line of its own keeps a document, and so does having lost none.
+    assert line_stage(spark, texts) == {0: copy, 3: f"\n{other}", 4: "\n", 5: ""}
+
+
 def test_every_stage_takes_an_empty_table(spark):
     path = folder(spark, [])
     docs = spark.read.parquet(f"{path}/documents.parquet")
