@@ -33,8 +33,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 SHINGLE = 8
 STATS = 5
-# Least standard deviation of each statistic.
-SPREADS = (0.3, 0.05, 0.4, 1.0, 1.0)
+# Least standard deviation of each statistic. A log rate is at most log(101) = 4.6, which squared and
+# over the square of its spread must exceed FARTHEST, or the statistic alone rejects nothing.
+SPREADS = (0.3, 0.05, 0.4, 0.3, 0.3)
 HELD = 0.75
 STEPS = 4
 # Chi-square with 5 degrees of freedom: the 0.75 subset underestimates the

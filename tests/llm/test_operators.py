@@ -195,6 +195,27 @@ def test_quality_counts_and_outliers(table, odd_rows):
     assert judge_quality(table([])).collect() == []
 
 
+def test_quality_rejects_an_outlier_in_each_statistic_alone(table):
+    def lined(w, width=10):
+        return "\n".join(" ".join(w[k : k + width]) for k in range(0, len(w), width))
+
+    rows = [(i, lined(words(i, 60 + i)), "en", "a") for i in range(120)]
+    few = [" ".join(words(7, 24)[2 * k : 2 * k + 2]) for k in range(12)]
+    order = [int(x[1 : x.index("x")]) % 12 for x in words(11, 60)]
+    planted = {
+        "n_words": lined(words(900, 6000)),
+        "word_chars": lined([x * 4 for x in words(901, 100)]),
+        "n_symbols": lined([x + "#$" for x in words(902, 100)]),
+        "n_dup_lines": "\n".join(few[k] for k in order),
+        "n_repeat_words": lined([*words(903, 40), *words(904, 12), *words(905, 30), *words(904, 12), *words(906, 20)], 11),
+    }
+    rows += [(200 + k, text, "en", "a") for k, text in enumerate(planted.values())]
+    got = by_id(judge_quality(table(rows)))
+    assert all(got[i]["kept"] for i in range(120))
+    for k, name in enumerate(planted):
+        assert not got[200 + k]["base_failed"] and not got[200 + k]["kept"], (name, got[200 + k])
+
+
 # --- 6 lines ------------------------------------------------------------------
 
 
