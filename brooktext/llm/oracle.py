@@ -93,4 +93,26 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
         FROM told GROUP BY doc_id
     """,
+    "op13_hard_negatives": """
+        WITH usable AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+                AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                list_dot_product(a.x, b.x)::BIGINT AS score
+            FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        ), positives AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+        )
+        SELECT p.anchor_id, positive_id,
+            row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+            other_id AS negative_id, positive_score, score AS negative_score
+        FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+            AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) <= 3
+    """,
 }

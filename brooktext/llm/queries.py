@@ -12,11 +12,14 @@ from brooktext.llm.language import identify_languages
 from brooktext.llm.lines import dedup_lines
 from brooktext.llm.mixing import mix_sources
 from brooktext.llm.neardup import near_duplicates
+from brooktext.llm.negatives import mine_negatives
 from brooktext.llm.quality import judge_quality
 from brooktext.llm.secrets import find_secrets, spans_text
 from brooktext.llm.substring import remove_repeats
 from brooktext.llm.tokens import token_counts
 from brooktext.llm.transcripts import format_chats
+from brooktext.llm.vectors import integer_vectors
+from brooktext.llm.whitening import whiten_embeddings
 from brooktext.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +96,15 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_embeddings(integer_vectors(read_table(spark, sf_dir, "embeddings"), "embedding", "vec_id"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    return mine_negatives(integer_vectors(table, "embedding", "vec_id", label), F.col("vec_id") % 50 == 0)
