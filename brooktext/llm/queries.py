@@ -16,6 +16,7 @@ from brooktext.llm.negatives import mine_negatives
 from brooktext.llm.quality import judge_quality
 from brooktext.llm.secrets import find_secrets, spans_text
 from brooktext.llm.substring import remove_repeats
+from brooktext.llm.suffixes import remove_repeated_bytes
 from brooktext.llm.tokens import token_counts
 from brooktext.llm.transcripts import format_chats
 from brooktext.llm.vectors import integer_vectors
@@ -108,3 +109,9 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = read_table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
     return mine_negatives(integer_vectors(table, "embedding", "vec_id", label), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeated_bytes(read_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
