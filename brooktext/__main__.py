@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from brooktext.sources import feed
 from brooktext.sources.workspace import new_folder
 from brooktext.streaming.keyed_counts import keyed_lines, read_counts, start_batch_counts, start_running_counts
-from brooktext.streaming.learners import MODELS, STEPS_PER_BATCH
+from brooktext.streaming.learners import MODELS, PASSES
 from brooktext.streaming.scorer import StreamScorer
 from brooktext.streaming.trainer import LABEL_MODES, MODES, StreamTrainer
 
@@ -41,7 +41,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--mode", choices=MODES, default="post_fit")
     parser.add_argument("--label-mode", choices=LABEL_MODES, default="stable")
     parser.add_argument("--labels", nargs=2, metavar=("CLASS0", "CLASS1"), help="the two labels, for a stable mapping")
-    parser.add_argument("--steps", type=int, default=STEPS_PER_BATCH, help="steps of SGD and MLP on each batch")
+    parser.add_argument("--passes", type=int, default=PASSES, help="passes of SGD and MLP over each batch")
     parser.add_argument("--tasks", type=int, help="most tasks for the passes over a batch")
     parser.add_argument("--keep-predictions", action="store_true", help="score: store a row per model and record")
     parser.add_argument("--literal-divisor", action="store_true", help="score: divide mean accuracy by one more batch")
@@ -89,7 +89,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "train":
         worker = StreamTrainer(
             spark, args.models_dir, **({"width": args.width} if args.width else {}),
-            loss=args.loss, mode=args.mode, steps=args.steps, keep_versions=args.keep_versions, **common,
+            loss=args.loss, mode=args.mode, passes=args.passes, keep_versions=args.keep_versions, **common,
         )
     else:
         worker = StreamScorer(spark, args.models_dir, args.width, keep_predictions=args.keep_predictions, **common)

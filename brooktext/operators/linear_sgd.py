@@ -1,10 +1,9 @@
 """Linear classifier by stochastic gradient descent, a micro-batch at a time.
 
-A step is margins and residuals per row and the gradient as one sum per slot.
-Rows of a step are not sequential; that would tie them to a single task. A
-batch is one step over all its rows or, in the training stream, a fixed number
-of steps over slices of it. Those steps divide a row's counts by their length:
-with raw counts the first step sizes throw the weights far off.
+Here a batch is one step over all its rows: margins and residuals per row, and
+the gradient as one sum per slot. The training stream takes many steps instead,
+each task over its own rows (``local_steps``), and divides a row's counts by their
+length: with raw counts the first step sizes throw the weights far off.
 """
 
 from __future__ import annotations
@@ -66,20 +65,6 @@ def scaled_margin(state: State | None) -> Column:
     return sparse_dot(weights) / F.col("row_norm") + bias
 
 
-def scaled_coefficients(loss: str, margin: str = "sgd_margin") -> dict[str, Column]:
-    """Like ``sgd_coefficients``; the residual by row length for the slots, and as it is for the bias."""
-    of_row = residual(F.col(margin), loss)
-    return {"residual": of_row / F.col("row_norm"), "bias_residual": of_row}
-
-
-def scaled_update(state: State | None, sums: State, n: float) -> State:
-    """One step on scaled counts; the state says so, for prediction."""
-    gradient = sums["residual"].copy()
-    gradient[-1] = sums["bias_residual"][-1]
-    new = sgd_update(state, {"residual": gradient, "rows": np.full(len(gradient), n)})
-    return {**new, "scaled": np.ones(1)}
-
-
 def sgd_coefficients(loss: str, margin: str = "sgd_margin") -> dict[str, Column]:
     """Residual of each row, from its margin column, and a row indicator."""
     return {"residual": residual(F.col(margin), loss), "rows": F.lit(1.0)}

@@ -1,9 +1,7 @@
-"""Multilayer perceptron on the shared aggregation: two hidden layers, ReLU, Adam.
+"""Multilayer perceptron: two hidden layers, ReLU, Adam. Its start and its scores.
 
-A step is one aggregation: the deltas of the first hidden layer are five more
-coefficients of the slot sums, and the gradients of the small upper layers are
-sums at the bias slot. State, including Adam's moments, has the size of the
-model and stays on the driver.
+It is trained by ``local_steps``. State, including Adam's moments, has the size
+of the model and stays on the driver.
 
 Counts of a row are divided by their length, so long texts do not saturate the
 units. Only the hidden biases and the upper layers start positive: with all
@@ -18,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brooktext.functions.linear import sparse_dot
-from brooktext.operators.linear_sgd import residual
 from brooktext.operators.sums import State
 
 # Layer sizes, penalty, seed and Adam's decay rates.
@@ -26,7 +23,7 @@ HIDDEN = (5, 2)
 ALPHA = 1e-5
 SEED = 42
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
-# The step size; larger than the usual 0.001, as a batch gets few steps.
+# The step size; larger than the usual 0.001, as a task takes few steps on a batch.
 RATE = 0.05
 
 UNITS, TOP = HIDDEN
@@ -48,15 +45,15 @@ def mlp_state(state: State | None, width: int) -> State:
     return _start(width) if state is None else state
 
 
-def _upper(state: State) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    deep = state["deep"]
+def upper(deep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Weights and biases of layer 2, the output weights and its bias."""
     second = deep[: UNITS * TOP].reshape(UNITS, TOP)
     return second, deep[UNITS * TOP : UNITS * TOP + TOP], deep[UNITS * TOP + TOP : -1], float(deep[-1])
 
 
 def with_layers(rows: DataFrame, state: State) -> DataFrame:
     """Add ``mlp_h*``, ``mlp_z*`` and the output ``mlp_margin``; ``rows`` needs ``terms`` and ``row_norm``."""
-    second, second_bias, out, out_bias = _upper(state)
+    second, second_bias, out, out_bias = upper(state["deep"])
     first = {}
     for k in range(UNITS):
         weights = state[f"unit{k}"].copy()
@@ -69,46 +66,3 @@ def with_layers(rows: DataFrame, state: State) -> DataFrame:
         top[f"mlp_z{j}"] = F.greatest(total, F.lit(0.0))
     margin = sum((F.col(f"mlp_z{j}") * float(out[j]) for j in range(TOP)), F.lit(out_bias))
     return rows.withColumns(top).withColumn("mlp_margin", margin)
-
-
-def with_deltas(rows: DataFrame, state: State) -> DataFrame:
-    """Add the loss derivatives ``mlp_delta``, ``mlp_t*`` and ``mlp_u*`` of the output and both layers."""
-    second, _, out, _ = _upper(state)
-    rows = rows.withColumn("mlp_delta", residual(F.col("mlp_margin"), "log"))
-    top = {f"mlp_t{j}": F.when(F.col(f"mlp_z{j}") > 0, F.col("mlp_delta") * float(out[j])).otherwise(0.0) for j in range(TOP)}
-    rows = rows.withColumns(top)
-    units = {}
-    for k in range(UNITS):
-        total = sum((F.col(f"mlp_t{j}") * float(second[k, j]) for j in range(TOP)), F.lit(0.0))
-        units[f"mlp_u{k}"] = F.when(F.col(f"mlp_h{k}") > 0, total).otherwise(0.0)
-    return rows.withColumns(units)
-
-
-def mlp_coefficients() -> dict[str, Column]:
-    """Slot sums of a step: ``mlp_g*`` for the slots of each unit, ``mlp_s*`` for the bias slot."""
-    sums = {f"mlp_g{k}": F.col(f"mlp_u{k}") / F.col("row_norm") for k in range(UNITS)}
-    small = [F.col(f"mlp_t{j}") * F.col(f"mlp_h{k}") for k in range(UNITS) for j in range(TOP)]
-    small += [F.col(f"mlp_t{j}") for j in range(TOP)]
-    small += [F.col("mlp_delta") * F.col(f"mlp_z{j}") for j in range(TOP)] + [F.col("mlp_delta")]
-    small += [F.col(f"mlp_u{k}") for k in range(UNITS)]
-    return sums | {f"mlp_s{i}": value for i, value in enumerate(small)}
-
-
-def mlp_update(state: State, sums: State, n: float, rate: float = RATE) -> State:
-    """One Adam step along the mean gradient of ``n`` rows, with the L2 penalty on weights."""
-    deep = np.array([sums[f"mlp_s{i}"][-1] for i in range(DEEP)]) / n
-    weights = np.ones(DEEP)
-    weights[UNITS * TOP : UNITS * TOP + TOP] = weights[-1] = 0.0
-    gradients = {"deep": deep + ALPHA / n * weights * state["deep"]}
-    for k in range(UNITS):
-        slope = sums[f"mlp_g{k}"] / n + ALPHA / n * state[f"unit{k}"]
-        slope[-1] = sums[f"mlp_s{DEEP + k}"][-1] / n
-        gradients[f"unit{k}"] = slope
-    step = state["step"] + 1
-    scale = rate * np.sqrt(1 - BETA2 ** step[0]) / (1 - BETA1 ** step[0])
-    new = {"step": step}
-    for name, slope in gradients.items():
-        first = BETA1 * state[f"m_{name}"] + (1 - BETA1) * slope
-        second = BETA2 * state[f"v_{name}"] + (1 - BETA2) * slope**2
-        new |= {name: state[name] - scale * first / (np.sqrt(second) + EPSILON), f"m_{name}": first, f"v_{name}": second}
-    return new

@@ -25,6 +25,7 @@ from brooktext.functions.labels import extend_labels, index_batches, label_frequ
 from brooktext.functions.linear import with_prediction
 from brooktext.functions.text import field_at, prefix_drop, row_concat, split_first, tokenize
 from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes
+from brooktext.operators.local_steps import local_updates
 from brooktext.operators.sums import State, slot_sums
 from brooktext.sources import arrivals, feed, tables, wire
 from brooktext.sources.workspace import materialize, new_folder
@@ -33,12 +34,10 @@ from brooktext.streaming.frames import mark_rejects
 from brooktext.streaming.learners import (
     MODELS,
     ModelSet,
-    STEPS_PER_BATCH,
     score_metrics,
     stacked_predictions,
     update_linear,
     update_models,
-    update_stepped,
     with_predictions,
 )
 from brooktext.streaming.lifecycle import BatchRun
@@ -241,7 +240,7 @@ def string_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = tables.read_text_table(spark, sf_dir, "documents", "doc_id", "text", spread=True)
+    texts = tables.read_text_table(spark, sf_dir, "documents", "doc_id", "text")
     return texts.select(F.col("doc_id").alias("row_id"), F.col("text").alias("message"))
 
 
@@ -290,7 +289,7 @@ def densify(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def features_and_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokenizer, hasher and label index as one fitted ML pipeline."""
-    rows = tables.records(spark, sf_dir, spread=True)
+    rows = tables.records(spark, sf_dir)
     # The label index is the only stage that learns; it needs no text.
     fitted = feature_pipeline(TRAIN_WIDTH).fit(tables.labelled_ids(spark, sf_dir).withColumn("message", F.lit("")))
     features = fitted.transform(rows).select("row_id", "label", F.unwrap_udt("features").alias("v"))
@@ -376,7 +375,7 @@ def feature_table(spark: SparkSession, sf_dir: str, width: int = TRAIN_WIDTH) ->
     """
     ids = tables.labelled_ids(spark, sf_dir)
     mapping = extend_labels([], ids)
-    rows = tables.hashed_records(spark, sf_dir, width, spread=True).withColumn("label", stable_index(mapping))
+    rows = tables.hashed_records(spark, sf_dir, width).withColumn("label", stable_index(mapping))
     stored = materialize(rows.drop("sentiment"), "features")
     sizes = stored.agg(F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1"))
     n0, n1 = sizes.first()
@@ -387,7 +386,7 @@ def feature_table(spark: SparkSession, sf_dir: str, width: int = TRAIN_WIDTH) ->
 def nb_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Term counts per slot and class; the last slot holds the class sizes."""
     mapping = extend_labels([], tables.labelled_ids(spark, sf_dir))
-    rows = tables.hashed_records(spark, sf_dir, TRAIN_WIDTH, spread=True).withColumn("label", stable_index(mapping))
+    rows = tables.hashed_records(spark, sf_dir, TRAIN_WIDTH).withColumn("label", stable_index(mapping))
     rows = with_terms(rows, TRAIN_WIDTH)
     sums = slot_sums(rows, naive_bayes.nb_coefficients())
     return sums.select("slot", F.col("n0").cast("bigint").alias("n0"), F.col("n1").cast("bigint").alias("n1"))
@@ -414,7 +413,7 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _first_gradient(spark: SparkSession, sf_dir: str, width: int, loss: str) -> DataFrame:
     """One pass, so nothing is staged."""
     mapping = extend_labels([], tables.labelled_ids(spark, sf_dir))
-    rows = tables.hashed_records(spark, sf_dir, width, spread=True).withColumn("label", stable_index(mapping))
+    rows = tables.hashed_records(spark, sf_dir, width).withColumn("label", stable_index(mapping))
     rows = with_terms(rows, width)
     at_zero = rows.withColumn("sgd_margin", linear_sgd.sgd_margin(None))
     return slot_sums(at_zero, linear_sgd.sgd_coefficients(loss)).select("slot", F.col("residual").alias("gradient"))
@@ -475,7 +474,7 @@ def lr_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mlp_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = feature_table(spark, sf_dir)
-    states = update_stepped(rows, {}, ("MLP",), TRAIN_WIDTH, "log", STEPS_PER_BATCH)
+    states = local_updates(rows, {}, ("MLP",), TRAIN_WIDTH, "log")
     predicted, columns = with_predictions(rows, ModelSet(states))
     return predicted.select("row_id", "label", F.col(columns["MLP"]).alias("prediction"))
 
@@ -570,7 +569,7 @@ def train_nb_prequential(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def train_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear classifier with hinge loss over the stream, width 1,000."""
-    return _stream_metrics(train_stream(spark, sf_dir, width=WIDE_WIDTH, models=("SGD",), loss="hinge", steps=None))
+    return _stream_metrics(train_stream(spark, sf_dir, width=WIDE_WIDTH, models=("SGD",), loss="hinge", passes=None))
 
 
 @query

@@ -11,6 +11,8 @@ from brooktext.functions.features import hash_features
 # range. Numbering by range needs no sort and no shuffle.
 RECORD_IDS_PER_BATCH = 250
 EVENTS_PER_BATCH = 2000
+# Session setting: tasks to deal the rows of text tables out to; not set, they stay as scanned.
+SPREAD_SETTING = "spark.brooktext.spread.tasks"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,23 +25,24 @@ def id_batch(key: str | Column, size: int) -> Column:
     return F.call_function("div", key, F.lit(size))
 
 
-def read_text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread: bool = False) -> DataFrame:
-    """Columns of a text table; ``spread`` deals the rows out over the cores.
+def read_text_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a text table, as scanned.
 
-    Worth it for a table in one small file, which a single task would read
-    alone; a table of many splits is better left as scanned.
+    A table in one small file is read by a single task. A caller who has such
+    tables can set ``SPREAD_SETTING`` to a number of tasks to deal the rows out to.
     """
     df = read_table(spark, sf_dir, name).select(*columns)
-    return df.repartition(spark.sparkContext.defaultParallelism) if spread else df
+    tasks = spark.conf.get(SPREAD_SETTING, None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
-def records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled records: ``row_id, sentiment, message``.
 
     No join hint: the optimizer broadcasts the labels while they are below its
     size threshold and sorts or hashes both sides by id beyond it.
     """
-    documents = read_text_table(spark, sf_dir, "documents", "doc_id", "text", spread=spread)
+    documents = read_text_table(spark, sf_dir, "documents", "doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     return documents.join(labels, "doc_id").select(
         F.col("doc_id").alias("row_id"),
@@ -48,13 +51,13 @@ def records(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame
     )
 
 
-def hashed_records(spark: SparkSession, sf_dir: str, width: int, spread: bool = False) -> DataFrame:
+def hashed_records(spark: SparkSession, sf_dir: str, width: int) -> DataFrame:
     """Labelled records with hashed term counts: ``row_id, sentiment, features``.
 
     Documents are hashed where they are read. What the join moves, if the
     labels are too large to be broadcast, is the counts and never the text.
     """
-    documents = read_text_table(spark, sf_dir, "documents", "doc_id", "text", spread=spread)
+    documents = read_text_table(spark, sf_dir, "documents", "doc_id", "text")
     hashed = hash_features(documents.withColumnRenamed("text", "message"), width)
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     return hashed.join(labels, "doc_id").select(

@@ -14,14 +14,12 @@ from brooktext.functions.linear import decide, sparse_dot
 from brooktext.functions.metrics import confusion, with_rates
 from brooktext.functions.features import with_norm
 from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes, perceptron
+from brooktext.operators.local_steps import PASSES, local_updates
 from brooktext.operators.sums import State, fetch_sums, slot_sums
 
 # The model names, in report order.
 MODELS = ("LR", "SGD", "MLP", "MNB", "KMEANS")
-STEPPED = ("SGD", "MLP")
-# Steps of the stepped learners on each batch, whatever its size. Each is one
-# aggregation over a slice of the rows, chosen by a hash of the row id.
-STEPS_PER_BATCH = 20
+LOCAL = ("SGD", "MLP")
 
 
 @dataclass
@@ -75,34 +73,6 @@ def update_linear(
     return states
 
 
-def update_stepped(
-    rows: DataFrame, prior: dict[str, State], models: tuple[str, ...], width: int, loss: str, steps: int
-) -> dict[str, State]:
-    """The linear classifier and the perceptron, ``steps`` steps each, both gradients from one aggregation."""
-    states = {name: prior.get(name) for name in STEPPED if name in models}
-    if "MLP" in states:
-        states["MLP"] = perceptron.mlp_state(states["MLP"], width)
-    part = F.pmod(F.xxhash64("row_id"), F.lit(steps))
-    rows = with_norm(rows).withColumn("slice", part)
-    for step in range(steps if states else 0):
-        own, coefficients = rows.where(F.col("slice") == step), {"rows": F.lit(1.0)}
-        if "SGD" in states:
-            own = own.withColumn("sgd_margin", linear_sgd.scaled_margin(states["SGD"]))
-            coefficients |= linear_sgd.scaled_coefficients(loss)
-        if "MLP" in states:
-            own = perceptron.with_deltas(perceptron.with_layers(own, states["MLP"]), states["MLP"])
-            coefficients |= perceptron.mlp_coefficients()
-        sums = fetch_sums(slot_sums(own, coefficients), width)
-        n = sums["rows"][-1]
-        if n == 0:
-            continue
-        if "SGD" in states:
-            states["SGD"] = linear_sgd.scaled_update(states["SGD"], sums, n)
-        if "MLP" in states:
-            states["MLP"] = perceptron.mlp_update(states["MLP"], sums, n)
-    return {name: state for name, state in states.items() if state is not None}
-
-
 def update_models(
     rows: DataFrame,
     prior: ModelSet,
@@ -110,25 +80,26 @@ def update_models(
     models: tuple[str, ...] = MODELS,
     width: int = 300,
     loss: str = "log",
-    steps: int | None = STEPS_PER_BATCH,
+    passes: int | None = PASSES,
 ) -> tuple[ModelSet, list[str]]:
     """Models after this batch, and the names of those that were fitted.
 
-    Without ``steps`` the linear classifier takes one step over the whole
-    batch, on raw counts, in the aggregation that the other linear models use.
+    ``passes``: how often the local solvers go over a batch. Without it the linear
+    classifier takes one step over the whole batch, on raw counts, in the
+    aggregation that the other linear models use.
 
     Logistic regression needs both classes in the batch; without them it alone
     is skipped and its previous model stays.
     """
     n = sum(class_sizes)
-    stepped = tuple(name for name in STEPPED if name in models and (steps or name == "MLP"))
-    shared = tuple(name for name in models if name not in stepped)
+    local = tuple(name for name in LOCAL if name in models and (passes or name == "MLP"))
+    shared = tuple(name for name in models if name not in local)
     tasks = {"linear": lambda: update_linear(rows, prior.states, shared, width, loss)}
-    tasks["stepped"] = lambda: update_stepped(rows, prior.states, stepped, width, loss, steps or STEPS_PER_BATCH)
+    tasks["local"] = lambda: local_updates(rows, prior.states, local, width, loss, passes or PASSES)
     if "LR" in models and min(class_sizes) > 0:
         tasks["LR"] = lambda: ml_models.lr_fit(rows, n)
     results = dict(zip(tasks, together(rows.sparkSession, *tasks.values()), strict=True))
-    states = {**results.pop("linear"), **results.pop("stepped")}
+    states = {**results.pop("linear"), **results.pop("local")}
     return ModelSet(states, {**prior.ml, **results}), [*states, *results]
 
 

@@ -12,7 +12,7 @@ from brooktext.functions.features import TRAIN_WIDTH, with_terms
 from brooktext.functions.labels import CLASSES, extend_labels
 from brooktext.functions.sizing import on_tasks
 from brooktext.streaming.frames import feature_frame, good_records, mark_rejects, parse_batch
-from brooktext.streaming.learners import MODELS, STEPS_PER_BATCH, ModelSet, score_metrics, together, update_models
+from brooktext.streaming.learners import MODELS, PASSES, ModelSet, score_metrics, together, update_models
 from brooktext.streaming.lifecycle import BatchRun
 from brooktext.streaming.store import ModelStore
 
@@ -28,9 +28,8 @@ class StreamTrainer:
     ``label_mode='stable'`` keeps one label mapping, the declared ``labels`` in
     order of their classes; it is stored with the models, so a later run need
     not repeat it. A label outside it goes to the dead letters.
-    ``'per_batch'`` ranks the labels anew in every batch. ``steps`` is the
-    number of steps that the stepped learners take on a batch (see
-    ``learners``). ``keep_versions`` bounds the model versions kept by a long
+    ``'per_batch'`` ranks the labels anew in every batch. ``passes`` is how
+    often the local solvers go over a batch (see ``learners``). ``keep_versions`` bounds the model versions kept by a long
     run; ``tasks`` the tasks for the passes over a batch.
     """
 
@@ -46,7 +45,7 @@ class StreamTrainer:
         parser: str = "decode",
         keep_versions: int | None = None,
         labels: Sequence[str] | None = None,
-        steps: int | None = STEPS_PER_BATCH,
+        passes: int | None = PASSES,
         tasks: int | None = None,
     ):
         unknown = set(models) - set(MODELS)
@@ -56,7 +55,7 @@ class StreamTrainer:
         self.store = ModelStore(spark, root, width)
         self.width, self.models, self.loss = width, tuple(models), loss
         self.mode, self.label_mode, self.parser = mode, label_mode, parser
-        self.keep_versions, self.steps, self.tasks = keep_versions, steps, tasks
+        self.keep_versions, self.passes, self.tasks = keep_versions, passes, tasks
         self.labels = self._declared(labels) if label_mode == "stable" else None
         self._ml: tuple[int | None, dict] = (None, {})
 
@@ -108,7 +107,7 @@ class StreamTrainer:
                 # Fetched now: one row per model, before the models move on.
                 before = score_metrics(rows, prior).collect()
             updated, fitted = update_models(
-                rows, prior, (sizes.n0, sizes.n1), self.models, self.width, self.loss, self.steps
+                rows, prior, (sizes.n0, sizes.n1), self.models, self.width, self.loss, self.passes
             )
             metrics = self._save_and_score(rows, batch_id, updated, fitted)
             self.store.save_metrics(batch_id, before if self.mode == "pre_fit" else metrics, fitted)

@@ -10,6 +10,7 @@ from brooktext.functions.features import hash_features, with_norm, with_terms
 from brooktext.functions.labels import stable_index
 from brooktext.functions.linear import with_prediction
 from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes, perceptron
+from brooktext.operators.local_steps import local_updates
 from brooktext.operators.sums import fetch_sums, slot_sums
 from brooktext.streaming.learners import (
     MODELS,
@@ -17,7 +18,6 @@ from brooktext.streaming.learners import (
     score_metrics,
     stacked_predictions,
     update_models,
-    update_stepped,
 )
 
 WIDTH = 50
@@ -146,63 +146,91 @@ def test_logistic_regression_is_near_its_optimum(rows, dense):
     assert np.abs(gradient).max() < 1e-2
 
 
-def plain_perceptron(x, y, state, n):
-    """Loss gradients of the same net by matrix products; ``x`` has the bias column last."""
-    second = state["deep"][:10].reshape(5, 2)
+def plain_steps(x, y, size, passes, loss):
+    """The same steps on a plain matrix: the linear classifier and the perceptron, rows in order."""
     lengths = np.maximum(np.sqrt((x[:, :-1] ** 2).sum(axis=1, keepdims=True)), 1)
-    scaled = np.hstack([x[:, :-1] / lengths, np.ones((len(x), 1))])
-    w1 = np.stack([state[f"unit{k}"] for k in range(5)], axis=1)
-    h = np.maximum(scaled @ w1, 0)
-    z = np.maximum(h @ second + state["deep"][10:12], 0)
-    margin = z @ state["deep"][12:14] + state["deep"][14]
-    delta = 1 / (1 + np.exp(-margin)) - y
-    t = delta[:, None] * state["deep"][12:14] * (z > 0)
-    u = (t @ second.T) * (h > 0)
-    deep = np.concatenate([(h.T @ t).ravel(), t.sum(0), z.T @ delta, [delta.sum()]]) / n
-    return margin, scaled.T @ u / n, deep
-
-
-def test_perceptron_gradient_against_plain_matrices(rows, dense):
-    x, y = dense
-    state = perceptron.mlp_state(None, WIDTH)
-    own = perceptron.with_deltas(perceptron.with_layers(with_norm(rows), state), state)
-    sums = fetch_sums(slot_sums(own, perceptron.mlp_coefficients()), WIDTH)
-    margin, slopes, deep = plain_perceptron(x, y, state, len(y))
-    got = [r.mlp_margin for r in own.orderBy("row_id").collect()]
-    np.testing.assert_allclose(got, margin)
-    np.testing.assert_allclose([sums[f"mlp_s{i}"][-1] / len(y) for i in range(15)], deep, atol=1e-12)
-    for k in range(5):
-        np.testing.assert_allclose(sums[f"mlp_g{k}"][:-1] / len(y), slopes[:-1, k], atol=1e-12)
-        np.testing.assert_allclose(sums[f"mlp_s{15 + k}"][-1] / len(y), slopes[-1, k], atol=1e-12)
-    new = perceptron.mlp_update(state, sums, len(y))
-    # The first Adam step moves every weight by the rate, against the sign of its gradient.
-    moved = new["deep"] - state["deep"]
-    clear = np.abs(deep) > 1e-4
-    np.testing.assert_allclose(moved[clear], -perceptron.RATE * np.sign(deep[clear]), rtol=1e-2)
-
-
-def test_scaled_steps_against_plain_matrices(rows, dense):
-    x, y = dense
-    lengths = np.maximum(np.sqrt((x[:, :-1] ** 2).sum(axis=1, keepdims=True)), 1)
-    scaled = np.hstack([x[:, :-1] / lengths, np.ones((len(x), 1))])
-    own = with_norm(rows).withColumn("sgd_margin", F.lit(0.0))
-    sums = fetch_sums(slot_sums(own, linear_sgd.scaled_coefficients("log")), WIDTH)
-    state = linear_sgd.scaled_update(None, sums, len(y))
-    rate = 1 / (linear_sgd.ALPHA * linear_sgd.step_offset())
-    np.testing.assert_allclose(state["weight"], -rate * scaled.T @ (0.5 - y) / len(y), atol=1e-9)
+    x = np.hstack([x[:, :-1] / lengths, np.ones((len(x), 1))])
+    w, t = np.zeros(WIDTH + 1), 0
+    net = perceptron.mlp_state(None, WIDTH)
+    first, deep = np.stack([net[f"unit{k}"] for k in range(5)], axis=1), net["deep"]
+    moments = [[np.zeros_like(v), np.zeros_like(v)] for v in (first, deep)]
+    for _ in range(passes):
+        for a in range(0, len(x), size):
+            own, label, n = x[a : a + size], y[a : a + size], len(x[a : a + size])
+            m = own @ w
+            r = 1 / (1 + np.exp(-m)) - label if loss == "log" else np.where((2 * label - 1) * m <= 1, 1 - 2 * label, 0)
+            rate = 1 / (1e-4 * (1000 + t))
+            w = w * np.append(np.full(WIDTH, 1 - rate * 1e-4), 1.0) - rate * own.T @ r / n
+            t += 1
+            second, out = deep[:10].reshape(5, 2), deep[12:14]
+            h = np.maximum(own @ first, 0)
+            z = np.maximum(h @ second + deep[10:12], 0)
+            delta = 1 / (1 + np.exp(-(z @ out + deep[14]))) - label
+            top = delta[:, None] * out * (z > 0)
+            unit = (top @ second.T) * (h > 0)
+            slopes = [own.T @ unit / n, np.concatenate([(h.T @ top).ravel(), top.sum(0), z.T @ delta, [delta.sum()]]) / n]
+            slopes[0][:-1] += 1e-5 / n * first[:-1]
+            slopes[1] += 1e-5 / n * deep * np.array([1] * 10 + [0, 0, 1, 1, 0])
+            for value, slope, held in zip((first, deep), slopes, moments, strict=True):
+                held[0] = 0.9 * held[0] + 0.1 * slope
+                held[1] = 0.999 * held[1] + 0.001 * slope**2
+                value -= 0.05 * np.sqrt(1 - 0.999**t) / (1 - 0.9**t) * held[0] / (np.sqrt(held[1]) + 1e-8)
+    return w, first, deep, t
 
 
-def test_stepped_learners_learn_and_rerun_alike(rows, dense):
+@pytest.mark.parametrize("loss", linear_sgd.LOSSES)
+def test_a_batch_of_one_partition_is_plain_sequential_steps(rows, dense, loss):
+    x, y = dense
+    ordered = rows.coalesce(1).sortWithinPartitions("row_id")
+    states = local_updates(ordered, {}, ("SGD", "MLP"), WIDTH, loss, passes=3, size=4)
+    w, first, deep, steps = plain_steps(x, y, 4, 3, loss)
+    np.testing.assert_allclose(states["SGD"]["weight"], w, atol=1e-9)
+    np.testing.assert_allclose(np.stack([states["MLP"][f"unit{k}"] for k in range(5)], axis=1), first, atol=1e-9)
+    np.testing.assert_allclose(states["MLP"]["deep"], deep, atol=1e-9)
+    assert states["SGD"]["step"].tolist() == states["MLP"]["step"].tolist() == [steps] == [9]
+    # Scores are those of the net on the plain matrix.
+    scored = perceptron.with_layers(with_norm(rows), states["MLP"]).orderBy("row_id").collect()
+    lengths = np.maximum(np.sqrt((x[:, :-1] ** 2).sum(axis=1, keepdims=True)), 1)
+    h = np.maximum(np.hstack([x[:, :-1] / lengths, np.ones((len(x), 1))]) @ first, 0)
+    z = np.maximum(h @ deep[:10].reshape(5, 2) + deep[10:12], 0)
+    np.testing.assert_allclose([r.mlp_margin for r in scored], z @ deep[12:14] + deep[14], atol=1e-9)
+
+
+def test_states_are_averaged_by_rows(spark, rows):
+    """Three tasks of unlike sizes: the state is the row-weighted mean of what each gives alone."""
+    cuts = [(0, 2), (2, 11), (11, 99)]
+    parts = [rows.where((F.col("row_id") >= a) & (F.col("row_id") < b)).coalesce(1) for a, b in cuts]
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")  # else the union of single tasks is one task
+    start = local_updates(rows.coalesce(1), {}, ("SGD", "MLP"), WIDTH, "log", passes=1)
+    both = local_updates(parts[0].union(parts[1]).union(parts[2]), start, ("SGD", "MLP"), WIDTH, "log", passes=2, size=3)
+    spark.conf.unset("spark.sql.unionOutputPartitioning")
+    alone = [local_updates(part, start, ("SGD", "MLP"), WIDTH, "log", passes=2, size=3) for part in parts]
+    weights = [part.count() for part in parts]
+    for model, state in both.items():
+        for name, vector in state.items():
+            each = [a[model][name] for a in alone]
+            want = np.max(each, axis=0) if name == "step" else np.average(each, axis=0, weights=weights)
+            np.testing.assert_allclose(vector, want, atol=1e-12)
+
+
+def test_no_rows_leave_the_states_as_they_are(rows):
+    assert local_updates(rows.where("false"), {}, ("SGD", "MLP"), WIDTH, "log") == {}
+    start = local_updates(rows, {}, ("SGD",), WIDTH, "log")
+    after = local_updates(rows.where("false"), start, ("SGD", "MLP"), WIDTH, "log")
+    assert list(after) == ["SGD"] and after["SGD"]["weight"].tolist() == start["SGD"]["weight"].tolist()
+
+
+def test_local_solvers_learn_and_rerun_alike(rows, dense):
     _, y = dense
-    states = {}
-    for _ in range(6):
-        states = update_stepped(rows, states, ("SGD", "MLP"), WIDTH, "log", 4)
-    again = {}
-    for _ in range(6):
-        again = update_stepped(rows, again, ("SGD", "MLP"), WIDTH, "log", 4)
-    for name, state in states.items():
+    runs = []
+    for _ in range(2):
+        states = {}
+        for _ in range(6):
+            states = local_updates(rows, states, ("SGD", "MLP"), WIDTH, "log", size=4)
+        runs.append(states)
+    for name, state in runs[0].items():
         for vector in state:
-            np.testing.assert_allclose(state[vector], again[name][vector])
+            np.testing.assert_allclose(state[vector], runs[1][name][vector])
     metrics = {r.model: r for r in score_metrics(rows, ModelSet(states)).collect()}
     for name in ("SGD", "MLP"):
         assert metrics[name].accuracy > max(np.mean(y), 1 - np.mean(y))

@@ -46,18 +46,20 @@ def test_label_queries_read_no_text(spark):
 def test_an_arrival_reads_its_id_range_only(spark):
     bounds = arrivals.id_ranges(tables.read_table(spark, SF_DIR, "documents"), "doc_id")
     assert bounds == [(0, 50), (50, 100), (100, 150), (150, 200)]
-    rows = tables.records(spark, SF_DIR, spread=False).where(arrivals.in_range("row_id", bounds[1]))
+    rows = tables.records(spark, SF_DIR).where(arrivals.in_range("row_id", bounds[1]))
     plan = plan_of(rows)
     assert plan.count("GreaterThanOrEqual(doc_id,50)") == 2 and plan.count("LessThan(doc_id,100)") == 2
 
 
-def test_large_tables_are_not_dealt_out_again(spark):
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024b")
+def test_texts_are_dealt_out_only_if_the_session_says_so(spark):
+    assert "RoundRobin" in plan_of(queries._texts(spark, SF_DIR))
+    told = spark.conf.get(tables.SPREAD_SETTING)
+    spark.conf.unset(tables.SPREAD_SETTING)
     try:
-        assert "RoundRobin" not in plan_of(queries._texts(spark, SF_DIR))
+        for name in LAZY:
+            assert "RoundRobin" not in plan_of(contract.queries()[name](spark, SF_DIR)), name
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert "RoundRobin" in plan_of(queries._texts(spark, SF_DIR))
+        spark.conf.set(tables.SPREAD_SETTING, told)
 
 
 def test_labels_beyond_the_broadcast_limit_are_shuffled(spark):

@@ -58,7 +58,7 @@ def test_entry_has_one_metrics_row(spark):
     assert contract.entry(spark).count() == 1
 
 
-def test_stepped_learners_learn_on_a_stream(spark):
+def test_local_solvers_learn_on_a_stream(spark):
     """On sf0.1 both find rare-class records and beat the constant answer by the last batch."""
     rows = queries.train_stream(spark, "/root/testdata/sf0.1", models=("SGD", "MLP")).metrics().collect()
     last = max(r.batch_id for r in rows)
