@@ -48,12 +48,18 @@ def _powers(root: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, root: int) -> np.ndarray:
-    """A 64-bit hash of ``values[start:end]`` for each span, independent of its place."""
+def span_hashes(
+    values: np.ndarray, starts: np.ndarray | slice, ends: np.ndarray | slice, root: int, lengths: np.ndarray | None = None
+) -> np.ndarray:
+    """A 64-bit hash of ``values[start:end]`` for each span, independent of its place.
+
+    Spans of one length can be given by slices and that length.
+    """
     power, inverse = _powers(root, len(values) + 1)
     sums = np.zeros(len(values) + 1, dtype=np.uint64)
     np.cumsum(values * power[: len(values)], out=sums[1:])
-    lengths = (ends - starts).astype(np.uint64)
+    if lengths is None:
+        lengths = (ends - starts).astype(np.uint64)
     return mix((sums[ends] - sums[starts]) * inverse[starts] + lengths * _ROOT)
 
 

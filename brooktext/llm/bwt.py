@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 
 # Shards are at most about so large.
-SHARD_BYTES = 64 << 10
+SHARD_BYTES = 16 << 10
 
 
 @dataclass
@@ -52,18 +52,30 @@ def word_ranks(strings: Strings) -> np.ndarray:
     words = np.ndarray((n,), dtype=">u8", buffer=tail, strides=(1,)).astype(np.uint64) >> np.uint64(64 - 8 * stride)
     closing = np.ones(n, dtype=bool)
     closing[np.arange(int(strings.lengths.sum())) + np.repeat(np.arange(len(strings.lengths)) * stride, strings.lengths)] = False
-    _, ranks = np.unique(words, return_inverse=True)
-    ranks = ranks + 1
+    order = np.argsort(words)
+    in_order = words[order]
+    ranks = np.empty(n, dtype=np.uint32)
+    ranks[order] = np.cumsum(np.concatenate(([True], in_order[1:] != in_order[:-1])), dtype=np.uint32)
     ranks[closing] = 0
-    return ranks.astype(np.uint16) if ranks.max(initial=0) < 1 << 16 else ranks.astype(np.uint32)
-
-
-def stable_order(values: np.ndarray) -> np.ndarray:
-    """Stable order of small integers; two passes of 16 bits beyond that."""
-    if values.dtype == np.uint16:
-        return np.argsort(values, kind="stable")
-    low = np.argsort(values.astype(np.uint16), kind="stable")
-    return low[np.argsort((values >> 16).astype(np.uint16)[low], kind="stable")]
+    return ranks
+
+
+def stable_order(values: np.ndarray, most: int) -> np.ndarray:
+    """Stable order of integers up to ``most``: each is packed with its place, and plain numbers are sorted."""
+    n = len(values)
+    if n <= 1 << 16 and most < 1 << 16:
+        packed = (values.astype(np.uint32) << np.uint32(16)) | np.arange(n, dtype=np.uint32)
+        packed.sort()
+        return packed & np.uint32(0xFFFF)
+    if n <= 1 << 16 and most < 1 << 48:
+        packed = (values.astype(np.uint64) << np.uint64(16)) | np.arange(n, dtype=np.uint64)
+        packed.sort()
+        return packed & np.uint64(0xFFFF)
+    if n <= 1 << 32 and most < 1 << 32:
+        packed = (values.astype(np.uint64) << np.uint64(32)) | np.arange(n, dtype=np.uint64)
+        packed.sort()
+        return packed & np.uint64(0xFFFFFFFF)
+    return np.argsort(values, kind="stable")
 
 
 def sort_shard(ranks: np.ndarray, ends: np.ndarray, stride: int, window: int) -> np.ndarray:
@@ -71,19 +83,20 @@ def sort_shard(ranks: np.ndarray, ends: np.ndarray, stride: int, window: int) ->
 
     ``ends``: for each place the last closing place of its string.
     """
-    order_key, step = ranks.astype(np.int64), stride
+    key, step = ranks, 0
     places = np.arange(len(ranks))
     while True:
-        further = order_key[np.minimum(places + step, ends)]
-        both = order_key * (int(order_key.max(initial=0)) + 1) + further
-        order = np.argsort(both, kind="stable")
-        in_order = both[order]
-        new = np.concatenate(([0], (in_order[1:] != in_order[:-1]).astype(np.int64)))
-        order_key = np.empty_like(order_key)
-        order_key[order] = np.cumsum(new)
-        step *= 2
-        if step >= window or new.sum() == len(new) - 1:
+        most = int(key.max(initial=0))
+        order = stable_order(key, most).astype(np.int64)
+        in_order = key[order]
+        new = np.concatenate(([False], in_order[1:] != in_order[:-1]))
+        rank = np.empty(len(key), dtype=np.uint64)
+        rank[order] = np.cumsum(new, dtype=np.uint64)
+        different = int(new.sum()) + 1
+        step = 2 * step if step else stride
+        if step >= window or different >= len(key):
             return order
+        key = rank * np.uint64(different) + rank[np.minimum(places + step, ends)]
 
 
 @dataclass
@@ -93,6 +106,7 @@ class Transform:
     places: np.ndarray
     before: np.ndarray
     back: np.ndarray
+    most: int  # the largest word
 
 
 def transform(strings: Strings, ranks: np.ndarray, window: int) -> Transform:
@@ -112,7 +126,7 @@ def transform(strings: Strings, ranks: np.ndarray, window: int) -> Transform:
     number = np.empty(len(ranks), dtype=np.int32)
     number[order] = places
     before = np.where(at_start, 0, ranks[lead]).astype(ranks.dtype)
-    return Transform(order, before[order], number[lead[order]])
+    return Transform(order, before[order], number[lead[order]], int(ranks.max(initial=0)))
 
 
 def merge(parts: Transform, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +140,7 @@ def merge(parts: Transform, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     starts = np.zeros(0, dtype=np.int64)
     for _ in range(rounds):
         before = parts.before[interleave]
-        order = stable_order(before)
+        order = stable_order(before, parts.most)
         before, interval = before[order], interval[order]
         interleave = parts.back[interleave[order]]
         border = np.ones(len(interleave) + 1, dtype=bool)

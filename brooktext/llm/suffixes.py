@@ -43,9 +43,9 @@ MOST_WINDOWS = 256
 MOST_PIECES = 4096
 LEVELS = 3
 # Bytes of pieces for one merge.
-BUCKET_BYTES = 384 << 10
+BUCKET_BYTES = 40 << 10
 # Texts are hashed in stretches of so many bytes.
-STRETCH = 1 << 20
+STRETCH = 512 << 10
 
 PIECE = "doc binary, start long, windows int, held int, key long, content long"
 SPLIT = "parent_key long, parent_content long, start long, windows int, held int, key long, content long, weight long, text binary"
@@ -57,13 +57,12 @@ _LEVEL = np.uint64(0x9FB21C651E98DF25)
 
 
 def _sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
-    """``best`` of each ``width`` neighbours, by blocks: the end of one block and the beginning of the next."""
-    n = len(values)
-    rows = -(-n // width)
-    filled = np.concatenate([values, np.full(rows * width - n, values[-1])]).reshape(rows, width)
-    ahead = best.accumulate(filled, axis=1).ravel()
-    behind = best.accumulate(filled[:, ::-1], axis=1)[:, ::-1].ravel()
-    return best(behind[: n - width + 1], ahead[width - 1 : n])
+    """``best`` of each ``width`` neighbours, doubling the width as far as it goes."""
+    n, reach, out = len(values) - width + 1, 1, values
+    while 2 * reach <= width:
+        out = best(out[:-reach], out[reach:])
+        reach *= 2
+    return best(out[:n], out[width - reach : width - reach + n])
 
 
 def _pieces(data: np.ndarray, offsets: np.ndarray, window: int, gram: int, level: int, most: int) -> tuple[np.ndarray, ...]:
@@ -72,25 +71,33 @@ def _pieces(data: np.ndarray, offsets: np.ndarray, window: int, gram: int, level
     if len(data) < window:
         return nothing
     values = _BYTE_VALUES[data]
-    at = np.arange(len(data) - gram + 1)
-    hashes = span_hashes(values, at, at + gram, _BYTE_ROOT)
+    at = slice(0, len(data) - gram + 1), slice(gram, len(data) + 1)
+    hashes = span_hashes(values, *at, _BYTE_ROOT, np.full(1, gram, dtype=np.uint64))
     if level:
         hashes = mix(hashes ^ (np.uint64(level) * _LEVEL))
     width = window - gram + 1
     least = _sliding(hashes, width, np.minimum)
-    row = np.searchsorted(offsets, np.arange(len(least)), side="right") - 1
-    inside = np.arange(len(least)) + window <= offsets[row + 1]
-    places = np.flatnonzero(inside)
-    if not len(places):
-        return nothing
-    # A run: windows one after the other, in one text, of one minimiser.
-    new = np.ones(len(places), dtype=bool)
-    new[1:] = (np.diff(places) > 1) | (least[places[1:]] != least[places[:-1]]) | (row[places[1:]] != row[places[:-1]])
-    run_start = np.maximum.accumulate(np.where(new, np.arange(len(places)), 0))
-    new |= (np.arange(len(places)) - run_start) % most == 0
+    # A run: windows one after the other, in one text, of one minimiser; long ones are cut.
+    n = len(least)
+    new = np.ones(n, dtype=bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    new[offsets[:-1][offsets[:-1] < n]] = True
+    outside = np.zeros(n + 1, dtype=np.int32)
+    ends = offsets[1:] - window + 1
+    np.add.at(outside, np.clip(np.maximum(ends, offsets[:-1]), 0, n), 1)
+    np.add.at(outside, np.minimum(offsets[1:], n), -1)
+    inside = np.cumsum(outside[:-1]) == 0
+    new[1:] |= inside[1:] != inside[:-1]
     first = np.flatnonzero(new)
-    windows = np.diff(np.append(first, len(places)))
-    start, of = places[first], row[places[first]]
+    windows = np.diff(np.append(first, n))
+    first, windows = first[inside[first]], windows[inside[first]]
+    if not len(first):
+        return nothing
+    cuts = -(-windows // most)
+    part = np.arange(int(cuts.sum())) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    start = np.repeat(first, cuts) + part * most
+    windows = np.minimum(np.repeat(windows, cuts) - part * most, most)
+    of = np.searchsorted(offsets, start, side="right") - 1
     minimiser = least[start]
     # Grams that are the minimiser of some window, and how many of each piece's own it holds.
     padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
@@ -118,7 +125,7 @@ def _stretches(texts: Texts, window: int) -> Iterator[tuple[np.ndarray, np.ndarr
 def _document_pieces(long_texts: DataFrame, window: int, gram: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in slices(batch.column("text")):
+            for texts in slices(batch.column("text"), STRETCH):
                 for data, offsets, shift in _stretches(texts, window):
                     of, start, windows, held, key, content = _pieces(data, offsets, window, gram, 0, MOST_WINDOWS)
                     docs = batch.column("doc").take(pa.array(of + texts.rows.start))
