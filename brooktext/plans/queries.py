@@ -24,7 +24,7 @@ from brooktext.functions.features import (
 from brooktext.functions.labels import extend_labels, index_batches, label_frequency, stable_index
 from brooktext.functions.linear import with_prediction
 from brooktext.functions.text import field_at, prefix_drop, row_concat, split_first, tokenize
-from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes
+from brooktext.operators import kmeans, linear_sgd, logistic, naive_bayes
 from brooktext.operators.local_steps import local_updates
 from brooktext.operators.sums import State, slot_sums
 from brooktext.sources import arrivals, feed, tables, wire
@@ -466,9 +466,10 @@ def kmeans_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def lr_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, sizes = feature_table(spark, sf_dir)
-    model = ml_models.lr_fit(rows, sum(sizes))
-    return ml_models.ml_predict(rows, model, "prediction").select("row_id", "label", "prediction")
+    """Classes at the optimum of the logistic regression on all records."""
+    rows, _ = feature_table(spark, sf_dir)
+    scored = with_prediction(rows, logistic.lr_weights(logistic.lr_fit(rows, TRAIN_WIDTH)), "margin")
+    return scored.select("row_id", "label", "prediction")
 
 
 @query
@@ -482,10 +483,8 @@ def mlp_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lr_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated r2 by iteration limit."""
-    rows, sizes = feature_table(spark, sf_dir)
-    found = ml_models.lr_grid_search(rows, sum(sizes))
-    scores = [(limit, float(score)) for limit, score in zip(ml_models.GRID_MAX_ITER, found.avgMetrics, strict=True)]
-    return spark.createDataFrame(scores, "max_iter int, r2 double")
+    rows, _ = feature_table(spark, sf_dir)
+    return spark.createDataFrame(logistic.lr_grid_search(rows, TRAIN_WIDTH), "max_iter int, r2 double")
 
 
 # --- metrics over batches ----------------------------------------------------
@@ -623,11 +622,9 @@ def model_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "models")
     store = ModelStore(spark, root, TRAIN_WIDTH)
     store.save_states(0, models.states)
-    for name, model in models.ml.items():
-        store.save_ml(0, name, model)
     store.save_metrics(0, score_metrics(rows, models).collect(), fitted)
     reader = ModelStore(spark, root)
-    loaded = ModelSet(reader.load_states(), {name: reader.load_ml(name) for name in models.ml})
+    loaded = ModelSet(reader.load_states())
     both, before = with_predictions(rows, models, "saved")
     both, after = with_predictions(both, loaded, "loaded")
     pairs = [F.struct(F.lit(m).alias("model"), (F.col(before[m]) != F.col(after[m])).alias("differ")) for m in before]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from brooktext.functions.linear import decide, sparse_dot
 from brooktext.functions.metrics import confusion, with_rates
 from brooktext.functions.features import with_norm
-from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes, perceptron
+from brooktext.operators import kmeans, linear_sgd, logistic, naive_bayes, perceptron
 from brooktext.operators.local_steps import PASSES, local_updates
 from brooktext.operators.sums import State, fetch_sums, slot_sums
 
@@ -24,13 +24,12 @@ LOCAL = ("SGD", "MLP")
 
 @dataclass
 class ModelSet:
-    """Models after some batch: vectors of the linear ones, Spark ML models."""
+    """Models after some batch, as named vectors."""
 
     states: dict[str, State] = field(default_factory=dict)
-    ml: dict[str, object] = field(default_factory=dict)
 
     def names(self) -> list[str]:
-        return [name for name in MODELS if name in self.states or name in self.ml]
+        return [name for name in MODELS if name in self.states]
 
 
 def together(spark: SparkSession, *tasks: Callable) -> list:
@@ -91,20 +90,21 @@ def update_models(
     Logistic regression needs both classes in the batch; without them it alone
     is skipped and its previous model stays.
     """
-    n = sum(class_sizes)
     local = tuple(name for name in LOCAL if name in models and (passes or name == "MLP"))
-    shared = tuple(name for name in models if name not in local)
+    shared = tuple(name for name in models if name not in (*local, "LR"))
     tasks = {"linear": lambda: update_linear(rows, prior.states, shared, width, loss)}
     tasks["local"] = lambda: local_updates(rows, prior.states, local, width, loss, passes or PASSES)
     if "LR" in models and min(class_sizes) > 0:
-        tasks["LR"] = lambda: ml_models.lr_fit(rows, n)
+        tasks["LR"] = lambda: {"LR": logistic.lr_fit(rows, width, prior.states.get("LR"))}
     results = dict(zip(tasks, together(rows.sparkSession, *tasks.values()), strict=True))
-    states = {**results.pop("linear"), **results.pop("local")}
-    return ModelSet(states, {**prior.ml, **results}), [*states, *results]
+    fitted = {name: state for part in results.values() for name, state in part.items()}
+    kept = {name: prior.states[name] for name in models if name in prior.states}
+    return ModelSet(kept | fitted), list(fitted)
 
 
 def linear_weights(states: dict[str, State]) -> dict:
     makers = {
+        "LR": logistic.lr_weights,
         "SGD": linear_sgd.sgd_weights,
         "MNB": naive_bayes.nb_weights,
         "KMEANS": kmeans.kmeans_weights,
@@ -118,9 +118,6 @@ def with_predictions(
 ) -> tuple[DataFrame, dict[str, str]]:
     """Add a prediction column per model; returns the columns by model name."""
     columns = {name: f"{prefix}_{name}" for name in models.names()}
-    for name in models.names():
-        if name in models.ml:
-            rows = ml_models.ml_predict(rows, models.ml[name], columns[name])
     decisions = {columns[name]: decide(sparse_dot(w)) for name, w in linear_weights(models.states).items()}
     sgd, mlp = models.states.get("SGD"), models.states.get("MLP")
     if mlp or (sgd and "scaled" in sgd):

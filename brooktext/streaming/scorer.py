@@ -46,11 +46,7 @@ class StreamScorer:
         self.name, self.label_mode, self.parser = name, label_mode, parser
         self.keep_predictions = keep_predictions
         states = self.store.load_states()
-        loaded = {model: self.store.load_ml(model) for model in ("LR",) if model in models}
-        self.models = ModelSet(
-            {model: state for model, state in states.items() if model in models},
-            {model: fitted for model, fitted in loaded.items() if fitted is not None},
-        )
+        self.models = ModelSet({model: state for model, state in states.items() if model in models})
         if not self.models.names():
             raise FileNotFoundError(f"no complete models at {root}")
         self.labels = list(labels or self.store.load_labels()) if label_mode == "stable" else None

@@ -12,7 +12,6 @@ import datetime
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from brooktext.operators.sums import State
@@ -35,7 +34,6 @@ METRIC_TABLE = pa.schema(
     ]
 )
 DEAD_SCHEMA = "record string, reject string, batch_id bigint"
-ML_MODELS = {"LR": LogisticRegressionModel}
 
 
 class WidthMismatch(ValueError):
@@ -101,7 +99,7 @@ class ModelStore:
         self._states = {batch_id: states}
 
     def load_states(self, before: int | None = None) -> dict[str, State]:
-        """States of the linear models by name; the rows fetched are model-sized."""
+        """States of the models by name; the rows fetched are model-sized."""
         version = self.latest(before, "state")
         if version is None:
             return {}
@@ -113,14 +111,6 @@ class ModelStore:
             self._states = {version: states}
         return self._states[version]
 
-    def save_ml(self, batch_id: int, model: str, fitted) -> None:
-        fitted.write().overwrite().save(f"{self.root}/ml/{model}/batch_id={batch_id}")
-        self._open["ml", model] = batch_id
-
-    def load_ml(self, model: str, before: int | None = None):
-        version = self.latest(before, "ml", model)
-        return None if version is None else ML_MODELS[model].load(f"{self.root}/ml/{model}/batch_id={version}")
-
     def save_labels(self, batch_id: int, labels: list[str]) -> None:
         table = pa.table({"label": pa.array(labels, pa.string()), "position": pa.array(range(len(labels)), pa.int64())})
         self._write(table, "labels", f"batch_id={batch_id}")
@@ -152,10 +142,9 @@ class ModelStore:
 
         For long runs. Metrics, labels and dead letters are kept.
         """
-        for path in (("state",), *(("ml", model) for model in ML_MODELS)):
-            complete = [k for k in self._batches(*path) if self._is_complete(k)]
-            for version in complete[:-max(keep, 1)]:
-                delete(self.spark, "/".join([self.root, *path, f"batch_id={version}"]))
+        complete = [k for k in self._batches("state") if self._is_complete(k)]
+        for version in complete[:-max(keep, 1)]:
+            delete(self.spark, f"{self.root}/state/batch_id={version}")
 
     def _is_complete(self, batch_id: int) -> bool:
         return exists(self.spark, f"{self.root}/metrics/batch_id={batch_id}/_SUCCESS")
@@ -176,5 +165,5 @@ class ModelStore:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
 
     def state_table(self) -> DataFrame:
-        """All stored versions of the linear models."""
+        """All stored versions of the models."""
         return self._read(f"{STATE_SCHEMA}, batch_id bigint", "state")

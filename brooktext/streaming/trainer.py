@@ -57,7 +57,6 @@ class StreamTrainer:
         self.mode, self.label_mode, self.parser = mode, label_mode, parser
         self.keep_versions, self.passes, self.tasks = keep_versions, passes, tasks
         self.labels = self._declared(labels) if label_mode == "stable" else None
-        self._ml: tuple[int | None, dict] = (None, {})
 
     def _declared(self, labels: Sequence[str] | None) -> list[str]:
         stored = self.store.load_labels()
@@ -78,11 +77,7 @@ class StreamTrainer:
         return mark_rejects(frame, labels)
 
     def _prior(self, batch_id: int) -> ModelSet:
-        last, ml = self._ml
-        if last is None or last != self.store.latest(batch_id, "metrics"):
-            ml = {name: self.store.load_ml(name, batch_id) for name in ("LR",) if name in self.models}
-            ml = {name: model for name, model in ml.items() if model is not None}
-        return ModelSet(self.store.load_states(batch_id), ml)
+        return ModelSet(self.store.load_states(batch_id))
 
     def process(self, batch: DataFrame, batch_id: int) -> bool:
         """Train on one batch; False if it holds no usable row."""
@@ -109,24 +104,17 @@ class StreamTrainer:
             updated, fitted = update_models(
                 rows, prior, (sizes.n0, sizes.n1), self.models, self.width, self.loss, self.passes
             )
-            metrics = self._save_and_score(rows, batch_id, updated, fitted)
+            metrics = self._save_and_score(rows, batch_id, updated)
             self.store.save_metrics(batch_id, before if self.mode == "pre_fit" else metrics, fitted)
-            self._ml = (batch_id, updated.ml)
             if self.keep_versions is not None:
                 self.store.prune(self.keep_versions)
             return True
         finally:
             cached.unpersist()
 
-    def _save_and_score(self, rows: DataFrame, batch_id: int, updated: ModelSet, fitted: list[str]) -> list[Row]:
+    def _save_and_score(self, rows: DataFrame, batch_id: int, updated: ModelSet) -> list[Row]:
         """Save the models and score the batch, side by side; returns the metrics, a row per model."""
-        tasks = [
-            lambda name=name: self.store.save_ml(batch_id, name, updated.ml[name].copy())
-            for name in ("LR",)
-            if name in fitted
-        ]
-        if updated.states:
-            tasks.append(lambda: self.store.save_states(batch_id, updated.states))
+        tasks = [lambda: self.store.save_states(batch_id, updated.states)] if updated.states else []
         if self.mode == "post_fit" and updated.names():
             return together(self.spark, *tasks, lambda: score_metrics(rows, updated).collect())[-1]
         together(self.spark, *tasks)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from brooktext.functions.features import hash_features, with_norm, with_terms
 from brooktext.functions.labels import stable_index
 from brooktext.functions.linear import with_prediction
-from brooktext.operators import kmeans, linear_sgd, ml_models, naive_bayes, perceptron
+from brooktext.operators import kmeans, linear_sgd, logistic, naive_bayes, perceptron
 from brooktext.operators.local_steps import local_updates
 from brooktext.operators.sums import fetch_sums, slot_sums
 from brooktext.streaming.learners import (
@@ -137,13 +137,58 @@ def test_kmeans_of_identical_rows_gives_cluster_zero(rows):
     assert margins(same, kmeans.kmeans_weights(state))[1].tolist() == [0.0]
 
 
-def test_logistic_regression_is_near_its_optimum(rows, dense):
+def newton_optimum(x, y):
+    """The optimum by plain Newton steps on the dense matrix."""
+    w, penalty = np.zeros(x.shape[1]), np.append(np.ones(x.shape[1] - 1), 0.0)
+    for _ in range(60):
+        chance = 1 / (1 + np.exp(-(x @ w)))
+        gradient = x.T @ (chance - y) + penalty * w
+        w -= np.linalg.solve((x * (chance * (1 - chance))[:, None]).T @ x + np.diag(penalty), gradient)
+    return w
+
+
+def test_logistic_regression_is_at_its_optimum(rows, dense):
+    x, y = dense
+    state = logistic.lr_fit(rows, WIDTH)
+    np.testing.assert_allclose(state["weight"], newton_optimum(x, y), atol=1e-6)
+    assert state["gradient"][0] < logistic.TOLERANCE and 2 < state["iterations"][0] < 20
+    # From the optimum there is nothing to do; from that of nearly the same rows less than from zero.
+    assert logistic.lr_fit(rows, WIDTH, state)["iterations"][0] == 0
+    near = logistic.lr_fit(rows.where("row_id != 13"), WIDTH, state)
+    cold = logistic.lr_fit(rows.where("row_id != 13"), WIDTH)
+    np.testing.assert_allclose(near["weight"], cold["weight"], atol=1e-4)
+    assert near["iterations"][0] < cold["iterations"][0]
+    # A start far off, where whole steps overshoot, ends at the same place.
+    far = logistic.lr_fit(rows, WIDTH, {"weight": np.where(np.arange(WIDTH + 1) % 2, 30.0, -30.0)})
+    np.testing.assert_allclose(far["weight"], state["weight"], atol=1e-4)
+
+
+def test_cross_validation_equals_plain_folds(rows, dense):
     x, y = dense
-    model = ml_models.lr_fit(rows, len(y))
-    w, b = model.coefficients.toArray(), model.intercept
-    r = 1 / (1 + np.exp(-(x[:, :-1] @ w + b))) - y
-    gradient = np.append(x[:, :-1].T @ r + w, r.sum())
-    assert np.abs(gradient).max() < 1e-2
+    ids = np.array([r.row_id for r in rows.orderBy("row_id").collect()])
+    want = []
+    for k in range(logistic.FOLDS):
+        out = ids % logistic.FOLDS == k
+        predicted = x[out] @ newton_optimum(x[~out], y[~out]) > 0
+        if 0 < y[out].sum() < out.sum():
+            want.append(1 - ((predicted - y[out]) ** 2).sum() / ((y[out] - y[out].mean()) ** 2).sum())
+    got = logistic.lr_grid_search(rows, WIDTH)
+    assert [limit for limit, _ in got] == logistic.GRID_MAX_ITER
+    assert [score for _, score in got] == pytest.approx([np.mean(want)] * 2)
+    fits = logistic.cross_fits(rows, WIDTH, 50, logistic.fold_of())
+    for k, fit in enumerate(fits):
+        np.testing.assert_allclose(fit.weight, newton_optimum(x[ids % 5 != k], y[ids % 5 != k]), atol=1e-5)
+    short = logistic.cross_fits(rows, WIDTH, 1, logistic.fold_of())
+    assert {fit.iterations for fit in short} == {1}
+
+
+def test_logistic_regression_of_no_rows_or_one_class(rows):
+    empty = logistic.lr_fit(rows.where("false"), WIDTH)
+    assert not empty["weight"].any() and empty["iterations"][0] == 0
+    one = logistic.lr_fit(rows.where("label = 0"), WIDTH)
+    assert one["weight"][-1] < -1 and np.isfinite(one["weight"]).all()
+    with pytest.raises(ValueError, match="width"):
+        logistic.lr_fit(rows, logistic.MOST_WIDTH + 1)
 
 
 def plain_steps(x, y, size, passes, loss):
@@ -240,7 +285,7 @@ def test_local_solvers_learn_and_rerun_alike(rows, dense):
 def test_all_models_together_equal_each_alone(rows):
     both, fitted = update_models(rows, ModelSet(), (6, 4), MODELS, WIDTH)
     assert sorted(fitted) == sorted(MODELS)
-    for name in ("SGD", "MLP", "MNB", "KMEANS"):
+    for name in MODELS:
         alone, _ = update_models(rows, ModelSet(), (6, 4), (name,), WIDTH)
         for vector in alone.states[name]:
             np.testing.assert_allclose(alone.states[name][vector], both.states[name][vector])
@@ -259,11 +304,3 @@ def test_linear_models_share_one_pass(rows):
     coefficients = naive_bayes.nb_coefficients() | linear_sgd.sgd_coefficients("log")
     plan = slot_sums(rows.withColumn("sgd_margin", F.lit(0.0)), coefficients)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_sum" in plan
-
-
-def test_grid_search_scores_both_limits(rows):
-    many = rows
-    for _ in range(2):
-        many = many.unionByName(many)
-    found = ml_models.lr_grid_search(many, many.count(), folds=2)
-    assert len(found.avgMetrics) == 2
