@@ -64,17 +64,19 @@ def shared_keys(keys: DataFrame) -> DataFrame:
     return materialize(keys.join(shared, F.col("key") == F.col("held"), "left_semi"), "shared_keys")
 
 
-def similar_components(keys: DataFrame, details: DataFrame, near: Callable[[str, str], Column], verify: Verify) -> DataFrame:
+def similar_components(
+    keys: DataFrame, details: DataFrame, near: Callable[[str, str], Column], verify: Verify, rounds: int = ROUNDS
+) -> DataFrame:
     """``id, component`` of every row that has a link; a staged table.
 
     ``keys``: ``key, id`` as ``shared_keys`` returns them. ``details``: ``id`` and what ``near(left, right)``
     needs, a condition on its columns behind the prefixes ``left`` and
     ``right`` that must hold for similar rows. ``verify`` returns the similar
-    ones among pairs ``a, b``.
+    ones among pairs ``a, b``. More ``rounds`` leave fewer rows of large groups for the last comparison.
     """
     links, labels, checked = None, None, None
     used: list[DataFrame] = []
-    for turn in range(ROUNDS):
+    for turn in range(rounds):
         labelled = materialize(_labelled(keys, labels), "labelled_keys")
         picks = [_one_hub_each(labelled, checked, turn * HUBS + pick) for pick in range(HUBS)]
         pairs = materialize(reduce(DataFrame.union, picks).distinct(), "pairs")

@@ -58,15 +58,21 @@ ORACLES: dict[str, str] = {
             SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i
             FROM documents
         ), long AS (
-            SELECT doc_id, i, regexp_replace(lower(line), '^[\x20\x09-\x0D]+', '') AS line FROM lines
-            WHERE len(regexp_extract_all(line, '{WORD}')) >= 3
+            SELECT doc_id, i, regexp_replace(lower(line), '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line,
+                regexp_replace(lower(line), '^[\x20\x09-\x0D]+', '') AS tailed,
+                len(regexp_extract_all(line, '{WORD}')) AS n_words
+            FROM lines
         ), distinct_lines AS (
-            SELECT line, row_number() OVER (ORDER BY min(doc_id), min(i)) AS id FROM long GROUP BY line
+            SELECT line, tailed, n_words, row_number() OVER (ORDER BY min(doc_id), min(i)) AS id FROM long
+            WHERE line <> '' GROUP BY ALL
         ), shingles AS (
-            SELECT DISTINCT id, substr(line, p, 12) AS shingle
-            FROM (SELECT id, line, unnest(range(1, length(line) + 1)) AS p FROM distinct_lines)
-            WHERE regexp_matches(substr(line, p, 1), '{WORD}')
-                AND (p = 1 OR NOT regexp_matches(substr(line, p - 1, 1), '{WORD}'))
+            SELECT DISTINCT id, substr(tailed, p, 8) AS shingle
+            FROM (SELECT id, tailed, unnest(range(1, length(tailed) + 1)) AS p FROM distinct_lines WHERE n_words >= 3)
+            WHERE regexp_matches(substr(tailed, p, 1), '{WORD}')
+                AND (p = 1 OR NOT regexp_matches(substr(tailed, p - 1, 1), '{WORD}'))
+            UNION
+            SELECT id, chr(10) || substr(line, p, 8)
+            FROM (SELECT id, line, unnest(range(1, greatest(length(line) - 7, 1) + 1)) AS p FROM distinct_lines WHERE n_words < 3)
         ), sizes AS (
             SELECT id, count(*) AS n FROM shingles GROUP BY id
         ), common AS (
@@ -82,7 +88,7 @@ ORACLES: dict[str, str] = {
         ), named AS (
             SELECT id, min(other) AS component FROM reached GROUP BY id
         ), placed AS (
-            SELECT doc_id, i, component FROM long JOIN distinct_lines USING (line) JOIN named USING (id)
+            SELECT doc_id, i, component FROM long JOIN distinct_lines USING (line, tailed, n_words) JOIN named USING (id)
         ), judged AS (
             SELECT doc_id, i, row_number() OVER (PARTITION BY component ORDER BY doc_id, i) > 1 AS gone FROM placed
         ), told AS (

@@ -233,7 +233,7 @@ def test_lines_exact_fuzzy_and_kept(table):
     got = by_id(dedup_lines(table(rows)))
     assert {k: (r["n_lines"], r["n_removed"], r["kept_text"]) for k, r in got.items()} == {
         1: (3, 0, rows[0][1]),
-        2: (4, 1, f"of\n{' '.join(words(3, 12))}\n"),
+        2: (4, 2, f"{' '.join(words(3, 12))}\n"),
         3: (1, 1, ""),
         4: (0, 0, None),
         5: (1, 0, ""),
@@ -242,6 +242,60 @@ def test_lines_exact_fuzzy_and_kept(table):
     assert dedup_lines(table([])).collect() == []
 
 
+def line_set(line):
+    found = [m.start() for m in WORD.finditer(line)]
+    if len(found) >= 3:
+        return frozenset(line.lower()[k : k + 8] for k in found)
+    text = line.lower().strip(" \t\n\v\f\r")
+    return frozenset("\n" + text[k : k + 8] for k in range(max(len(text) - 7, min(len(text), 1))))
+
+
+def brute_lines(rows):
+    lines = sorted((i, k, line) for i, text in rows if text is not None for k, line in enumerate(text.split("\n")))
+    sets = [line_set(line) for _, _, line in lines]
+    root = list(range(len(lines)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in range(len(lines)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    out = {i: [] for i, _ in rows}
+    for k, (i, _, line) in enumerate(lines):
+        if find(k) == k:
+            out[i].append(line)
+    return {i: "\n".join(kept) for i, kept in out.items()}
+
+
+def test_lines_against_brute_force(table):
+    base = words(31, 30)
+    rows = [(k, "\n".join([" ".join([*base[: k % 29], f"new{k % 5}", *base[k % 29 + 1 :]]), "short", f"two {k % 3}"])) for k in range(25)]
+    script = "".join(chr(0x4E00 + k * 37 % 900) for k in range(80))
+    rows += [(40, script), (41, script[:30] + "x" + script[31:]), (42, script[40:]), (43, " SHORT \n\n\t\na b c\na b c"), (44, "\nA b  c")]
+    rows += [(50 + k, " ".join(words(70 + k % 4, 12)) + "\n" + "https://x.example/" + "ab" * 20 + str(k % 2)) for k in range(8)]
+    got = by_id(dedup_lines(table([(i, text, "en", "a") for i, text in rows])))
+    assert {i: r["kept_text"] for i, r in got.items()} == brute_lines(rows)
+
+
+def test_parity_bits_never_rule_out_a_similar_pair(spark):
+    from brooktext.llm import lines
+
+    random = np.random.default_rng(4)
+    base = [random.integers(-(2**63), 2**63 - 1, n) for n in range(1, 60)]
+    sets = [(2 * k + e, sorted({int(h) for h in np.concatenate([b[e * len(b) // 12 :], random.integers(0, 2**62, e)])})) for k, b in enumerate(base) for e in (0, 1)]
+    df = spark.createDataFrame(sets, "id long, shingles array<long>")
+    bits = df.select("id", "shingles", F.size("shingles").alias("n"), lines._parity(F.col("shingles")).alias("p")).select("id", "shingles", "n", "p.*")
+    left, right = (bits.select(*[F.col(c).alias(f"{side}_{c}") for c in bits.columns]) for side in ("left", "right"))
+    both = left.join(right, F.lit(True)).select("left_shingles", "right_shingles", lines._near("left_", "right_", 80).alias("near")).collect()
+    similar = [r.near for r in both if 100 * len({*r.left_shingles} & {*r.right_shingles}) >= 80 * len({*r.left_shingles} | {*r.right_shingles})]
+    assert all(similar) and len(similar) > 100 and sum(r.near for r in both) < 3 * len(similar)
+
+
 # --- 7 near-duplicates --------------------------------------------------------
 
 
