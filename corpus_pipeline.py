@@ -20,7 +20,6 @@ from brooktext.sources.tables import read_table
 from brooktext.sources.workspace import discard, materialize
 
 LEAST_SCORE = 0.3
-LINE_SHINGLE = 8
 WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -41,12 +40,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out lines that an earlier line is like; a document that loses lines and has only blank ones left goes."""
-    narrow = docs.select("doc_id", "text")
-    cut = without_lines(docs, repeated_lines(narrow, width=LINE_SHINGLE, short_lines=True)).where((F.col("lines_gone") == 0) | F.col("text").rlike(WORD))
-    kept = cut.select(*docs.columns)
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return kept
+    cut = without_lines(docs, repeated_lines(docs.select("doc_id", "text")))
+    cut = cut.where((F.col("lines_gone") == 0) | F.col("text").rlike(WORD))
+    chars = F.char_length("text")
+    new = {"text": F.col("text"), "n_chars": chars.cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return cut.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,8 +66,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     joined = docs.join(once, docs["doc_id"] == once["mixed_doc"], "left")
     copies = F.coalesce(once["copies"], F.lit(1).cast("long"))
     taken = F.coalesce(once["taken"], F.lit(0).cast("long"))
-    out = joined.select(*[docs[c] for c in docs.columns], copies.alias("mix_copies"), taken.alias("mix_taken"))
-    return out.where("mix_copies > 0")
+    given = [docs[c] for c in docs.columns if c not in ("mix_copies", "mix_taken")]
+    return joined.where(copies > 0).select(*given, copies.alias("mix_copies"), taken.alias("mix_taken"))
 
 
 STAGES = [
