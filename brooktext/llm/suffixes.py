@@ -47,7 +47,7 @@ BUCKET_BYTES = 40 << 10
 # Texts are hashed in stretches of so many bytes.
 STRETCH = 512 << 10
 
-PIECE = "doc binary, start long, windows int, held int, key long, content long"
+PIECE = "doc binary, weight long, start long, windows int, held int, key long, content long"
 SPLIT = "parent_key long, parent_content long, start long, windows int, held int, key long, content long, weight long, text binary"
 FOUND = "key long, content long, runs array<struct<first:int,last:int>>"
 _LEVEL = np.uint64(0x9FB21C651E98DF25)
@@ -128,16 +128,16 @@ def _document_pieces(long_texts: DataFrame, window: int, gram: int) -> DataFrame
             for texts in slices(batch.column("text"), STRETCH):
                 for data, offsets, shift in _stretches(texts, window):
                     of, start, windows, held, key, content = _pieces(data, offsets, window, gram, 0, MOST_WINDOWS)
-                    docs = batch.column("doc").take(pa.array(of + texts.rows.start))
+                    rows = pa.array(of + texts.rows.start)
                     columns = [
-                        docs,
+                        *[batch.column(name).take(rows) for name in ("doc", "copies")],
                         pa.array(start - offsets[of] + shift),
                         *[pa.array(v.astype(np.int32)) for v in (windows, held)],
                         *[pa.array(v) for v in (key, content)],
                     ]
                     yield pa.RecordBatch.from_arrays(columns, [part.split(" ")[0] for part in PIECE.split(", ")])
 
-    return long_texts.select("doc", "text").mapInArrow(cut, PIECE)
+    return long_texts.select("doc", "copies", "text").mapInArrow(cut, PIECE)
 
 
 def _binary(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
@@ -151,13 +151,22 @@ def _binary(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Arr
 # --- from pieces to the places of repeated windows ------------------------------
 
 
-def _judged(pieces: DataFrame, name: str) -> DataFrame:
-    """The pieces whose minimiser occurs twice, with ``hot``: whether it has too many different ones; a staged table."""
-    by_key = pieces.groupBy(F.col("key").alias("of_key")).agg(
-        F.sum("weight").alias("total"), F.max("held").alias("most"), F.count("*").alias("different")
-    )
-    shared = by_key.where("total > 1 OR most > 1").select("of_key", (F.col("different") > MOST_PIECES).alias("hot"))
-    return materialize(pieces.join(shared, F.col("key") == F.col("of_key")).drop("of_key"), name)
+def _shared(pieces: DataFrame, name: str) -> DataFrame:
+    """The pieces whose minimiser occurs twice, all others are repeated nowhere; a staged table."""
+    by_key = pieces.groupBy(F.col("key").alias("of_key")).agg(F.sum("weight").alias("total"), F.max("held").alias("most"))
+    shared = materialize(by_key.where("total > 1 OR most > 1").select("of_key"), "shared_minimisers")
+    kept = materialize(pieces.join(shared, F.col("key") == F.col("of_key"), "left_semi"), name)
+    discard(shared)
+    return kept
+
+
+def _judged(grouped: DataFrame, name: str) -> DataFrame:
+    """Different pieces with ``hot``, whether their minimiser has too many of them; a staged table."""
+    pieces = materialize(grouped, name)
+    by_key = pieces.groupBy(F.col("key").alias("of_key")).agg((F.count("*") > MOST_PIECES).alias("hot"))
+    judged = materialize(pieces.join(by_key, F.col("key") == F.col("of_key")).drop("of_key"), name)
+    discard(pieces)
+    return judged
 
 
 def _texts_of(pieces: DataFrame, long_texts: DataFrame, window: int) -> DataFrame:
@@ -266,7 +275,9 @@ def _places(pieces: DataFrame, strings_of, level: int, window: int, gram: int, s
     found = materialize(_merged(strings_of(pieces.where("NOT hot")), size.get(False) or 0, window, stride), "repeats")
     if not size.get(True):
         return found
-    split = materialize(_split_further(strings_of(pieces.where("hot")), level + 1, window, gram), "split_pieces")
+    every = materialize(_split_further(strings_of(pieces.where("hot")), level + 1, window, gram), "split_pieces")
+    split = _shared(every, "split_pieces")
+    discard(every)
     grouped = split.groupBy("key", "content").agg(
         F.sum("weight").alias("weight"), F.max("held").alias("held"), F.max("windows").alias("windows"), F.first("text").alias("text")
     )
@@ -341,11 +352,11 @@ def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW, gram: int = GRA
     texts = known.where(F.col("n_bytes") >= window).select(whole.alias("doc"), "text")
     texts = materialize(texts.groupBy("doc").agg(F.first("text").alias("text"), F.count("*").alias("copies")), "texts")
 
-    parts = materialize(_document_pieces(texts, window, gram), "pieces")
-    copies = texts.where("copies > 1").select(F.col("doc").alias("copied"), "copies")
-    counted = parts.join(copies, F.col("doc") == F.col("copied"), "left").withColumn("weight", F.coalesce("copies", F.lit(1)))
+    every = materialize(_document_pieces(texts, window, gram), "pieces")
+    parts = _shared(every, "pieces")
+    discard(every)
     one = F.min(F.struct("doc", "start"))
-    grouped = counted.groupBy("key", "content").agg(
+    grouped = parts.groupBy("key", "content").agg(
         F.sum("weight").alias("weight"), F.max("held").alias("held"), F.max("windows").alias("windows"), one.alias("one")
     )
     judged = _judged(grouped.select("key", "content", "weight", "held", "windows", "one.doc", "one.start"), "judged_pieces")
