@@ -188,8 +188,8 @@ SELECT CAST(event_id AS VARCHAR) AS "ID", event_type AS "language",
 FROM events"""
 
 ORACLES["rate_limited_scan"] = f"""
-SELECT n_rows, count(*) AS batches FROM (
-  SELECT floor(event_id / {FEED_ROWS}) AS portion, count(*) AS n_rows FROM events GROUP BY 1) GROUP BY n_rows"""
+SELECT n // {FEED_ROWS} AS batch_id, count(*) AS n_rows
+FROM (SELECT row_number() OVER () - 1 AS n FROM events) GROUP BY 1"""
 
 ORACLES["wire_parse"] = f"WITH {RECORDS} SELECT {_BATCH} AS batch_id, sentiment, message FROM records"
 
@@ -292,6 +292,18 @@ batches AS (SELECT DISTINCT arrival AS batch_id FROM seen)
 SELECT b.batch_id, s.key, count(*) AS total
 FROM batches b JOIN seen s ON s.arrival <= b.batch_id GROUP BY b.batch_id, s.key"""
 
+# The empty arrival stands in the middle.
+ORACLES["batch_progress"] = f"""
+WITH sizes AS (SELECT {_EVENT_ARRIVAL} AS arrival, count(*) AS n_rows FROM events GROUP BY 1)
+SELECT CAST(arrival + (arrival >= 2)::INTEGER AS BIGINT) AS batch_id, n_rows FROM sizes
+UNION ALL SELECT 2, 0"""
+
+ORACLES["running_key_state"] = f"""
+WITH seen AS (SELECT {_EVENT_ARRIVAL} AS batch_id, event_type AS key, user_id AS value FROM events),
+met AS (SELECT DISTINCT batch_id, key FROM seen)
+SELECT m.batch_id, m.key, count(*) AS n, CAST(sum(value) AS BIGINT) AS total, max(value) AS most
+FROM met m JOIN seen s ON s.key = m.key AND s.batch_id <= m.batch_id GROUP BY m.batch_id, m.key"""
+
 ORACLES["preview_topn"] = f"""
 WITH {RECORDS} SELECT row_id, sentiment, message FROM records ORDER BY row_id LIMIT 5"""
 

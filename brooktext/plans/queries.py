@@ -27,9 +27,9 @@ from brooktext.functions.text import field_at, prefix_drop, row_concat, split_fi
 from brooktext.operators import kmeans, linear_sgd, logistic, naive_bayes
 from brooktext.operators.local_steps import local_updates
 from brooktext.operators.sums import State, slot_sums
-from brooktext.sources import arrivals, feed, tables, wire
+from brooktext.sources import arrivals, feed, row_offsets, tables, wire
 from brooktext.sources.workspace import materialize, new_folder
-from brooktext.streaming import keyed_counts
+from brooktext.streaming import keyed_counts, keyed_state
 from brooktext.streaming.frames import mark_rejects
 from brooktext.streaming.learners import (
     MODELS,
@@ -41,6 +41,7 @@ from brooktext.streaming.learners import (
     with_predictions,
 )
 from brooktext.streaming.lifecycle import BatchRun
+from brooktext.streaming.progress import ProgressTable
 from brooktext.streaming.scorer import StreamScorer
 from brooktext.streaming.store import ModelStore
 from brooktext.streaming.trainer import StreamTrainer
@@ -48,8 +49,6 @@ from brooktext.streaming.trainer import StreamTrainer
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 LINEAR_MODELS = ("SGD", "MNB", "KMEANS")
-# Micro-batches of the rate-limited scan.
-RATE_BATCHES = 10
 
 
 def query(function: Query) -> Query:
@@ -111,31 +110,34 @@ def csv_feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(feed.TWEET_SCHEMA).parquet(out).select("ID", "language", "Date", "Userid", "len", "followers")
 
 
+def _read_once(batch: DataFrame, batch_id: int) -> bool:
+    batch.write.format("noop").mode("overwrite").save()
+    return True
+
+
 @query
 def rate_limited_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of 2,000 rows by their size, in micro-batches of a bounded number of files.
+    """Rows of each micro-batch, 2,000 to a trigger, as the stream's progress tells them."""
+    state, out, checkpoint = (new_folder(spark, p) for p in ("row-offsets", "progress", "checkpoint"))
+    staged = materialize(feed.to_feed(tables.read_table(spark, sf_dir, "events")), "feed")
+    stream = row_offsets.row_stream(spark, staged.staged_path, state, feed.FEED_ROWS)
+    with ProgressTable(spark, out) as progress:
+        run = BatchRun(stream.select("ID"), _read_once, checkpoint, {"processingTime": "0 seconds"})
+        run.drain()
+    return progress.table().select("batch_id", "n_rows")
 
-    The number of files a micro-batch takes is what limits the rate; here it
-    follows the table, so that the number of micro-batches does not.
-    """
-    landing, out, checkpoint = (new_folder(spark, p) for p in ("feed", "row-counts", "checkpoint"))
-    events = tables.read_table(spark, sf_dir, "events")
-    ids = events.agg(F.min("event_id").alias("low"), F.max("event_id").alias("high")).first()
-    files = 0 if ids.low is None else ids.high // feed.FEED_ROWS - ids.low // feed.FEED_ROWS + 1
-    portion = tables.id_batch(F.col("ID").cast("bigint"), feed.FEED_ROWS)
-    staged = feed.to_feed(events).withColumn("portion", portion)
-    staged.repartition("portion").write.partitionBy("portion").option("sep", ";").csv(landing)
-
-    def count_rows(batch: DataFrame, batch_id: int) -> bool:
-        by_file = batch.groupBy("portion").agg(F.count(F.lit(1)).alias("n_rows"))
-        by_file.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-        return True
 
-    schema = T.StructType([*feed.TWEET_SCHEMA.fields, T.StructField("portion", T.LongType())])
-    stream = feed.csv_stream(spark, landing, schema, max_files=max(1, -(-files // RATE_BATCHES))).select("portion")
-    BatchRun(stream, count_rows, checkpoint).wait()
-    counts = spark.read.schema("portion bigint, n_rows bigint, batch_id bigint").parquet(out)
-    return counts.groupBy("n_rows").agg(F.count(F.lit(1)).alias("batches"))
+@query
+def batch_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each micro-batch of four arrivals and an empty one, from the progress table."""
+    landing, out, checkpoint = (new_folder(spark, p) for p in ("lines", "progress", "checkpoint"))
+    arriving = list(_event_arrivals(spark, sf_dir))
+    arriving.insert(len(arriving) // 2, spark.createDataFrame([], "value string").repartition(1))
+    with ProgressTable(spark, out) as progress:
+        arrivals.replay(
+            iter(arriving), _land_text(landing), lambda: BatchRun(feed.text_stream(spark, landing), _read_once, checkpoint)
+        )
+    return progress.table().select("batch_id", "n_rows")
 
 
 # --- parsing -----------------------------------------------------------------
@@ -350,6 +352,27 @@ def running_key_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replay_events(spark, sf_dir, keyed_counts.start_running_counts, "total")
 
 
+@query
+def running_key_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number, sum and maximum by key since the start, kept by a given function; the keys of each micro-batch."""
+    landing, out, checkpoint = (new_folder(spark, p) for p in ("events", "states", "checkpoint"))
+    events = tables.read_table(spark, sf_dir, "events")
+    parts = (events.where(arrivals.in_range("event_id", bounds)) for bounds in arrivals.id_ranges(events, "event_id"))
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.LongType())])
+
+    def start() -> BatchRun:
+        stream = spark.readStream.schema(schema).parquet(landing)
+        states = keyed_state.running_state(stream, ["key"], keyed_state.sum_and_max, "n bigint, total bigint, most bigint")
+        return keyed_state.start_running_state(states.drop("expired"), out, checkpoint)
+
+    def land(arrival: DataFrame) -> None:
+        rows = arrival.select(F.col("event_type").alias("key"), F.col("user_id").cast("bigint").alias("value"))
+        rows.write.mode("append").parquet(landing)
+
+    arrivals.replay(parts, land, start)
+    return spark.read.schema("key string, n bigint, total bigint, most bigint, batch_id bigint").parquet(out)
+
+
 @query
 def preview_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first five records, ordered to be reproducible."""

@@ -78,6 +78,14 @@ class BatchRun:
             logger.warning("stopped after %d batches as told by max_batches; input may be left", self.batches)
         return self.batches
 
+    def drain(self) -> int:
+        """Wait until all that has come so far is read, then stop; for triggers that go on. Returns as ``wait``."""
+        try:
+            self.query.processAllAvailable()
+        finally:
+            self.query.stop()
+        return self.batches
+
     @property
     def limited(self) -> bool:
         return self._full()
