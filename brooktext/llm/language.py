@@ -30,6 +30,8 @@ from brooktext.sources.workspace import discard, materialize
 
 SAMPLE_DOCS = 300
 TABLE = 1 << 16
+# Bytes of text that a task labels at once, beside whole rows of documents.
+KEEP_SLICE = 256 << 10
 SAMPLE_PARTITIONS = 12
 UNKNOWN = "und"
 
@@ -134,7 +136,7 @@ def keep_identified(docs: DataFrame, least_score: float = 0.0, sample_docs: int
         for batch in batches:
             column = pc.utf8_lower(batch.column("text").fill_null(""))
             told = _lettered(column).astype(bool).copy()
-            for texts in slices(column) if names else ():
+            for texts in slices(column, KEEP_SLICE) if names else ():
                 shares, worded = _shares(texts, learned)
                 told[texts.rows.start : texts.rows.stop] &= worded & (shares.max(axis=1) >= least_score)
             yield batch.filter(pa.array(told, pa.bool_()))
