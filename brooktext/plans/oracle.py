@@ -8,6 +8,7 @@ the engine.
 from __future__ import annotations
 
 from brooktext.functions.features import TRAIN_WIDTH, WIDE_WIDTH
+from brooktext.functions.sharded import SHARDED_WIDTH
 from brooktext.sources.arrivals import ARRIVALS
 from brooktext.sources.feed import FEED_ROWS
 from brooktext.sources.tables import EVENTS_PER_BATCH, RECORD_IDS_PER_BATCH
@@ -325,6 +326,14 @@ _KMEANS = f"{_kmeans_step(TRAIN_WIDTH)}, {_distance_margin('centres', 'kmeans')}
 ORACLES["nb_predict"] = f"""
 WITH {_NB} SELECT row_id, label, round(margin, 4) AS log_odds, CAST({DECISION} AS DOUBLE) AS prediction FROM nb"""
 
+ORACLES["nb_predict_sharded"] = f"""
+WITH {_learning(SHARDED_WIDTH)}, {_nb_weights(SHARDED_WIDTH)}, {_margin('nb_weights', 'nb')}
+SELECT row_id, label, round(margin, 4) AS log_odds, CAST({DECISION} AS DOUBLE) AS prediction FROM nb"""
+
+ORACLES["sgd_predict_sharded"] = f"""
+WITH {_learning(SHARDED_WIDTH)}, {_sgd_weights(SHARDED_WIDTH)}, {_margin('sgd_weights', 'sgd')}
+SELECT row_id, label, round(margin, 4) AS margin, CAST({DECISION} AS DOUBLE) AS prediction FROM sgd"""
+
 ORACLES["confusion_matrix"] = f"""
 WITH {_NB}, decided AS (SELECT label, {DECISION} AS p FROM nb), cells AS (SELECT {CELLS} FROM decided)
 SELECT 'MNB' AS model, n, tn, fp, fn, tp, {RATES} FROM cells"""

@@ -23,6 +23,7 @@ from brooktext.functions.features import (
 )
 from brooktext.functions.labels import extend_labels, index_batches, label_frequency, stable_index
 from brooktext.functions.linear import with_prediction
+from brooktext.functions.sharded import SHARDED_WIDTH, nb_weight_table, sgd_weight_table, with_sharded_prediction
 from brooktext.functions.text import field_at, prefix_drop, row_concat, split_first, tokenize
 from brooktext.operators import kmeans, linear_sgd, logistic, naive_bayes
 from brooktext.operators.local_steps import local_updates
@@ -463,6 +464,25 @@ def sgd_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("row_id", "label", F.round("margin", 4).alias("margin"), "prediction")
 
 
+@query
+def nb_predict_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Naive Bayes over 2**20 slots, its weights a table joined by slot."""
+    rows, _ = feature_table(spark, sf_dir, SHARDED_WIDTH)
+    sums = materialize(slot_sums(rows, naive_bayes.nb_coefficients()), "slot_sums")
+    scored = with_sharded_prediction(rows, *nb_weight_table(sums, SHARDED_WIDTH), "log_odds")
+    return scored.select("row_id", "label", F.round("log_odds", 4).alias("log_odds"), "prediction")
+
+
+@query
+def sgd_predict_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions after one step of the log loss over 2**20 slots, the weights a table joined by slot."""
+    rows, sizes = feature_table(spark, sf_dir, SHARDED_WIDTH)
+    at_zero = rows.withColumn("sgd_margin", linear_sgd.sgd_margin(None))
+    sums = materialize(slot_sums(at_zero, linear_sgd.sgd_coefficients("log")), "slot_sums")
+    scored = with_sharded_prediction(rows, *sgd_weight_table(sums, sum(sizes)))
+    return scored.select("row_id", "label", F.round("margin", 4).alias("margin"), "prediction")
+
+
 def _kmeans_after_one_step(rows: DataFrame) -> State:
     return update_linear(rows, {}, ("KMEANS",), TRAIN_WIDTH, "log")["KMEANS"]
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from brooktext.functions.features import hash_features, with_norm, with_terms
 from brooktext.functions.labels import stable_index
 from brooktext.functions.linear import with_prediction
+from brooktext.functions.sharded import nb_weight_table, sgd_weight_table, with_sharded_prediction
 from brooktext.operators import kmeans, linear_sgd, logistic, naive_bayes, perceptron
 from brooktext.operators.local_steps import local_updates
 from brooktext.operators.sums import fetch_sums, slot_sums
@@ -304,3 +305,29 @@ def test_linear_models_share_one_pass(rows):
     coefficients = naive_bayes.nb_coefficients() | linear_sgd.sgd_coefficients("log")
     plan = slot_sums(rows.withColumn("sgd_margin", F.lit(0.0)), coefficients)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_sum" in plan
+
+
+@pytest.mark.parametrize("model", ["MNB", "SGD"])
+def test_sharded_weights_score_as_the_literal_ones(spark, rows, model):
+    coefficients = naive_bayes.nb_coefficients() | linear_sgd.sgd_coefficients("log")
+    sums = slot_sums(rows.withColumn("sgd_margin", F.lit(0.0)), coefficients)
+    fetched = fetch_sums(sums, WIDTH)
+    if model == "MNB":
+        weights, table = naive_bayes.nb_weights(naive_bayes.nb_update(None, fetched)), nb_weight_table(sums, WIDTH)
+    else:
+        weights, table = linear_sgd.sgd_weights(linear_sgd.sgd_update(None, fetched)), sgd_weight_table(sums, rows.count())
+    # Rows with slots that the table does not have, as new texts bring them, and one row twice.
+    kept = table[0].where("slot % 3 != 1")
+    known = fetched["rows"] > 0
+    dense = np.where(known & (np.arange(WIDTH + 1) % 3 != 1), weights, table[1])
+    scored = with_sharded_prediction(rows.union(rows.where("row_id = 1")), kept, table[1]).orderBy("row_id").collect()
+    margin, prediction = margins(rows.union(rows.where("row_id = 1")), dense)
+    np.testing.assert_allclose([r.margin for r in scored], margin, atol=1e-9)
+    assert [r.prediction for r in scored] == prediction.tolist()
+
+
+def test_sharded_naive_bayes_never_predicts_an_unseen_class(rows):
+    seen = rows.where(F.col("label") == 0)
+    table = nb_weight_table(slot_sums(seen, naive_bayes.nb_coefficients()), WIDTH)
+    scored = with_sharded_prediction(rows, *table).collect()
+    assert all(r.margin == -math.inf and r.prediction == 0 for r in scored)
