@@ -352,6 +352,24 @@ ORACLES["kmeans_step"] = f"""
 WITH {_learning()}, {_kmeans_step(TRAIN_WIDTH)}
 SELECT slot, round(c0, 6) AS centre0, round(c1, 6) AS centre1 FROM centres"""
 
+ORACLES["kmeans_many_step"] = f"""
+WITH {_learning()},
+firsts AS (SELECT row_id, CAST(row_number() OVER (ORDER BY row_id) - 1 AS INTEGER) AS centre FROM labelled ORDER BY row_id LIMIT 5),
+start AS (SELECT centre, slot, x FROM slots JOIN firsts USING (row_id) WHERE slot < {TRAIN_WIDTH}),
+lengths AS (SELECT centre, coalesce(sum(x * x), 0) AS square FROM firsts LEFT JOIN start USING (centre) GROUP BY centre),
+products AS (
+  SELECT s.row_id, c.centre, sum(s.x * c.x) AS product
+  FROM slots s JOIN start c ON c.slot = s.slot GROUP BY s.row_id, c.centre),
+nearest AS (
+  SELECT l.row_id, arg_min(n.centre, (n.square - 2 * coalesce(p.product, 0), n.centre)) AS centre
+  FROM labelled l CROSS JOIN lengths n LEFT JOIN products p ON p.row_id = l.row_id AND p.centre = n.centre GROUP BY l.row_id),
+sizes AS (SELECT f.centre, count(n.row_id) AS n_rows FROM firsts f LEFT JOIN nearest n USING (centre) GROUP BY f.centre),
+sums AS (SELECT centre, slot, sum(x) AS x FROM slots JOIN nearest USING (row_id) GROUP BY centre, slot)
+SELECT z.centre, e.slot, z.n_rows,
+  round(coalesce(CASE WHEN z.n_rows > 0 THEN m.x / z.n_rows ELSE c.x END, 0), 6) AS value
+FROM sizes z JOIN every_slot e ON e.slot < {TRAIN_WIDTH}
+LEFT JOIN sums m ON m.centre = z.centre AND m.slot = e.slot LEFT JOIN start c ON c.centre = z.centre AND c.slot = e.slot"""
+
 ORACLES["kmeans_predict"] = f"""
 WITH {_learning()}, {_KMEANS}
 SELECT row_id, label, round(margin, 3) AS margin, CAST({DECISION} AS DOUBLE) AS prediction FROM kmeans"""

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from brooktext.functions.labels import extend_labels, index_batches, label_frequ
 from brooktext.functions.linear import with_prediction
 from brooktext.functions.sharded import SHARDED_WIDTH, nb_weight_table, sgd_weight_table, with_sharded_prediction
 from brooktext.functions.text import field_at, prefix_drop, row_concat, split_first, tokenize
-from brooktext.operators import kmeans, linear_sgd, logistic, naive_bayes
+from brooktext.operators import kmeans, kmeans_many, linear_sgd, logistic, naive_bayes
 from brooktext.operators.local_steps import local_updates
 from brooktext.operators.sums import State, slot_sums
 from brooktext.sources import arrivals, feed, row_offsets, tables, wire
@@ -50,6 +51,7 @@ from brooktext.streaming.trainer import StreamTrainer
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 LINEAR_MODELS = ("SGD", "MNB", "KMEANS")
+KMEANS_CENTRES = 5
 
 
 def query(function: Query) -> Query:
@@ -507,6 +509,23 @@ def kmeans_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("row_id", "label", F.round("margin", 3).alias("margin"), "prediction")
 
 
+@query
+def kmeans_many_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five centres, started at the five records of lowest id, after one pass: sizes and sums of coordinates."""
+    rows, _ = feature_table(spark, sf_dir)
+    first = rows.orderBy("row_id").limit(KMEANS_CENTRES).select("row_id", vector_to_array("features").alias("v")).collect()
+    start = np.array([row.v for row in first])
+    state = {"start": start.ravel(), "sums": np.zeros(start.size), "counts": np.zeros(len(start))}
+    state = kmeans_many.many_update(state, rows, TRAIN_WIDTH, KMEANS_CENTRES, reassign=False)
+    cells = [
+        (j, slot, int(n), float(value))
+        for j, (n, centre) in enumerate(zip(state["counts"], kmeans_many.centres_of(state), strict=True))
+        for slot, value in enumerate(centre)
+    ]
+    centres = spark.createDataFrame(cells, "centre int, slot int, n_rows bigint, value double")
+    return centres.select("centre", "slot", "n_rows", F.round("value", 6).alias("value"))
+
+
 @query
 def lr_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes at the optimum of the logistic regression on all records."""

@@ -4,13 +4,14 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 
 from brooktext.functions.features import hash_features, with_norm, with_terms
 from brooktext.functions.labels import stable_index
 from brooktext.functions.linear import with_prediction
 from brooktext.functions.sharded import nb_weight_table, sgd_weight_table, with_sharded_prediction
-from brooktext.operators import kmeans, linear_sgd, logistic, naive_bayes, perceptron
+from brooktext.operators import kmeans, kmeans_many, linear_sgd, logistic, naive_bayes, perceptron
 from brooktext.operators.local_steps import local_updates
 from brooktext.operators.sums import fetch_sums, slot_sums
 from brooktext.streaming.learners import (
@@ -331,3 +332,65 @@ def test_sharded_naive_bayes_never_predicts_an_unseen_class(rows):
     table = nb_weight_table(slot_sums(seen, naive_bayes.nb_coefficients()), WIDTH)
     scored = with_sharded_prediction(rows, *table).collect()
     assert all(r.margin == -math.inf and r.prediction == 0 for r in scored)
+
+
+def plain_inertia(x, centres):
+    return ((x[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum()
+
+
+@pytest.fixture
+def clumps(spark):
+    """Rows in six clumps of unlike sizes, one row far off, as a feature frame and a matrix."""
+    random = np.random.default_rng(8)
+    centres = random.integers(0, 60, (6, 12))
+    x = np.vstack([c + random.integers(0, 4, (n, 12)) for c, n in zip(centres, (90, 60, 30, 20, 10, 5), strict=True)] + [np.full((1, 12), 300)])
+    sparse = [(i, [int(k) for k in np.flatnonzero(row)], [float(v) for v in row[row > 0]]) for i, row in enumerate(x)]
+    df = spark.createDataFrame(sparse, "row_id long, slots array<int>, counts array<double>").repartition(3)
+    to_vector = F.udf(lambda s, c: Vectors.sparse(12, s, c), VectorUDT())
+    return df.withColumn("features", to_vector("slots", "counts")).persist(), x.astype(float)
+
+
+def test_parallel_start_is_better_than_two_far_rows(clumps):
+    rows, x = clumps
+    assert kmeans_many.inertia(rows, x[:2]) == pytest.approx(plain_inertia(x, x[:2]))
+    start = kmeans_many.parallel_start(rows, 12, 7)
+    assert len(start) == 7
+    np.testing.assert_array_equal(start, kmeans_many.parallel_start(rows, 12, 7))
+    far = np.array([x[0], x[((x - x[0]) ** 2).sum(axis=1).argmax()]])
+    assert plain_inertia(x, start) < 0.05 * plain_inertia(x, far)
+    # No more centres than different rows; none without rows.
+    same = rows.where("row_id < 1").union(rows.where("row_id < 1"))
+    assert len(kmeans_many.parallel_start(same, 12, 5)) == 1
+    assert kmeans_many.many_update(None, rows.where("false"), 12, 5) is None
+
+
+def test_many_centres_update_by_running_means(clumps):
+    rows, x = clumps
+    start = x[[0, 100, 160]]
+    state = {"start": start.ravel(), "sums": np.zeros(start.size), "counts": np.zeros(3)}
+    sums, n, c = np.zeros((3, 12)), np.zeros(3), start.copy()
+    for a, b in ((0, 120), (120, 217)):
+        state = kmeans_many.many_update(state, rows.where(f"row_id >= {a} AND row_id < {b}"), 12, 3, reassign=False)
+        nearest = ((x[a:b, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+        for j in range(3):
+            sums[j] += x[a:b][nearest == j].sum(axis=0)
+            n[j] += (nearest == j).sum()
+            c[j] = sums[j] / n[j] if n[j] else c[j]
+        np.testing.assert_allclose(kmeans_many.centres_of(state), c)
+        assert state["counts"].tolist() == n.tolist()
+
+
+def test_starving_centres_move_to_far_rows(clumps):
+    rows, x = clumps
+    rows, x = rows.where("row_id < 215"), x[:215]
+    start = np.vstack([x[0], np.full(12, -900.0), np.full(12, -800.0)])
+    state = {"start": start.ravel(), "sums": np.zeros(start.size), "counts": np.zeros(3)}
+    kept = kmeans_many.many_update(state, rows, 12, 3, reassign=False)
+    moved = kmeans_many.many_update(state, rows, 12, 3)
+    assert kept["counts"].tolist() == moved["counts"].tolist() == [215, 0, 0]
+    mean = x.mean(axis=0)
+    order = np.argsort(-((x - mean) ** 2).sum(axis=1), kind="stable")
+    np.testing.assert_allclose(kmeans_many.centres_of(moved), np.vstack([mean, x[order[:2]]]))
+    after = kmeans_many.many_update(moved, rows, 12, 3)
+    assert after["counts"].min() > 0
+    assert kmeans_many.inertia(rows, kmeans_many.centres_of(after)) < kmeans_many.inertia(rows, kmeans_many.centres_of(kept))
