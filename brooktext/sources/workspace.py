@@ -126,3 +126,23 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(target):
         return []
     return [status.getPath().getName() for status in fs.listStatus(target)]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written beside and renamed, so that a reader finds the old one or the new one."""
+    fs, target = _hadoop_path(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(beside, target):
+        # Not every store renames over an existing file.
+        fs.delete(target, False)
+        fs.rename(beside, target)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is none."""
+    if not exists(spark, path):
+        return None
+    return "\n".join(row.value for row in spark.read.text(path).collect())

@@ -4,18 +4,25 @@ Everything of batch ``k`` goes below ``batch_id=k`` and is overwritten when the
 batch is replayed. The metrics of a batch are written last and mark it as
 complete; only complete batches before ``k`` are read for batch ``k``. So a
 replay after a failure gives the same tables as an undisturbed run.
+
+A long run leaves a small file for each batch. ``compact`` gathers those of
+finished batches into one table and moves a pointer file to it; readers take the
+table that the pointer names and the batches it does not have.
 """
 
 from __future__ import annotations
 
 import datetime
+import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from brooktext.operators.sums import State
-from brooktext.sources.workspace import child_names, delete, exists
+from brooktext.sources.workspace import child_names, delete, exists, read_text, write_text
 
 STATE_SCHEMA = "model string, name string, vector array<double>"
 LABEL_SCHEMA = "label string, position bigint"
@@ -146,7 +153,43 @@ class ModelStore:
         for version in complete[:-max(keep, 1)]:
             delete(self.spark, f"{self.root}/state/batch_id={version}")
 
+    def _pointer(self, table: str) -> tuple[str, int] | None:
+        """Folder of the compacted table and its last batch."""
+        text = read_text(self.spark, f"{self.root}/{table}_compacted/pointer")
+        if text is None:
+            return None
+        name, last = text.split()
+        return f"{self.root}/{table}_compacted/{name}", int(last)
+
+    def compact(self, table: str = "metrics", leave: int = 1) -> int | None:
+        """Gather the finished batches of a table but the last ``leave``, which may be run again, into one.
+
+        Returns the last batch gathered, None if there was nothing to do. A
+        crash before the pointer moves leaves the old table in use, one after it
+        leaves batch folders that the next call deletes; neither shows in a reader.
+        """
+        pointer = self._pointer(table)
+        done = [k for k in self._batches(table) if exists(self.spark, f"{self.root}/{table}/batch_id={k}/_SUCCESS")]
+        done = done[: len(done) - leave] if leave else done
+        if not done:
+            return None
+        last = max([*done, pointer[1]] if pointer else done)
+        held = self._read(METRIC_SCHEMA, table).where(F.col("batch_id") <= last)
+        name = f"table-{last}-{uuid.uuid4().hex}"
+        held.coalesce(1).write.parquet(f"{self.root}/{table}_compacted/{name}")
+        write_text(self.spark, f"{self.root}/{table}_compacted/pointer", f"{name} {last}")
+        for batch_id in done:
+            delete(self.spark, f"{self.root}/{table}/batch_id={batch_id}")
+        for old in child_names(self.spark, f"{self.root}/{table}_compacted"):
+            if old.startswith("table-") and old != name:
+                delete(self.spark, f"{self.root}/{table}_compacted/{old}")
+        return last
+
     def _is_complete(self, batch_id: int) -> bool:
+        pointer = self._pointer("metrics")
+        # Batches are run in order: those up to the pointer are finished.
+        if pointer and batch_id <= pointer[1]:
+            return True
         return exists(self.spark, f"{self.root}/metrics/batch_id={batch_id}/_SUCCESS")
 
     def metrics(self, table: str = "metrics") -> DataFrame:
@@ -160,9 +203,16 @@ class ModelStore:
         return self._read(DEAD_SCHEMA, table)
 
     def _read(self, schema: str, table: str) -> DataFrame:
-        if not self._batches(table):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
+        batches, pointer = self._batches(table), self._pointer(table)
+        parts = []
+        if batches:
+            parts.append(self.spark.read.schema(schema).parquet(f"{self.root}/{table}"))
+        if pointer:
+            gathered = self.spark.read.schema(schema).parquet(pointer[0])
+            # A batch that is here as a folder too was run again, or its folder was not deleted yet.
+            again = [k for k in batches if k <= pointer[1]]
+            parts.append(gathered.where(~F.col("batch_id").isin(again)) if again else gathered)
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], schema)
 
     def state_table(self) -> DataFrame:
         """All stored versions of the models."""

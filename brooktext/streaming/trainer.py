@@ -30,7 +30,8 @@ class StreamTrainer:
     not repeat it. A label outside it goes to the dead letters.
     ``'per_batch'`` ranks the labels anew in every batch. ``passes`` is how
     often the local solvers go over a batch (see ``learners``). ``keep_versions`` bounds the model versions kept by a long
-    run; ``tasks`` the tasks for the passes over a batch.
+    run; ``tasks`` the tasks for the passes over a batch; every ``compact_every``
+    batches the small files of their metrics become one (``ModelStore.compact``).
     """
 
     def __init__(
@@ -47,6 +48,7 @@ class StreamTrainer:
         labels: Sequence[str] | None = None,
         passes: int | None = PASSES,
         tasks: int | None = None,
+        compact_every: int | None = None,
     ):
         unknown = set(models) - set(MODELS)
         if unknown or mode not in MODES or label_mode not in LABEL_MODES:
@@ -56,6 +58,7 @@ class StreamTrainer:
         self.width, self.models, self.loss = width, tuple(models), loss
         self.mode, self.label_mode, self.parser = mode, label_mode, parser
         self.keep_versions, self.passes, self.tasks = keep_versions, passes, tasks
+        self.compact_every = compact_every
         self.labels = self._declared(labels) if label_mode == "stable" else None
 
     def _declared(self, labels: Sequence[str] | None) -> list[str]:
@@ -108,6 +111,8 @@ class StreamTrainer:
             self.store.save_metrics(batch_id, before if self.mode == "pre_fit" else metrics, fitted)
             if self.keep_versions is not None:
                 self.store.prune(self.keep_versions)
+            if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+                self.store.compact()
             return True
         finally:
             cached.unpersist()

@@ -323,7 +323,7 @@ def test_old_model_versions_are_pruned(spark, records):
     for k in range(4):
         trainer.process(records, k)
     assert {k for k, _, _ in states_of(trainer.store)} == {2, 3}
-    assert trainer.store.latest(None, "ml", "LR") == 3
+    assert trainer.store.latest(None, "state") == 3 and "LR" in trainer.store.load_states()
     assert trainer.metrics().select("batch_id").distinct().count() == 4
     again = StreamTrainer(spark, root, WIDTH, ("LR", "MNB"), labels=LABELS)
     again.process(records, 4)
@@ -341,3 +341,38 @@ def test_incomplete_batch_is_not_read(spark, records):
         np.testing.assert_array_equal(restarted.store.load_states(2)["MNB"]["n0"][-1], 6)
     restarted.process(records, 1)
     np.testing.assert_array_equal(restarted.store.load_states()["MNB"]["n0"][-1], 12)
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("at", [None, "write_text", "delete"])
+def test_metrics_are_compacted_and_survive_a_crash(spark, records, monkeypatch, at):
+    root = new_folder(spark, "models")
+    trainer = StreamTrainer(spark, root, WIDTH, ("MNB",), labels=LABELS)
+    for k in range(4):
+        trainer.process(records, k)
+    want, store = metrics_of(trainer), trainer.store
+    if at is not None:
+        # The run ends between the table and the pointer, or between the pointer and the clearing up.
+        def crash(*_):
+            raise Crash
+
+        with monkeypatch.context() as patch, pytest.raises(Crash):
+            patch.setattr(f"brooktext.streaming.store.{at}", crash)
+            store.compact()
+        assert table(ModelStore(spark, root).metrics().drop("batch_time")) == want
+    store = ModelStore(spark, root)
+    assert store.compact() == 2 and store.compact() is None
+    assert store._batches("metrics") == [3]
+    assert table(store.metrics().drop("batch_time")) == want
+    assert table(store.metrics().groupBy("batch_id").count()) == [f"({k}, 1)" for k in range(4)]
+    # A gathered batch that is run again counts once; further batches find all versions complete.
+    again = StreamTrainer(spark, root, WIDTH, ("MNB",), labels=LABELS, compact_every=2)
+    again.process(records, 2)
+    assert metrics_of(again) == want
+    again.process(records, 4)
+    again.process(records, 5)
+    assert again.store._batches("metrics") == [5]
+    assert ModelStore(spark, root).latest(None, "state") == 5 and again.metrics().count() == 6
