@@ -75,13 +75,15 @@ def test_labels_beyond_the_broadcast_limit_are_shuffled(spark):
 
 def test_no_text_is_moved_to_meet_the_labels(spark):
     """With broadcasting off, both sides of the join are shuffled: the documents as counts."""
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    before, told = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get(tables.SPREAD_SETTING)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.unset(tables.SPREAD_SETTING)
     try:
         rows = tables.hashed_records(spark, SF_DIR, 300)
         plan = plan_of(rows)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set(tables.SPREAD_SETTING, told)
     assert "SortMergeJoin" in plan
     exchanges = []
 
