@@ -194,6 +194,8 @@ FROM (SELECT row_number() OVER () - 1 AS n FROM events) GROUP BY 1"""
 
 ORACLES["wire_parse"] = f"WITH {RECORDS} SELECT {_BATCH} AS batch_id, sentiment, message FROM records"
 
+ORACLES["wire_parse_split"] = f"WITH {RECORDS} SELECT sentiment, message FROM records"
+
 ORACLES["wire_split_literal"] = f"""
 WITH {RECORDS},
 quoted AS (

@@ -160,6 +160,15 @@ def wire_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select("batch_id", "sentiment", "message")
 
 
+@query
+def wire_parse_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wire files read in byte ranges that end at records, decoded, without headers."""
+    landing = new_folder(spark, "wire")
+    _wire_lines(spark, sf_dir).select("value").write.text(landing)
+    parsed = wire.parse_wire(wire.read_long_lines(spark, landing))
+    return wire.drop_headers(parsed.where(F.col("reject").isNull())).select("sentiment", "message")
+
+
 @query
 def wire_split_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cut wire lines as plain text, without headers."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooktext.functions.text import cut_newline, prefix_drop, split_first
@@ -12,6 +12,8 @@ HEADER_RECORD = "Sentiment,Tweet"
 HEADER_LABEL = "Sentiment"
 RECORD_SEPARATOR = '\\n",'
 RECORD_PREFIX = 2
+# Between two records of a line: the newline that ends one, its quote, and the quote of the next.
+RECORD_BORDER = '\\n", "'
 
 
 def json_string(value: Column) -> Column:
@@ -83,6 +85,28 @@ def parse_wire(lines: DataFrame) -> DataFrame:
     )
 
 
+def read_long_lines(spark: SparkSession, path: str, border: str = RECORD_BORDER) -> DataFrame:
+    """Wire files as many short wire lines (``value``), for ``parse_wire``; a long line is read by many tasks.
+
+    Spark cuts a file into byte ranges at its line separator. With the border
+    between two records as the separator, a range ends at a record, however
+    long the line is. A quote inside a record is escaped, so the border cannot
+    be part of one. Each piece is made a line of its own again; a piece with
+    other borders, as another sender may write them, is a line of several records.
+    Lines still end at newlines; empty ones are left out. A damaged line loses
+    its damaged records only, where ``parse_wire`` on whole lines rejects all of it.
+    """
+    pieces = spark.read.option("lineSep", border).text(path).select("value", F.col("_metadata.file_size").alias("file_size"))
+    split = pieces.select(F.split("value", "\n").alias("parts"), (F.octet_length("value") + 1 >= F.col("file_size")).alias("all"))
+    parts = split.select("all", (F.size("parts") - 1).alias("last"), F.posexplode("parts").alias("i", "part")).where(F.trim("part") != "")
+    opened, closed = F.col("part").rlike(r'^\s*\["'), F.col("part").rlike(r'"\]\s*$')
+    # Newlines tell where a line begins and ends; there it must do so like a list of strings, else the parser gets it as it is.
+    begins, ends = F.col("all") | (F.col("i") > 0), F.col("all") | (F.col("i") < F.col("last"))
+    foreign = (begins & ~opened) | (ends & ~closed)
+    body = F.regexp_replace(F.regexp_replace("part", r'^\s*\["', ""), r'(\\n)?"\]\s*$', "")
+    return parts.select(F.when(foreign, F.col("part")).otherwise(F.concat(F.lit('["'), body, F.lit('"]'))).alias("value"))
+
+
 def split_wire_literally(lines: DataFrame) -> DataFrame:
     """Cut lines as plain text, without decoding JSON.
 

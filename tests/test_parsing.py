@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from brooktext.sources.workspace import new_folder
 from brooktext.functions.text import field_at, prefix_drop, row_concat, split_first, tokenize
 from brooktext.sources import wire
 
@@ -97,3 +98,27 @@ def test_tokens_are_lower_case_ascii_words(spark):
         [],
         [],
     ]
+
+
+def test_a_long_line_is_read_by_many_tasks(spark):
+    texts = [f"text {k}, with \"quotes\", back\\slash \\n and ünï\ttab" + " x" * (k % 50) for k in range(600)]
+    texts[7:10] = ['", "', 'ends in "', "\\n"]
+    rows = [(k, str(k % 2), text) for k, text in enumerate(texts)]
+    records = spark.createDataFrame(rows, "row_id long, sentiment string, message string")
+    lines = wire.to_wire(records.withColumn("chunk", F.lit(0)), "chunk").select("value")
+    bad = ['["0,alone"]', '["0,no end", "1,of line", "2"]', "no json", "[1, 2]", "", '["0,last\\n"]']
+    path = new_folder(spark, "wire")
+    lines.union(spark.createDataFrame([(b,) for b in bad], "value string")).coalesce(1).write.text(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192b")
+    try:
+        pieces = wire.read_long_lines(spark, path)
+        by_task = pieces.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        got = sorted(tuple(r) for r in wire.parse_wire(pieces).where("reject IS NULL").select("sentiment", "message").collect())
+        rejects = {r.reject for r in wire.parse_wire(pieces).collect()} - {None}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    whole = wire.parse_wire(spark.read.text(path)).where("reject IS NULL")
+    assert got == sorted(tuple(r) for r in whole.select("sentiment", "message").collect())
+    assert len(got) == 600 + 1 + 4 and len(by_task) > 5 and max(r["count"] for r in by_task) < 300
+    assert rejects == {"no_separator", "not_json", "not_a_string"}
