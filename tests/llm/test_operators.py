@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brooktext.llm.components import components
-from brooktext.llm.contamination import align, contaminated
+from brooktext.llm.contamination import Items, _common, align, contaminated
 from brooktext.llm.language import identify_languages
 from brooktext.llm.lines import dedup_lines
 from brooktext.llm.mixing import mix_sources
@@ -429,6 +429,46 @@ def test_contamination_equals_brute_force_on_much_edited_copies(spark, table):
     assert got == want
 
 
+def test_excerpts_of_long_items_and_short_items(spark, table):
+    long, short = words(860, 500), words(861, 5)
+    items = [(1, " ".join(long)), (2, " ".join(short)), (3, "two words"), (2, " ".join(short))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        (1, " ".join([*words(1, 40), *long[200:225], *words(2, 40)]), "en", "a"),
+        (2, " ".join([*words(1, 40), *long[200:218], *words(2, 40)]), "en", "a"),
+        (3, " ".join([*words(3, 40), *short, *words(4, 9)]), "en", "a"),
+        (4, " ".join([*words(3, 40), *short[:4], "other", *words(4, 9), "two words"]), "en", "a"),
+    ]
+    got = sorted((r["doc_id"], r["item_id"], r["score"]) for r in contaminated(table(rows), benchmark).collect())
+    assert got == [(1, 1, 0.05), (3, 2, 1.0), (3, 2, 1.0)]
+
+
+def test_seeds_common_among_items_are_lengthened():
+    same = ["one", "of", "the"]
+    texts = [" ".join([*words(870 + i, 6), *same, *words(890 + i, 6)]) for i in range(8)]
+    items = Items.of([str(i) for i in range(8)], texts)
+    (hashes, counts), *_ = items.held().values()
+    assert counts.tolist() == [8]
+    short, longer = items.seeds({3: hashes})
+    assert (short.width, longer.width) == (3, 4)
+    assert len(short.item) == 8 * 12 and sorted(zip(longer.item, longer.position, strict=True)) == [(i, p) for i in range(8) for p in (5, 6)]
+    assert [len(s.item) for s in items.seeds({})] == [8 * 13]
+
+
+def test_a_sequence_in_every_text_and_item_opens_no_pairs(spark, table):
+    same = ["one", "of", "the"]
+    texts = [[*words(870 + i, 12), *same, *words(890 + i, 12)] for i in range(8)]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "item_id long, text string")
+    rows = [(i, " ".join([*words(i, 30), *same, *words(i + 3, 9)]), "en", "a") for i in range(40)]
+    edited = [[w if k % 5 != 2 else "other" for k, w in enumerate(t)] for t in texts]
+    rows += [(100 + i, " ".join([*words(i, 30), *t]), "en", "a") for i, t in enumerate(edited)]
+    docs = table(rows)
+    got = sorted((r["doc_id"], r["item_id"]) for r in contaminated(docs, benchmark).collect())
+    assert got == [(100 + i, i) for i in range(8)]
+    known = Items.of([str(i) for i in range(8)], [" ".join(w) for w in texts])
+    assert [len(h) for h in _common(docs, known).values()] == [1]
+
+
 # --- 10 transcripts -----------------------------------------------------------
 
 
