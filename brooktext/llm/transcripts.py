@@ -12,9 +12,12 @@ decodes a whole conversation, then each part is rendered alike.
 
 Scale. Only features travel to be decoded (some 40 bytes a part); text meets
 the roles in one join by conversation and turn. A conversation is decoded in
-blocks of ``BLOCK`` turns by different tasks: transfer matrices of the blocks,
-a pass over these few numbers for each conversation of several blocks, and the
-decoding of all blocks. So no task holds a whole very long conversation.
+blocks by different tasks: transfer matrices of the blocks, a pass over these
+few numbers for each conversation of several blocks, and the decoding of all
+blocks. A block is a range of ``BLOCK`` turn numbers; one of too many parts
+(null or repeated turns, long rows) is cut at its turns, a turn at ranges of
+the hash that orders its texts, and these at texts and their parts. So no task
+holds a whole very long conversation, turn or row of parts.
 """
 
 from __future__ import annotations
@@ -50,6 +53,7 @@ MARKER = re.compile(
 SLOTS = (len(ROLES) + 1, 24, 8, 8, 4)
 MARKER_PRIOR = 20.0
 BLOCK = 1024
+BLOCK_KEY = ["conv_key", "lone", "turns", "turn_cut", "texts", "text_cut", "part_cut"]
 TOLD = 50_000  # rows of parts that are decoded side by side
 _FEATURES = ", ".join(f"f{k} int" for k in range(len(SLOTS)))
 _ENDS = {"?": 1, ".": 2, ":": 3, "!": 4}
@@ -101,8 +105,11 @@ def learn_roles(rows: DataFrame, parts: DataFrame) -> RoleModel:
     first = roles.groupBy("conv_id").agg(F.min_by("role", "turn").alias("role")).groupBy("role").count()
     for row in first.collect():
         initial[row["role"]] += row["count"]
-    after = roles.select(F.col("conv_id").alias("c"), (F.col("turn") - 1).alias("t"), F.col("role").alias("next"))
-    steps = roles.join(after, (F.col("conv_id") == F.col("c")) & (F.col("turn") == F.col("t"))).groupBy("role", "next").count()
+    # Repeated rows meet as counts, not one by one.
+    times = roles.groupBy("conv_id", "turn", "role").agg(F.count("*").alias("n"))
+    after = times.select(F.col("conv_id").alias("c"), (F.col("turn") - 1).alias("t"), F.col("role").alias("next"), F.col("n").alias("m"))
+    steps = times.join(after, (F.col("conv_id") == F.col("c")) & (F.col("turn") == F.col("t")))
+    steps = steps.groupBy("role", "next").agg(F.sum(F.col("n").cast("double") * F.col("m")).alias("count"))
     for row in steps.collect():
         transitions[row["role"], row["next"]] += row["count"]
     tables = [np.ones((size, len(ROLES))) for size in SLOTS]
@@ -133,13 +140,45 @@ def _blocks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]
 
 
 def _borders(table: pa.Table) -> np.ndarray:
-    """Where blocks (conversation, lone, block) begin, and the end."""
-    keys = [table.column(name).to_numpy(zero_copy_only=False) for name in ("conv_key", "lone", "block")]
+    """Where blocks begin, and the end."""
+    keys = [table.column(name).to_numpy(zero_copy_only=False) for name in BLOCK_KEY]
     new = np.ones(table.num_rows, dtype=bool)
     new[1:] = np.any([key[1:] != key[:-1] for key in keys], axis=0)
     return np.append(np.flatnonzero(new), table.num_rows)
 
 
+def _counted(parts: DataFrame, key: list[str], least: int) -> DataFrame:
+    """``parts`` with ``n``, the number of parts of their group where it is above ``least``, else null.
+
+    The large groups are staged, so that Spark knows how few they are when it plans the join.
+    """
+    large = materialize(parts.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > least), "chat_large")
+    large = large.select(*[F.col(c).alias(f"large_{c}") for c in key], "n")
+    same = F.lit(True)
+    for c in key:
+        same = same & (F.col(c) == F.col(f"large_{c}"))
+    return parts.join(large, same, "left").drop(*[f"large_{c}" for c in key])
+
+
+def blocked(parts: DataFrame) -> DataFrame:
+    """``parts`` with their blocks, the columns of ``BLOCK_KEY``, which are in the order of the parts."""
+    zero = F.lit(0).cast("long")
+    turns = F.floor(F.greatest(F.col("turn_key"), F.lit(-1)) / BLOCK)
+    by_turns = _counted(parts.withColumn("turns", turns), ["conv_key", "lone", "turns"], 4 * BLOCK)
+    cut = by_turns.where("n IS NOT NULL").drop("n").withColumn("turn_cut", F.col("turn_key"))
+    by_turn = _counted(cut, ["conv_key", "lone", "turn_key"], BLOCK)
+    # Where the text's hash lies among all, in as many ranges as the turn has blocks of parts.
+    ranges = F.ceil(F.col("n") / BLOCK)
+    place = F.floor((F.col("text_key").cast("double") / 2.0**64 + 0.5) * ranges)
+    in_ranges = by_turn.withColumn("texts", F.coalesce(place, zero)).drop("n")
+    by_range = _counted(in_ranges, ["conv_key", "lone", "turn_key", "texts"], 4 * BLOCK)
+    text_cut = F.when(F.col("n").isNotNull(), F.col("text_key")).otherwise(zero)
+    part_cut = F.when(F.col("n").isNotNull(), F.floor(F.col("part") / BLOCK)).otherwise(zero)
+    fine = by_range.withColumn("text_cut", text_cut).withColumn("part_cut", part_cut).drop("n")
+    coarse = by_turns.where("n IS NULL").drop("n").select("*", *[zero.alias(c) for c in BLOCK_KEY[3:]])
+    return coarse.unionByName(fine)
+
+
 def _emissions(table: pa.Table, model: RoleModel) -> np.ndarray:
     return model.score([table.column(f"f{k}").to_numpy() for k in range(len(SLOTS))])
 
@@ -158,12 +197,12 @@ def block_transfers(emissions: np.ndarray, borders: np.ndarray, transitions: np.
 
 
 def _links(parts: DataFrame, model) -> DataFrame:
-    """``conv_key, lone, block, before, after``: scores that reach the blocks of long conversations from outside.
+    """The blocks of conversations of several, each with the ``first`` and ``last`` state of one best path of the conversation.
 
-    ``before`` is that of the best path up to the first part of the block,
-    ``after`` of the best path from its last part on.
+    Of equal paths all blocks take the same one, so their decodings fit together.
     """
-    several = parts.groupBy("conv_key", "lone").agg(F.min("block").alias("low"), F.max("block").alias("high"))
+    block = F.struct(*BLOCK_KEY[2:])
+    several = parts.groupBy("conv_key", "lone").agg(F.min(block).alias("low"), F.max(block).alias("high"))
     several = several.where("low < high").select(F.col("conv_key").alias("c"), F.col("lone").alias("l"))
     own = parts.join(several, (F.col("conv_key") == F.col("c")) & (F.col("lone") == F.col("l")), "left_semi")
 
@@ -171,7 +210,7 @@ def _links(parts: DataFrame, model) -> DataFrame:
         for table in _blocks(batches, TOLD):
             borders = _borders(table)
             best = block_transfers(_emissions(table, model.value), borders, model.value.transitions)
-            first = table.take(pa.array(borders[:-1])).select(["conv_key", "lone", "block"]).combine_chunks()
+            first = table.take(pa.array(borders[:-1])).select(BLOCK_KEY).combine_chunks()
             packed = pa.array([matrix.tobytes() for matrix in best], pa.binary())
             yield from first.append_column("transfer", packed).to_batches()
 
@@ -179,22 +218,24 @@ def _links(parts: DataFrame, model) -> DataFrame:
         size = len(ROLES)
         for table in _conversations(batches):
             matrices = [np.frombuffer(x, np.float64).reshape(size, size) for x in table.column("transfer").to_pylist()]
-            before, after = [model.value.initial], [np.zeros(size)]
-            for matrix in matrices[:-1]:
-                reached = (before[-1][:, None] + matrix).max(axis=0)
-                before.append((reached[:, None] + model.value.transitions).max(axis=0))
-            for matrix in matrices[:0:-1]:
-                ahead = (matrix + after[-1][None]).max(axis=1)
-                after.append((model.value.transitions + ahead[None]).max(axis=1))
-            columns = [pa.array([v.tobytes() for v in side], pa.binary()) for side in (before, after[::-1])]
-            keys = table.select(["conv_key", "lone", "block"])
-            yield from keys.append_column("before", columns[0]).append_column("after", columns[1]).combine_chunks().to_batches()
-
-    key = ["conv_key", "lone", "block"]
-    dealt = own.repartition(*key).sortWithinPartitions(*key, "turn_key", "text_key", "part")
-    matrices = dealt.mapInArrow(transfer, "conv_key long, lone long, block long, transfer binary")
-    together = matrices.repartition("conv_key", "lone").sortWithinPartitions(*key)
-    return together.mapInArrow(link, "conv_key long, lone long, block long, before binary, after binary")
+            into, reached = [model.value.initial], []
+            for matrix in matrices:
+                reached.append((into[-1][:, None] + matrix).max(axis=0))
+                into.append((reached[-1][:, None] + model.value.transitions).max(axis=0))
+            first, last = np.zeros((2, len(matrices)), dtype=np.int32)
+            last[-1] = reached[-1].argmax()
+            for k in range(len(matrices) - 1, -1, -1):
+                first[k] = (into[k] + matrices[k][:, last[k]]).argmax()
+                if k:
+                    last[k - 1] = (reached[k - 1] + model.value.transitions[:, first[k]]).argmax()
+            told = table.select(BLOCK_KEY).append_column("first", pa.array(first)).append_column("last", pa.array(last))
+            yield from told.combine_chunks().to_batches()
+
+    ddl = ", ".join(f"{c} long" for c in BLOCK_KEY)
+    dealt = own.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY, "turn_key", "text_key", "part")
+    matrices = dealt.mapInArrow(transfer, f"{ddl}, transfer binary")
+    together = matrices.repartition("conv_key", "lone").sortWithinPartitions(*BLOCK_KEY)
+    return together.mapInArrow(link, f"{ddl}, first int, last int")
 
 
 def _conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -218,12 +259,13 @@ def _conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def _decoded(parts: DataFrame, model) -> DataFrame:
     """``conv_key, lone, turn_key, text_key, part, state`` of all parts."""
-    key = ["conv_key", "lone", "block"]
     links = _links(parts, model)
-    linked = links.select(*[F.col(c).alias(f"l_{c}") for c in key], "before", "after")
-    same = [F.col(c) == F.col(f"l_{c}") for c in key]
-    joined = parts.join(linked, same[0] & same[1] & same[2], "left").drop(*[f"l_{c}" for c in key])
-    dealt = joined.repartition(*key).sortWithinPartitions(*key, "turn_key", "text_key", "part")
+    linked = links.select(*[F.col(c).alias(f"l_{c}") for c in BLOCK_KEY], "first", "last")
+    same = F.lit(True)
+    for c in BLOCK_KEY:
+        same = same & (F.col(c) == F.col(f"l_{c}"))
+    joined = parts.join(linked, same, "left").drop(*[f"l_{c}" for c in BLOCK_KEY])
+    dealt = joined.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY, "turn_key", "text_key", "part")
     told = ["conv_key", "lone", "turn_key", "text_key", "part"]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,12 +273,12 @@ def _decoded(parts: DataFrame, model) -> DataFrame:
         for table in _blocks(batches, TOLD):
             borders = _borders(table)
             scores = _emissions(table, model.value).copy()
-            before, after = table.column("before"), table.column("after")
             scores[borders[:-1]] += model.value.initial
-            for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
-                if (into := before[a].as_py()) is not None:
-                    scores[a] += np.frombuffer(into, np.float64) - model.value.initial
-                    scores[b - 1] += np.frombuffer(after[a].as_py(), np.float64)
+            for name, at in (("first", borders[:-1]), ("last", borders[1:] - 1)):
+                state = table.column(name).take(pa.array(at)).fill_null(-1).to_numpy()
+                given = np.flatnonzero(state >= 0)
+                others = np.arange(size)[None] != state[given, None]
+                scores[at[given]] = np.where(others, -np.inf, scores[at[given]])
             states = viterbi(scores, borders, model.value.transitions, np.zeros(size))
             yield from table.select(told).append_column("state", pa.array(states, pa.int32())).combine_chunks().to_batches()
 
@@ -289,9 +331,11 @@ def format_chats(turns: DataFrame) -> DataFrame:
     cut_rows = rows.select("conv_id", "turn", "role", *keys, "text").mapInArrow(cut, ddl + _FEATURES)
     parts = materialize(cut_rows, "chat_parts")
     model = turns.sparkSession.sparkContext.broadcast(learn_roles(rows, parts))
-    block = F.floor(F.greatest(F.col("turn_key"), F.lit(-1)) / BLOCK).alias("block")
-    once = parts.select(*keys, block, "part", *[f"f{k}" for k in range(len(SLOTS))]).dropDuplicates([*keys, "part"])
-    decoded = materialize(_decoded(once, model), "chat_roles")
+    once = parts.select(*keys, "part", *[f"f{k}" for k in range(len(SLOTS))]).dropDuplicates([*keys, "part"])
+    once = materialize(once, "chat_once")
+    dealt = materialize(blocked(once), "chat_blocks")
+    decoded = materialize(_decoded(dealt, model), "chat_roles")
+    discard(once, dealt)
     discard(parts)
     by_row = decoded.groupBy(*[F.col(c).alias(f"d_{c}") for c in keys]).agg(
         F.sort_array(F.collect_list(F.struct("part", "state"))).alias("states")

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from brooktext.llm import transcripts
 from brooktext.llm.components import components
 from brooktext.llm.contamination import Items, _common, align, contaminated
 from brooktext.llm.language import identify_languages
@@ -500,6 +501,29 @@ def test_roles_recovered_in_a_very_long_conversation(spark):
     assert np.mean([told[row[:2]] == row[2] for row in rows]) > 0.99
 
 
+def test_blocks_of_null_turns_and_long_rows_are_cut_and_change_nothing(spark, monkeypatch):
+    part = ["User: where is it?\n", "Assistant: It is there. Look again, please.\n", "so it goes\n", "```\ncode\n```\n"]
+    rows = [(1, None, f"{part[i % 4]}{i}", None) for i in range(400)]
+    rows += [(2, 7, "".join(f"{part[k % 3]}{k}\n" for k in range(300)), None), (2, 7, "User: b?", None), (2, 8, "A", "user"), (2, 8, "A", "user")]
+    rows += [(3, i, part[i % 4], ("user", "assistant", "user", "tool")[i % 4]) for i in range(60)]
+    rows += [(4, 0, "Be brief.", "system"), (4, 1, part[0], "user"), (None, None, "x", None), (None, 1, None, None)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, text string, role string")
+
+    def told():
+        return sorted(map(str, format_chats(turns).collect()))
+
+    whole = told()
+    seen = []
+    real = transcripts.blocked
+    monkeypatch.setattr(transcripts, "blocked", lambda parts: seen.append(real(parts).collect()) or real(parts))
+    monkeypatch.setattr(transcripts, "BLOCK", 8)
+    assert told() == whole
+    order = sorted(seen[0], key=lambda r: (r["conv_key"], r["lone"], r["turn_key"], r["text_key"], r["part"]))
+    keys = [tuple(r[c] for c in transcripts.BLOCK_KEY) for r in order]
+    assert keys == sorted(keys) and len(seen[0]) == len(whole) - 1
+    assert max(Counter(keys).values()) <= 4 * 8
+
+
 def test_block_transfers_equal_plain_paths():
     random = np.random.default_rng(4)
     n = len(ROLES)
