@@ -108,3 +108,37 @@ def test_any_function_keeps_state(spark):
     assert [r.longest for r in rows] == ["aa", "cccc", "cccc"] and not any(r.expired for r in rows)
     with pytest.raises(ValueError, match="key"):
         keyed_state.running_state(stream, ["key"], longest, "key string")
+
+
+def test_a_trigger_decodes_no_more_than_it_takes(spark, monkeypatch):
+    path, state = new_folder(spark, "rows"), new_folder(spark, "offsets")
+    table = spark.range(60).selectExpr("id", "CAST(id AS STRING) AS name").coalesce(1)
+    table.write.option("parquet.block.row.count.limit", 20).parquet(path)
+    index = row_offsets.number_rows(spark, path)
+    groups = []
+
+    class Counted(row_offsets.pq.ParquetFile):
+        def iter_batches(self, row_groups, columns):
+            for batch in super().iter_batches(batch_size=5, row_groups=row_groups, columns=columns):
+                groups.append((row_groups[0], batch.num_columns))
+                yield batch
+
+    monkeypatch.setattr(row_offsets.pq, "ParquetFile", Counted)
+    reader = row_offsets.RowOffsetReader(index, ["id"], 8, f"{state}/planned.json")
+    got = [v for part in reader.partitions({"row": 22}, {"row": 30}) for b in reader.read(part) for v in b.column(0).to_pylist()]
+    assert got == list(range(22, 30))
+    assert groups == [(1, 1), (1, 1)]
+
+
+def test_progress_is_taken_from_one_call_an_event(spark, monkeypatch):
+    from pyspark.sql.streaming.listener import StreamingQueryProgress
+
+    def by_field(cls, event):
+        raise AssertionError("one call for each field of the event")
+
+    monkeypatch.setattr(StreamingQueryProgress, "fromJObject", classmethod(by_field))
+    path, state, checkpoint, out = (new_folder(spark, p) for p in ("rows", "offsets", "checkpoint", "progress"))
+    spark.range(20).write.parquet(path)
+    with ProgressTable(spark, out) as progress:
+        BatchRun(row_offsets.row_stream(spark, path, state, 8, ["id"]), counted({}), checkpoint, ONWARD).drain()
+    assert sorted((r["batch_id"], r["n_rows"]) for r in progress.table().collect()) == [(0, 8), (1, 8), (2, 4)]
