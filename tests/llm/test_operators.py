@@ -283,6 +283,35 @@ def test_lines_against_brute_force(table):
     assert {i: r["kept_text"] for i, r in got.items()} == brute_lines(rows)
 
 
+def test_lines_of_long_words_differ_behind_their_first_characters(table):
+    lines = [" ".join(f"https://x.example/{k}/{part}" for part in ("first", "second", "third", "fourth")) for k in range(3)]
+    got = by_id(dedup_lines(table([(k, line, "en", "a") for k, line in enumerate([*lines, lines[1].upper()])])))
+    assert {i: r["kept_text"] for i, r in got.items()} == {0: lines[0], 1: lines[1], 2: lines[2], 3: ""}
+
+
+def test_bands_meet_for_every_similar_pair_of_small_sets(spark):
+    from brooktext.llm import lines
+
+    # All sets of up to 10 hashes that take one or two from, or add one or two to, those of a base.
+    rows, similar = [], []
+    for n in range(1, 11):
+        for gone in [(), *[(i,) for i in range(n)], *[(i, j) for i in range(n) for j in range(i)]]:
+            for more in [(), (0.5,), (n / 2 + 0.5,), (0.5, n - 0.5)]:
+                rows.append(sorted({*(set(range(1, n + 1)) - set(gone)), *more}))
+    rows = sorted({tuple(int(2 * x) for x in row) for row in rows if row})
+    for a in range(len(rows)):
+        for b in range(a):
+            if 100 * len({*rows[a]} & {*rows[b]}) >= 80 * len({*rows[a]} | {*rows[b]}):
+                similar.append((a, b))
+    schema = ", ".join(["id long", *[f"s{k} long" for k in range(lines.SIGNATURE)]])
+    given = spark.createDataFrame([(i, *row, *[None] * (lines.SIGNATURE - len(row))) for i, row in enumerate(rows)], schema)
+    held = {}
+    for r in lines._bands(given).collect():
+        held.setdefault(r["id"], set()).add(r["key"])
+    assert len(similar) > 1000
+    assert all(held[a] & held[b] for a, b in similar)
+
+
 def test_parity_bits_never_rule_out_a_similar_pair(spark):
     from brooktext.llm import lines
 
