@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brooktext.llm import transcripts
+from brooktext.llm import lines, neighbours, transcripts
 from brooktext.llm.components import components
 from brooktext.llm.contamination import Items, _common, align, contaminated
 from brooktext.llm.language import identify_languages
@@ -283,6 +283,56 @@ def test_lines_against_brute_force(table):
     assert {i: r["kept_text"] for i, r in got.items()} == brute_lines(rows)
 
 
+def test_lines_are_cut_and_shingled_once(table, monkeypatch):
+    """No filter below makes the shingles a second time, no lambda splits the text anew for each line."""
+    docs = table([(1, "a b c\n\nd e f", "en", "a"), (2, "a b c", "en", "a")]).select("doc_id", "text")
+    plans = {}
+    real = lines.materialize
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    monkeypatch.setattr(lines, "materialize", lambda df, purpose: plans.update({purpose: plan(df)}) or real(df, purpose))
+    cut = lines.without_lines(docs, lines.repeated_lines(docs, starts_only=True))
+    assert len(re.findall(r"Filter .*(?:size|regexp_extract_all)\(", plans["line_signatures"])) == 0
+    assert plan(cut).count("split(") == 1
+    inlined = [line for line in plans["full_sets"].split("\n") if "inline(" in line]
+    assert inlined and not any("split(" in line for line in inlined)
+    assert sorted((r["lines_before"], r["lines_gone"], r["text"]) for r in cut.collect()) == [(1, 1, ""), (3, 0, "a b c\n\nd e f")]
+
+
+def test_the_middle_of_a_group_is_its_hub(spark):
+    """A group whose rows are similar to one of them only needs checks in proportion to its rows, not all its pairs."""
+    rim = range(1, 61)
+    rows = [(k, 0) for k in range(5)] + [((i + d) % 5, i) for i in rim for d in (0, 1)]
+    keys = neighbours.shared_keys(spark.createDataFrame(rows, "key long, id long"))
+    details = spark.createDataFrame([(i,) for i in range(61)], "id long")
+    checked = []
+
+    def verify(pairs):
+        checked.extend((r["a"], r["b"]) for r in pairs.collect())
+        return pairs.where("a = 0")
+
+    found = neighbours.similar_components(keys, details, lambda left, right: F.lit(True), verify)
+    assert {r["component"] for r in found.collect()} == {0} and found.count() == 61
+    assert len(checked) <= 2 * 61
+
+
+def test_pairs_of_many_shared_keys_are_made_once(spark):
+    """Rows similar to none leave all their pairs to the last comparison: each comes once, whatever they share."""
+    rows = [(k, i) for k in range(4) for i in range(12)]
+    keys = neighbours.shared_keys(spark.createDataFrame(rows, "key long, id long"))
+    details = spark.createDataFrame([(i,) for i in range(12)], "id long")
+    checked = []
+
+    def verify(pairs):
+        checked.extend((r["a"], r["b"]) for r in pairs.collect())
+        return pairs.where("false")
+
+    assert neighbours.similar_components(keys, details, lambda left, right: F.lit(True), verify).count() == 0
+    assert sorted(checked) == [(a, b) for a in range(12) for b in range(a + 1, 12)]
+
+
 def test_lines_of_long_words_differ_behind_their_first_characters(table):
     lines = [" ".join(f"https://x.example/{k}/{part}" for part in ("first", "second", "third", "fourth")) for k in range(3)]
     got = by_id(dedup_lines(table([(k, line, "en", "a") for k, line in enumerate([*lines, lines[1].upper()])])))
