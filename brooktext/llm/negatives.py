@@ -355,7 +355,9 @@ def _visits(packs: DataFrame, blocks: DataFrame, same: bool, k: int) -> DataFram
             yield out(merged())
 
     theirs = blocks.select(F.col("leaf").alias("of_leaf"), F.col("x").alias("bx"), F.col("labels").alias("of"), "ids", "counts")
-    met = packs.join(theirs, F.col("leaf") == F.col("of_leaf")).select(*names[1:], "bx", "of", "ids", "counts")
+    # Spark takes the packs for as large as the probes they are made of, though each probe is in a pack of every leaf
+    # that it visits. Without the hint it broadcasts them, through the driver.
+    met = packs.hint("merge").join(theirs, F.col("leaf") == F.col("of_leaf")).select(*names[1:], "bx", "of", "ids", "counts")
     return met.mapInArrow(scan, FOUND)
 
 

@@ -1,3 +1,4 @@
+import re
 from fractions import Fraction
 
 import numpy as np
@@ -130,6 +131,28 @@ def test_negatives_against_brute_force(spark, monkeypatch, leaf_rows):
     assert got == want
 
 
+def test_packs_are_met_by_a_shuffle_whatever_their_probes_weigh(spark, monkeypatch):
+    """A probe is in a pack of each leaf that it visits: packs of few probes are no small table that the driver could hold."""
+    monkeypatch.setattr(negatives, "LEAF_ROWS", 8)
+    monkeypatch.setattr(negatives, "PACK", 3)
+    joins = []
+    real = negatives.materialize
+
+    def seen(df, purpose):
+        if purpose in ("home_leaf", "search"):
+            df.collect()  # so that the plan is the last one of adaptive execution
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            joins.append(set(re.findall(r"(\w+Join)(?:\(skew=true\))? \[leaf#", plan)))
+        return real(df, purpose)
+
+    monkeypatch.setattr(negatives, "materialize", seen)
+    rows = [(i, v, i % 3) for i, v in enumerate(vectors(200, 3, 11))]
+    usable = integer_vectors(table(spark, rows), "embedding", "vec_id", "label")
+    got = sorted(tuple(r) for r in mine_negatives(usable, F.col("vec_id") % 10 == 0).collect())
+    assert got == brute_negatives(rows, lambda i: i % 10 == 0)
+    assert joins == [{"SortMergeJoin"}] * 4
+
+
 def test_ranges_rule_out_leaves_but_never_one_that_is_needed():
     random = np.random.default_rng(5)
     points = np.round(np.vstack([random.normal(size=(80, 4)) * 3 + random.normal(size=4) * 200 for _ in range(20)])).astype(np.int64)
