@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brooktext.llm.arrays import mix
 from brooktext.llm.chains import viterbi
 from brooktext.sources.workspace import discard, materialize
 
@@ -55,6 +56,7 @@ MARKER_PRIOR = 20.0
 BLOCK = 1024
 BLOCK_KEY = ["conv_key", "lone", "turns", "turn_cut", "texts", "text_cut", "part_cut"]
 TOLD = 50_000  # rows of parts that are decoded side by side
+TIE = 1e-7
 _FEATURES = ", ".join(f"f{k} int" for k in range(len(SLOTS)))
 _ENDS = {"?": 1, ".": 2, ":": 3, "!": 4}
 
@@ -180,7 +182,17 @@ def blocked(parts: DataFrame) -> DataFrame:
 
 
 def _emissions(table: pa.Table, model: RoleModel) -> np.ndarray:
-    return model.score([table.column(f"f{k}").to_numpy() for k in range(len(SLOTS))])
+    """The score of each role at each part, with a fraction of ``TIE`` by the part's own hash.
+
+    Paths through parts of like features have equal scores. Rounding would choose among them, another one for other
+    blocks; the fraction tells them apart, alike whatever the blocks.
+    """
+    scores = model.score([table.column(f"f{k}").to_numpy() for k in range(len(SLOTS))])
+    own = np.zeros(table.num_rows, dtype=np.uint64)
+    for name in ("turn_key", "text_key", "part"):
+        own = mix(own + table.column(name).to_numpy().astype(np.uint64))
+    chance = mix(own[:, None] + np.arange(1, len(ROLES) + 1, dtype=np.uint64))
+    return scores + TIE * (chance.astype(np.float64) / 2.0**64)
 
 
 def block_transfers(emissions: np.ndarray, borders: np.ndarray, transitions: np.ndarray) -> np.ndarray:
